@@ -50,9 +50,16 @@ def nonfinite_to_null_col(c: str | Column) -> Column:
 
 
 def r6(c: str | Column) -> Column:
-    """Round to 6 places and remove negative zero (for oracle comparison)."""
-    col = F.col(c) if isinstance(c, str) else c
-    return F.round(col.cast("double"), 6) + F.lit(0.0)
+    """Round to 6 places, half away from zero, without negative zero.
+
+    Written as sign(x) * floor(|x| * 1e6 + 0.5) / 1e6 (floor as y - y % 1,
+    exact for doubles) so that any engine evaluating the same formula on the
+    same double gets the same double; built-in ``round`` differs between
+    engines at exact half-way cases."""
+    col = (F.col(c) if isinstance(c, str) else c).cast("double")
+    y = F.abs(col) * F.lit(1e6) + F.lit(0.5)
+    rounded = F.signum(col) * (y - y % F.lit(1.0)) / F.lit(1e6) + F.lit(0.0)
+    return F.when(F.abs(col) == F.lit(float("inf")), col).otherwise(rounded)
 
 
 def is_numeric_type(dt) -> bool:

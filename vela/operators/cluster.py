@@ -212,3 +212,235 @@ def clusters_on_plane(assign: DataFrame, scores: DataFrame, labels: DataFrame |
     """Assignment joined by key to the first two scores and the label."""
     out = assign.join(scores, key)
     return out.join(labels, key, "left") if labels is not None else out
+
+
+# ---------------------------------------------------------------- K7 - K10
+
+def divisive(df: DataFrame, features, k: int, seed: int = 1, key: str | None = None) -> DataFrame:
+    """K9: top-down bisecting clustering (ml ``BisectingKMeans``); the
+    clusters for smaller k are unions of those for larger k (same seed).
+    Returns the rows with ``cluster`` 1..k and the distance to its centre."""
+    from pyspark.ml.clustering import BisectingKMeans
+    x = spread(df.withColumn("__f", array_to_vector(feature_array(df, features)))).cache()
+    try:
+        m = BisectingKMeans(k=k, seed=seed, featuresCol="__f").fit(x)
+    finally:
+        x.unpersist()
+    out = m.transform(df.withColumn("__f", array_to_vector(feature_array(df, features))))
+    return out.drop("__f").withColumn("cluster", (F.col("prediction") + 1).cast("int")).drop("prediction")
+
+
+def dbscan(df: DataFrame, key: str, features, eps: float, min_pts: int,
+           block_rows: int | None = None) -> DataFrame:
+    """Density clusters.  A row is core when at least ``min_pts`` rows
+    (itself included) lie within ``eps``; core rows within eps of each other
+    share a cluster (connected components, P3); a border row joins the
+    cluster of its lowest-key core neighbour; the rest is noise (cluster 0).
+    Clusters are numbered 1.. by their smallest key.  Neighbourhoods come
+    from block pairs (exact)."""
+    from vela.operators.neighbors import within_eps
+    from vela.operators.patterns import connected_components
+    pairs = within_eps(df, key, features, eps, block_rows).cache()
+    both = pairs.unionByName(pairs.select(F.col("j").alias("i"), F.col("i").alias("j")))
+    keys = df.select(F.col(key).cast("long").alias("v"))
+    deg = both.groupBy(F.col("i").alias("v")).agg(F.count(F.lit(1)).alias("nb"))
+    core = keys.join(deg, "v", "left").select("v", ((F.coalesce("nb", F.lit(0)) + 1) >= min_pts).alias("core"))
+    core = core.cache()
+    cv = core.filter("core").select("v")
+    ce = both.join(cv.withColumnRenamed("v", "i"), "i").join(cv.withColumnRenamed("v", "j"), "j") \
+        .filter(F.col("i") < F.col("j"))
+    comp = connected_components(cv, ce)
+    # border rows: lowest-key core neighbour
+    border = both.join(core.filter(~F.col("core")).select(F.col("v").alias("i")), "i") \
+        .join(comp.select(F.col("v").alias("j"), "comp"), "j") \
+        .groupBy(F.col("i").alias("v")).agg(F.min(F.struct("j", "comp")).alias("s")) \
+        .select("v", F.col("s.comp").alias("comp"))
+    lab = comp.unionByName(border)
+    ids = lab.select("comp").distinct()
+    from vela.operators.patterns import bucket_rank
+    mm = ids.agg(F.min("comp"), F.max("comp")).collect()[0]
+    if mm[0] is None:
+        numbered = ids.withColumn("cluster", F.lit(1))
+    else:
+        numbered = bucket_rank(ids, [], "comp", "comp", "cluster", lo=float(mm[0]), hi=float(mm[1]) + 1.0)
+    out = core.join(lab, "v", "left").join(numbered, "comp", "left") \
+        .select(F.col("v").alias(key), "core", F.coalesce(F.col("cluster"), F.lit(0)).cast("long").alias("cluster"))
+    return out
+
+
+def single_linkage_cut(df: DataFrame, key: str, features, height: float) -> DataFrame:
+    """K8 (single linkage) cut at ``height``: clusters are the connected
+    components of the graph of pairs closer than ``height`` (exact).
+    Cluster id = smallest key in the cluster."""
+    from vela.operators.neighbors import within_eps
+    from vela.operators.patterns import connected_components
+    pairs = within_eps(df, key, features, height)
+    keys = df.select(F.col(key).cast("long").alias("v"))
+    comp = connected_components(keys, pairs)
+    return comp.select(F.col("v").alias(key), F.col("comp").alias("cluster"))
+
+
+def _lance_williams(X: np.ndarray, w: np.ndarray, linkage: str):
+    """Agglomerative merge table on m weighted points (m small, on the driver).
+    Returns merges (a, b, height, size) in scipy-like form over ids 0..2m-2."""
+    m = len(X)
+    D = np.sqrt(((X[:, None, :] - X[None, :, :]) ** 2).sum(-1))
+    if linkage == "ward.D2":
+        D = D ** 2
+    np.fill_diagonal(D, np.inf)
+    size = w.astype(float).copy()
+    active = list(range(m))
+    ids = list(range(m))
+    merges = []
+    next_id = m
+    for _ in range(m - 1):
+        sub = D[np.ix_(active, active)]
+        i, j = np.unravel_index(np.argmin(sub), sub.shape)
+        a, b = active[i], active[j]
+        h = D[a, b]
+        na, nb = size[a], size[b]
+        for c in active:
+            if c in (a, b):
+                continue
+            if linkage == "single":
+                d = min(D[a, c], D[b, c])
+            elif linkage == "complete":
+                d = max(D[a, c], D[b, c])
+            elif linkage == "average":
+                d = (na * D[a, c] + nb * D[b, c]) / (na + nb)
+            elif linkage == "ward.D2":
+                nc = size[c]
+                d = ((na + nc) * D[a, c] + (nb + nc) * D[b, c] - nc * h) / (na + nb + nc)
+            else:
+                raise ValueError(f"unknown linkage {linkage!r}")
+            D[a, c] = D[c, a] = d
+        D[b, :] = D[:, b] = np.inf
+        size[a] = na + nb
+        merges.append((ids[a], ids[b], float(np.sqrt(h) if linkage == "ward.D2" else h), na + nb))
+        ids[a] = next_id
+        next_id += 1
+        active.remove(b)
+    return merges
+
+
+def _cut(merges, m: int, k: int) -> np.ndarray:
+    parent = list(range(2 * m - 1))
+
+    def find(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+    for t, (a, b, _h, _s) in enumerate(merges[:m - k]):
+        new = m + t
+        parent[find(a)] = new
+        parent[find(b)] = new
+    roots = [find(i) for i in range(m)]
+    order = {r: i + 1 for i, r in enumerate(dict.fromkeys(roots))}
+    return np.array([order[r] for r in roots])
+
+
+def hierarchical(df: DataFrame, key: str, features, k: int, linkage: str = "ward.D2",
+                 max_points: int = 2000, seed: int = 123):
+    """K8: agglomerative clustering cut at ``k`` (single, complete, average,
+    ward.D2).  Up to ``max_points`` rows the merge table is exact on the
+    rows themselves; above, rows are first compressed into ``max_points``
+    weighted k-means micro-clusters (a bounded summary) and the cut is
+    broadcast back by micro-cluster.  Returns (assignments, merge table)."""
+    spark = df.sparkSession
+    n = df.count()
+    arr = feature_array(df, features)
+    if n <= max_points:
+        rows = df.select(F.col(key).alias("k"), arr.alias("v")).collect()
+        keys = [r["k"] for r in rows]
+        X = np.array([r["v"] for r in rows], dtype=float)
+        order = np.argsort(np.array(keys))
+        X = X[order]
+        keys = [keys[i] for i in order]
+        merges = _lance_williams(X, np.ones(len(X)), linkage)
+        lab = _cut(merges, len(X), k)
+        assign = spark.createDataFrame([(kk, int(c)) for kk, c in zip(keys, lab)],
+                                       f"{key} {df.schema[key].dataType.simpleString()}, cluster int")
+    else:
+        km = kmeans(df, features, max_points, nstart=1, seed=seed)
+        micro = km.assign(df, features, "__mc", keep=[key])
+        w = micro.groupBy("__mc").count().collect()
+        wt = np.zeros(max_points)
+        for r in w:
+            wt[r["__mc"] - 1] = r["count"]
+        C = km.centers()
+        keep = wt > 0
+        idx = np.nonzero(keep)[0]
+        merges = _lance_williams(C[keep], wt[keep], linkage)
+        lab = _cut(merges, len(idx), k)
+        cut = spark.createDataFrame([(int(i + 1), int(c)) for i, c in zip(idx, lab)], "__mc int, cluster int")
+        assign = micro.join(F.broadcast(cut), "__mc").select(key, "cluster")
+    table = spark.createDataFrame([(int(a), int(b), float(h), float(s)) for a, b, h, s in merges],
+                                  "a long, b long, height double, size double")
+    return assign, table
+
+
+def kmedoids(df: DataFrame, key: str, features, k: int, samples: int = 5, sample_size: int | None = None,
+             seed: int = 1):
+    """K7: CLARA.  PAM (build + swap) on several seeded samples of bounded
+    size on the driver; every candidate medoid set is scored on *all* rows
+    (one aggregate: sum of distances to the nearest medoid); the best set
+    wins.  Returns (assignments with distance, medoid keys, cost)."""
+    from vela.functions.columns import order_hash
+    sample_size = sample_size or min(40 + 2 * k, 400)
+    arr = feature_array(df, features)
+    best = None
+    for s in range(samples):
+        sm = df.select(F.col(key).alias("k"), arr.alias("v")) \
+            .orderBy(order_hash("k", seed + s, "xxhash64"), "k").limit(sample_size).collect()
+        X = np.array([r["v"] for r in sm], dtype=float)
+        ks = [r["k"] for r in sm]
+        med = _pam(X, k)
+        centers = X[med]
+        cost = _medoid_cost(df, arr, centers)
+        if best is None or cost < best[0]:
+            best = (cost, [ks[i] for i in med], centers)
+    cost, mkeys, centers = best
+    d = [F.sqrt(reduce_sum([(arr[i] - F.lit(float(c[i]))) * (arr[i] - F.lit(float(c[i])))
+                            for i in range(len(c))])) for c in centers]
+    near = F.least(*[F.struct(di.alias("d"), F.lit(j + 1).alias("c")) for j, di in enumerate(d)])
+    assign = df.select(key, near["c"].alias("cluster"), near["d"].alias("dist"))
+    return assign, mkeys, cost
+
+
+def reduce_sum(cols):
+    e = cols[0]
+    for c in cols[1:]:
+        e = e + c
+    return e
+
+
+def _medoid_cost(df, arr, centers) -> float:
+    d = [F.sqrt(reduce_sum([(arr[i] - F.lit(float(c[i]))) * (arr[i] - F.lit(float(c[i])))
+                            for i in range(len(c))])) for c in centers]
+    return float(df.agg(F.sum(F.least(*d) if len(d) > 1 else d[0])).collect()[0][0])
+
+
+def _pam(X: np.ndarray, k: int, max_iter: int = 100) -> list:
+    D = np.sqrt(((X[:, None, :] - X[None, :, :]) ** 2).sum(-1))
+    n = len(X)
+    med = [int(np.argmin(D.sum(1)))]
+    while len(med) < k:
+        cur = D[:, med].min(1)
+        gain = np.array([np.maximum(cur - D[:, c], 0).sum() if c not in med else -1 for c in range(n)])
+        med.append(int(np.argmax(gain)))
+    cost = D[:, med].min(1).sum()
+    for _ in range(max_iter):
+        improved = False
+        for mi in range(k):
+            for c in range(n):
+                if c in med:
+                    continue
+                trial = med.copy()
+                trial[mi] = c
+                tc = D[:, trial].min(1).sum()
+                if tc < cost - 1e-12:
+                    med, cost, improved = trial, tc, True
+        if not improved:
+            break
+    return med

@@ -370,20 +370,17 @@ def grouped_moments(df: DataFrame, vec: Column, group: str | None = None,
             })
 
     parts = x.mapInPandas(partial, "g string, n long, s array<double>, q array<double>")
-    n_df = parts.groupBy("g").agg(F.sum("n").alias("n"))
-    s_df = parts.select("g", F.posexplode("s").alias("p", "x")).groupBy("g", "p") \
-        .agg(F.sum("x").alias("x"))
-    q_df = parts.select("g", F.posexplode("q").alias("p", "x")).groupBy("g", "p") \
-        .agg(F.sum("x").alias("x"))
-    ns = {r["g"]: r["n"] for r in n_df.collect()}
-    gs = sorted(ns)
+    flat = parts.select("g", F.posexplode(F.concat(F.array(F.col("n").cast("double")), "s", "q"))
+                        .alias("p", "x"))
+    sums = flat.groupBy("g", "p").agg(F.sum("x").alias("x")).collect()
+    gs = sorted({r["g"] for r in sums})
     idx = {g: i for i, g in enumerate(gs)}
-    S = np.zeros((len(gs), d))
-    Q = np.zeros((len(gs), d * d))
-    for r in s_df.collect():
-        S[idx[r["g"]], r["p"]] = r["x"]
-    for r in q_df.collect():
-        Q[idx[r["g"]], r["p"]] = r["x"]
+    A = np.zeros((len(gs), 1 + d + d * d))
+    for r in sums:
+        A[idx[r["g"]], r["p"]] = r["x"]
+    ns = {g: A[idx[g], 0] for g in gs}
+    S = A[:, 1:1 + d]
+    Q = A[:, 1 + d:]
     n = np.array([ns[g] for g in gs], dtype=np.float64)
     mean_shifted = S / n[:, None]
     scatter = Q.reshape(len(gs), d, d) - n[:, None, None] * \
@@ -396,3 +393,35 @@ def column_means(df: DataFrame, vec: Column, d: int) -> np.ndarray:
     x = df.select(vec.alias("v"))
     row = x.agg(*[F.avg(F.col("v")[i]).alias(f"m{i}") for i in range(d)]).collect()[0]
     return np.array([row[f"m{i}"] for i in range(d)], dtype=np.float64)
+
+
+# ---------------------------------------------------------------------------
+# Connected components
+# ---------------------------------------------------------------------------
+
+def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int = 100,
+                         checkpoint_every: int = 4) -> DataFrame:
+    """(v, comp): the smallest vertex id of each component.
+
+    ``vertices`` has a long column ``v``; ``edges`` has long ``i``, ``j``
+    (undirected).  Each round: min label over neighbours, then pointer
+    jumping (label of the label), until no label changes.  Lineage is cut
+    with reliable checkpoints into the shared folder."""
+    from vela.session import cut_lineage
+    e = edges.select("i", "j").unionByName(edges.select(F.col("j").alias("i"), F.col("i").alias("j"))) \
+        .filter(F.col("i") != F.col("j")).distinct()
+    e = cut_lineage(e)
+    lab = cut_lineage(vertices.select("v", F.col("v").alias("l")))
+    for r in range(max_rounds):
+        nb = e.join(lab.withColumnRenamed("v", "j"), "j").groupBy(F.col("i").alias("v")) \
+            .agg(F.min("l").alias("nl"))
+        step = lab.join(nb, "v", "left").select("v", F.least("l", F.coalesce("nl", "l")).alias("l"))
+        jump = step.join(step.select(F.col("v").alias("l"), F.col("l").alias("ll")), "l", "left") \
+            .select("v", F.least("l", F.coalesce("ll", "l")).alias("l"))
+        jump = cut_lineage(jump) if (r + 1) % checkpoint_every == 0 else jump.cache()
+        changed = jump.join(lab.withColumnRenamed("l", "old"), "v").filter(F.col("l") != F.col("old")) \
+            .limit(1).count()
+        lab = jump
+        if changed == 0:
+            break
+    return lab.withColumnRenamed("l", "comp")

@@ -43,7 +43,8 @@ def finish(df: DataFrame) -> DataFrame:
 
 def R(expr: str) -> str:
     """SQL rounding that matches ``r6``."""
-    return f"(round(({expr})::DOUBLE, 6) + 0.0)"
+    return (f"(sign(({expr})::DOUBLE) * floor(abs(({expr})::DOUBLE) * 1000000.0 + 0.5)"
+            f" / 1000000.0 + 0.0)")
 
 
 # the modules below register their checks on import
