@@ -518,7 +518,16 @@ CLASSIFIERS = {
     "treebag": lambda df, f, t, levels=None, **kw: fit_forest(df, f, t, levels, bagging=True, **kw),
     "rf": fit_forest,
     "gbm": fit_gbt,
+    "fda": lambda df, f, t, levels=None, degree=1, **kw: fit_fda(df, f, t, degree),
+    "mlp": lambda df, f, t, levels=None, key=None, **kw: _fit_mlp(df, f, t, levels, key, **kw),
 }
+
+
+def _fit_mlp(df, features, target, levels, key, **kw):
+    from vela.operators.nets import fit_mlp
+    if key is None:
+        raise ValueError("mlp needs a key column")
+    return fit_mlp(df, features, target, key, levels=levels, **kw)
 # models that need standardised inputs (distance or margin based)
 SCALED_MODELS = {"knn", "svmLinear", "svmRadial", "svmPoly"}
 
@@ -548,6 +557,8 @@ def fit_classifier(name: str, df: DataFrame, features, target: str, levels=None,
         return KNNModel(df, key, features, target, params.get("k", 5), _levels(df, target, levels))
     if name not in CLASSIFIERS:
         raise ValueError(f"unknown classifier {name!r}; choose from {sorted(CLASSIFIERS) + ['knn']}")
+    if name == "mlp":
+        return CLASSIFIERS[name](df, features, target, levels=levels, key=key, **params)
     return CLASSIFIERS[name](df, features, target, levels=levels, **params)
 
 

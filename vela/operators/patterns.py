@@ -418,7 +418,7 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
         step = lab.join(nb, "v", "left").select("v", F.least("l", F.coalesce("nl", "l")).alias("l"))
         jump = step.join(step.select(F.col("v").alias("l"), F.col("l").alias("ll")), "l", "left") \
             .select("v", F.least("l", F.coalesce("ll", "l")).alias("l"))
-        jump = cut_lineage(jump) if (r + 1) % checkpoint_every == 0 else jump.cache()
+        jump = cut_lineage(jump)
         changed = jump.join(lab.withColumnRenamed("l", "old"), "v").filter(F.col("l") != F.col("old")) \
             .limit(1).count()
         lab = jump

@@ -52,3 +52,4 @@ from vela.plans import checks_profile  # noqa: E402,F401
 from vela.plans import checks_clean  # noqa: E402,F401
 from vela.plans import checks_model  # noqa: E402,F401
 from vela.plans import checks_evaluate  # noqa: E402,F401
+from vela.plans import checks_more  # noqa: E402,F401
