@@ -49,3 +49,20 @@ def test_binary_metrics_null_when_undefined(spark):
     r = ev.binary_metrics(df, "real", "pred", "y").collect()[0]
     assert r["recall"] is None and r["precision"] is None and r["specificity"] == 1.0
     assert r["balanced_accuracy"] == 1.0
+
+
+def test_running_sums_survive_crowded_scores(spark):
+    import numpy as np
+    rng = np.random.default_rng(5)
+    p = np.concatenate([rng.uniform(0, 1e-6, 3000), rng.uniform(0, 1, 300)])
+    y = rng.integers(0, 2, len(p))
+    pdf = pd.DataFrame({"real": np.where(y == 1, "y", "n"), "p": p})
+    df = spark.createDataFrame(pdf)
+    cnt = ev.score_counts(df, "p", F.col("real") == "y")
+    got = ev.cumulative_by_score(cnt, heavy_rows=100).orderBy("score").toPandas()
+    s = pdf.sort_values("p")
+    assert np.array_equal(got.cum_pos.values, (s.real == "y").cumsum().values)
+    a = ev.auc(df, "real", "p", "y").collect()[0]["auc"]
+    pos, neg = p[y == 1], p[y == 0]
+    want = ((pos[:, None] > neg[None]).sum() + 0.5 * (pos[:, None] == neg[None]).sum()) / (len(pos) * len(neg))
+    assert abs(a - want) < 1e-12

@@ -186,13 +186,19 @@ def score_counts(df: DataFrame, score: str, label: Column, group_cols=()) -> Dat
         F.sum(label.cast("long")).alias("pos"), F.sum((~label).cast("long")).alias("neg"))
 
 
-def cumulative_by_score(counts: DataFrame, group_cols=(), n_buckets: int = 1024) -> DataFrame:
+def cumulative_by_score(counts: DataFrame, group_cols=(), n_buckets: int = 1024,
+                        heavy_rows: int = 200_000) -> DataFrame:
     """Adds cum_pos, cum_neg (scores <= this one), next_score, P, N.
 
-    P1: scores bucketed by range inside each group; bucket totals become
-    offsets through a window over the small bucket table; the row window
-    runs per (group, bucket)."""
+    P1 in two levels: distinct scores are bucketed by range inside each
+    group; a bucket holding more than ``heavy_rows`` distinct scores (scores
+    crowded in a narrow range) is split again by its own min/max.  Totals of
+    the (small) bucket table become offsets through a window over that
+    table; the row window runs per (group, bucket, sub-bucket), so no task
+    holds a whole group whatever the score distribution."""
+    from vela.session import cut_lineage
     g = list(group_cols)
+    counts = cut_lineage(counts)   # read by several passes below; compute once
     rng = counts.groupBy(*g).agg(F.min("score").alias("__lo"), F.max("score").alias("__hi"),
                                  F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     if g:
@@ -200,22 +206,30 @@ def cumulative_by_score(counts: DataFrame, group_cols=(), n_buckets: int = 1024)
     else:
         r = rng.collect()[0]
         x = counts.select("*", F.lit(r["__lo"]).alias("__lo"), F.lit(r["__hi"]).alias("__hi"),
-                          F.lit(r["P"]).alias("P"), F.lit(r["N"]).alias("N"))
-    width = (F.col("__hi") - F.col("__lo")) / F.lit(float(n_buckets))
-    b = F.when(F.col("__hi") > F.col("__lo"),
-               F.least(F.floor((F.col("score") - F.col("__lo")) / width).cast("int"),
-                       F.lit(n_buckets - 1))).otherwise(F.lit(0))
-    x = x.withColumn("__b", b)
-    bt = x.groupBy(*g, "__b").agg(F.sum("pos").alias("__bp"), F.sum("neg").alias("__bn"),
-                                  F.min("score").alias("__bmin"))
-    wb = Window.partitionBy(*g).orderBy("__b") if g else Window.orderBy("__b")
+                          F.lit(r["P"]).cast("long").alias("P"), F.lit(r["N"]).cast("long").alias("N"))
+
+    def bucket(lo, hi, v):
+        width = (hi - lo) / F.lit(float(n_buckets))
+        return F.when(hi > lo, F.least(F.floor((v - lo) / width).cast("int"), F.lit(n_buckets - 1))) \
+            .otherwise(F.lit(0))
+
+    x = x.withColumn("__b", bucket(F.col("__lo"), F.col("__hi"), F.col("score")))
+    b1 = x.groupBy(*g, "__b").agg(F.count(F.lit(1)).alias("__c1"), F.min("score").alias("__l2"),
+                                  F.max("score").alias("__h2"))
+    heavy = b1.filter(F.col("__c1") > heavy_rows).select(*g, "__b", "__l2", "__h2")
+    x = join_small(x, heavy, [*g, "__b"], how="left")
+    x = x.withColumn("__s", F.when(F.col("__l2").isNotNull(), bucket(F.col("__l2"), F.col("__h2"), F.col("score")))
+                     .otherwise(F.lit(0)))
+    bt = x.groupBy(*g, "__b", "__s").agg(F.sum("pos").alias("__bp"), F.sum("neg").alias("__bn"),
+                                         F.min("score").alias("__bmin"))
+    wb = Window.partitionBy(*g).orderBy("__b", "__s") if g else Window.orderBy("__b", "__s")
     prev = wb.rowsBetween(Window.unboundedPreceding, -1)
-    off = bt.select(*g, "__b",
+    off = bt.select(*g, "__b", "__s",
                     F.coalesce(F.sum("__bp").over(prev), F.lit(0)).alias("__op"),
                     F.coalesce(F.sum("__bn").over(prev), F.lit(0)).alias("__on"),
                     F.lead("__bmin").over(wb).alias("__nb"))
-    x = join_small(x, off, [*g, "__b"])
-    wr = Window.partitionBy(*g, "__b").orderBy("score")
+    x = join_small(x, off, [*g, "__b", "__s"])
+    wr = Window.partitionBy(*g, "__b", "__s").orderBy("score")
     run = wr.rowsBetween(Window.unboundedPreceding, 0)
     return x.select(*g, "score", "pos", "neg", "P", "N",
                     (F.col("__op") + F.sum("pos").over(run)).alias("cum_pos"),
@@ -262,7 +276,7 @@ def auc(df: DataFrame, real: str, prob: str, positive, group_cols=()) -> DataFra
     cum = cumulative_by_score(score_counts(df, prob, _label(df, real, positive), group_cols), group_cols)
     return cum.groupBy(*group_cols).agg(
         (F.sum(F.col("pos") * (F.col("cum_neg") - F.col("neg") * 0.5)) /
-         (F.first("P") * F.first("N"))).alias("auc"))
+         (F.first("P").cast("double") * F.first("N").cast("double"))).alias("auc"))
 
 
 def best_threshold(roc: DataFrame, group_cols=()) -> DataFrame:
@@ -368,7 +382,7 @@ def filter_importance(df: DataFrame, features: list[str], real: str, levels: lis
         cum = cumulative_by_score(cnt, ["variable"])
         a = cum.groupBy("variable").agg(
             (F.sum(F.col("pos") * (F.col("cum_neg") - F.col("neg") * 0.5)) /
-             (F.first("P") * F.first("N"))).alias("auc"))
+             (F.first("P").cast("double") * F.first("N").cast("double"))).alias("auc"))
         a = a.select("variable", F.greatest("auc", 1 - F.col("auc")).alias("imp"))
         a = a.select("variable", F.col("imp").alias(str(levels[0])), F.col("imp").alias(str(levels[1])))
         cols = [str(levels[0]), str(levels[1])]
@@ -383,7 +397,7 @@ def filter_importance(df: DataFrame, features: list[str], real: str, levels: lis
         cum = cumulative_by_score(cnt, ["variable", "cls", "oth"])
         a = cum.groupBy("variable", "cls", "oth").agg(
             (F.sum(F.col("pos") * (F.col("cum_neg") - F.col("neg") * 0.5)) /
-             (F.first("P") * F.first("N"))).alias("auc"))
+             (F.first("P").cast("double") * F.first("N").cast("double"))).alias("auc"))
         a = a.groupBy("variable").pivot("cls", [str(x) for x in levels]).agg(F.max("auc"))
         cols = [str(x) for x in levels]
     mm = a.agg(*[F.min(c).alias("mn_" + c) for c in cols], *[F.max(c).alias("mx_" + c) for c in cols]) \

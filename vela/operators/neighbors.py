@@ -97,16 +97,12 @@ def knn(df: DataFrame, key: str, features, k: int, reference: DataFrame | None =
                     if exclude_self and same:
                         M[qk[:, None] == rk[None, :]] = np.inf
                     kk = min(k, M.shape[1])
-                    # order by (distance, key): lexsort per row on the k+ties window
-                    idx = np.argsort(M, axis=1, kind="stable")
-                    # include ties at the k-th distance so the key tie-break stays exact
-                    for r in range(M.shape[0]):
-                        cand = idx[r]
-                        dk = M[r, cand[kk - 1]]
-                        sel = cand[M[r, cand] <= dk]
-                        sel = sel[np.isfinite(M[r, sel])]
-                        outs.append(pd.DataFrame({"q": np.full(len(sel), qk[r]), "nb": rk[sel],
-                                                  "d2": M[r, sel]}))
+                    # k-th smallest distance per row; every candidate at or
+                    # below it is kept, so ties at the k-th place are decided
+                    # exactly by key in the final row_number
+                    part = np.partition(M, kk - 1, axis=1)[:, kk - 1]
+                    R, C = np.nonzero((M <= part[:, None]) & np.isfinite(M))
+                    outs.append(pd.DataFrame({"q": qk[R], "nb": rk[C], "d2": M[R, C]}))
             if outs:
                 yield pd.concat(outs, ignore_index=True)
 

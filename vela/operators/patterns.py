@@ -154,6 +154,18 @@ def exact_order_stats(long_df: DataFrame, group_cols: list[str], value_col: str,
                       gid_df, on=group_cols).select("__gid", "__v") if group_cols else \
         long_df.select(F.lit(0).alias("__gid"), F.col(value_col).cast("double").alias("__v"))
 
+    from pyspark import StorageLevel
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        _select_rounds(spark, rows, targets, n_buckets, final_limit)
+    finally:
+        rows.unpersist()
+    answers = {(t.gid, t.rank): t.value for t in targets}
+    return groups, answers
+
+
+def _select_rounds(spark, rows, targets, n_buckets, final_limit):
+    """Histogram rounds narrowing each target's candidate interval."""
     tschema = "tid int, gid int, lo double, hi double"
     for t in targets:
         if t.lo == t.hi:
@@ -201,8 +213,6 @@ def exact_order_stats(long_df: DataFrame, group_cols: list[str], value_col: str,
             for t in fetch:
                 v = sorted(vals[t.tid])
                 t.value = float(v[t.rank - t.below - 1])
-    answers = {(t.gid, t.rank): t.value for t in targets}
-    return groups, answers
 
 
 def _type7_ranks(probs):
@@ -350,6 +360,8 @@ def grouped_moments(df: DataFrame, vec: Column, group: str | None = None,
     if shift is None:
         shift = np.zeros(d)
     shift = np.asarray(shift, dtype=np.float64)
+    if d <= SQL_MOMENTS_MAX_D:
+        return _sql_moments(x, d, shift)
 
     def partial(it):
         import pandas as pd
@@ -388,6 +400,30 @@ def grouped_moments(df: DataFrame, vec: Column, group: str | None = None,
     return Moments(gs, n, mean_shifted + shift, scatter)
 
 
+# Up to this many features the moments are plain SQL sums (JVM, codegen);
+# above it numpy partials avoid d^2 aggregate expressions.
+SQL_MOMENTS_MAX_D = 24
+
+
+def _sql_moments(x: DataFrame, d: int, shift: np.ndarray) -> Moments:
+    c = [(F.col("v")[i] - F.lit(float(shift[i]))) for i in range(d)]
+    aggs = [F.count(F.lit(1)).alias("n")] + [F.sum(c[i]).alias(f"s{i}") for i in range(d)] + \
+        [F.sum(c[i] * c[j]).alias(f"q{i}_{j}") for i in range(d) for j in range(i, d)]
+    rows = x.groupBy("g").agg(*aggs).collect()
+    gs = sorted(r["g"] for r in rows)
+    by = {r["g"]: r for r in rows}
+    n = np.array([by[g]["n"] for g in gs], dtype=np.float64)
+    S = np.array([[by[g][f"s{i}"] for i in range(d)] for g in gs], dtype=np.float64)
+    Q = np.zeros((len(gs), d, d))
+    for k, g in enumerate(gs):
+        for i in range(d):
+            for j in range(i, d):
+                Q[k, i, j] = Q[k, j, i] = by[g][f"q{i}_{j}"]
+    m = S / n[:, None]
+    scatter = Q - n[:, None, None] * np.einsum("gi,gj->gij", m, m)
+    return Moments(gs, n, m + shift, scatter)
+
+
 def column_means(df: DataFrame, vec: Column, d: int) -> np.ndarray:
     """First-pass means of an array column (one aggregate)."""
     x = df.select(vec.alias("v"))

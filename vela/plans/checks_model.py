@@ -51,6 +51,15 @@ def q_pca_scores(spark, sf):
     return finish(m.scores(z, 2, keep=["l_orderkey", "l_linenumber"]))
 
 
+@check("pca_axis_labels", f"""
+SELECT 'PC' || k::VARCHAR AS component, 'PC' || k::VARCHAR || ' (' || printf('%.2f', ev / 2 * 100) || '%)' AS axis_label
+FROM (SELECT 1 AS k, 1 + abs(r) AS ev FROM {CORR} UNION ALL SELECT 2, 1 - abs(r) FROM {CORR})
+""")
+def q_pca_axis_labels(spark, sf):
+    v = reduce.pca_fit(_z2(spark, sf), PAIR2).variance(spark)
+    return clean.axis_labels(v).select("component", "axis_label")
+
+
 @check("pca_n_components", f"""
 SELECT (CASE WHEN (1 + abs(r)) / 2 >= 0.6 THEN 1 ELSE 2 END)::BIGINT AS n_components FROM {CORR}
 """)
