@@ -38,25 +38,29 @@ class KMeansResult:
         return np.array(self.model.clusterCenters())
 
 
-def kmeans(df: DataFrame, features, k: int, nstart: int = 10, max_iter: int = 20,
-           seed: int = 123, tol: float = 1e-4) -> KMeansResult:
-    """K1: best of ``nstart`` seeded k-means fits by within sum of squares.
-
-    The feature table is cached for the starts; each start is a Spark job
-    (k-means|| initialisation, Lloyd iterations as distributed aggregates)."""
+def kmeans(df: DataFrame, features, k: int, nstart: int = 10, max_iter: int = 10,
+           seed: int = 123, tol: float = 1e-4, parallelism: int = 4) -> KMeansResult:
+    """K1: best of ``nstart`` seeded k-means fits by within sum of squares
+    (``max_iter`` 10 as R's default ``iter.max``).
+
+    The feature table is cached once, spread over the cores; the starts run
+    as concurrent Spark jobs from a driver thread pool (k-means||
+    initialisation, Lloyd iterations as distributed aggregates)."""
+    from concurrent.futures import ThreadPoolExecutor
     x = spread(df.select(array_to_vector(feature_array(df, features)).alias("__f"))).cache()
-    best = None
+
+    def fit(s):
+        km = KMeans(k=k, seed=seed + s, maxIter=max_iter, tol=tol, featuresCol="__f", initMode="k-means||")
+        m = km.fit(x)
+        return KMeansResult(m, m.summary.trainingCost, k, seed + s)
+
     try:
-        for s in range(nstart):
-            km = KMeans(k=k, seed=seed + s, maxIter=max_iter, tol=tol, featuresCol="__f",
-                        initMode="k-means||")
-            m = km.fit(x)
-            cost = m.summary.trainingCost
-            if best is None or cost < best.cost - 1e-12:
-                best = KMeansResult(m, cost, k, seed + s)
+        x.count()
+        with ThreadPoolExecutor(max(1, min(parallelism, nstart))) as ex:
+            fits = list(ex.map(fit, range(nstart)))
     finally:
         x.unpersist()
-    return best
+    return min(fits, key=lambda r: (r.cost, r.seed))
 
 
 def spread(df: DataFrame) -> DataFrame:

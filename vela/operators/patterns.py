@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from vela.functions.columns import MOD31
 
 # Rows a small side may have before we stop broadcasting it.
-BROADCAST_ROW_LIMIT = 2_000_000
+BROADCAST_ROW_LIMIT = 200_000
 
 
 def bounded_collect(df: DataFrame, limit: int):
@@ -37,10 +37,17 @@ def bounded_collect(df: DataFrame, limit: int):
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
                limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Join, broadcasting ``small`` only after its row count is checked."""
-    n = small.limit(limit + 1).count()
-    side = F.broadcast(small) if n <= limit else small
-    return big.join(side, on=on, how=how)
+    """Join, broadcasting ``small`` only after its size is checked.
+
+    The small side (typically an aggregate of the big one) is computed once:
+    if it has at most ``limit`` rows it is collected and broadcast as a local
+    table, so the big input is not scanned again to rebuild it; otherwise it
+    is joined as is (sort-merge, or AQE's runtime choice)."""
+    rows = bounded_collect(small, limit)
+    if rows is None:
+        return big.join(small, on=on, how=how)
+    local = small.sparkSession.createDataFrame(rows, small.schema)
+    return big.join(F.broadcast(local), on=on, how=how)
 
 
 # ---------------------------------------------------------------------------
@@ -155,6 +162,9 @@ def exact_order_stats(long_df: DataFrame, group_cols: list[str], value_col: str,
         long_df.select(F.lit(0).alias("__gid"), F.col(value_col).cast("double").alias("__v"))
 
     from pyspark import StorageLevel
+    par = spark.sparkContext.defaultParallelism
+    if rows.rdd.getNumPartitions() < par:
+        rows = rows.repartition(par)      # rounds re-read it: spread it first
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         _select_rounds(spark, rows, targets, n_buckets, final_limit)
