@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from vela.functions.columns import (is_numeric_type, nonfinite_to_null_col, numeric_columns,
                                     order_hash)
-from vela.operators.patterns import bounded_collect, bucket_rank, exact_quantiles, join_small, \
+from vela.operators.patterns import auto_buckets, bounded_collect, bucket_rank, exact_quantiles, join_small, \
     quantile_name
 
 # R's machine epsilon, used as the zero-variance limit, and
@@ -195,7 +195,7 @@ def drop_null_target(df: DataFrame, target: str) -> DataFrame:
 
 
 def inject_nulls(df: DataFrame, cols: list[str], share: float, seed: int, key: str,
-                 hash_method: str = "portable", n_buckets: int = 1024) -> DataFrame:
+                 hash_method: str = "portable", n_buckets: int | None = None) -> DataFrame:
     """Blank exactly ``max(1, floor(share * n))`` cells in every column.
 
     Column j blanks the rows that come first in the seeded order
@@ -206,6 +206,8 @@ def inject_nulls(df: DataFrame, cols: list[str], share: float, seed: int, key: s
     """
     n = df.count()
     m = max(1, int(math.floor(share * n)))
+    # boundary buckets of ~50k rows keep the chosen-key table broadcastable
+    n_buckets = n_buckets or auto_buckets(n, per_bucket=50_000)
     hi = 2147483647.0
     hs = {c: order_hash(key, seed + j, hash_method) for j, c in enumerate(cols)}
     bk = {c: F.least(F.floor(hs[c] / F.lit(hi / n_buckets)).cast("int"), F.lit(n_buckets - 1))
@@ -291,10 +293,10 @@ def make_unique_ids(df: DataFrame, col: str, order_col: str, sep: str = "_rep",
     order (R ``make.unique``); the first occurrence keeps its id.  Numbering
     is P1 so a very frequent id does not land in one task."""
     out_col = out_col or col
-    mm = df.agg(F.min(order_col), F.max(order_col)).collect()[0]
+    mm = df.agg(F.min(order_col), F.max(order_col), F.count(F.lit(1))).collect()[0]
     lo, hi = float(mm[0]), float(mm[1]) + 1.0
     x = bucket_rank(df.withColumn("__id", F.col(col).cast("string")), ["__id"], order_col,
-                    order_col, "__occ", lo=lo, hi=hi)
+                    order_col, "__occ", lo=lo, hi=hi, n_buckets=auto_buckets(mm[2]))
     newid = F.when(F.col("__occ") == 1, F.col("__id")) \
         .otherwise(F.concat(F.col("__id"), F.lit(sep), (F.col("__occ") - 1).cast("string")))
     return x.withColumn(out_col, newid).drop("__id", "__occ")
@@ -302,8 +304,9 @@ def make_unique_ids(df: DataFrame, col: str, order_col: str, sep: str = "_rep",
 
 def sequential_ids(df: DataFrame, order_col: str, fmt: str = "M%03d", out_col: str = "id") -> DataFrame:
     """C16 (second form): padded sequential ids in ``order_col`` order."""
-    mm = df.agg(F.min(order_col), F.max(order_col)).collect()[0]
-    x = bucket_rank(df, [], order_col, order_col, "__rn", lo=float(mm[0]), hi=float(mm[1]) + 1.0)
+    mm = df.agg(F.min(order_col), F.max(order_col), F.count(F.lit(1))).collect()[0]
+    x = bucket_rank(df, [], order_col, order_col, "__rn", lo=float(mm[0]), hi=float(mm[1]) + 1.0,
+                    n_buckets=auto_buckets(mm[2]))
     return x.withColumn(out_col, F.format_string(fmt, F.col("__rn"))).drop("__rn")
 
 

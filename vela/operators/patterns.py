@@ -54,6 +54,12 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
 # Exact ranks in groups through buckets
 # ---------------------------------------------------------------------------
 
+def auto_buckets(n: int, per_bucket: int = 1_000_000, minimum: int = 1024) -> int:
+    """Bucket count so that one (group, bucket) window holds about
+    ``per_bucket`` rows at most, whatever the table size."""
+    return int(max(minimum, math.ceil(n / per_bucket)))
+
+
 def _bucket_col(order: Column, n_buckets: int, lo: float, hi: float) -> Column:
     width = (hi - lo) / n_buckets if hi > lo else 1.0
     b = F.floor((order.cast("double") - F.lit(lo)) / F.lit(width)).cast("int")

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vela.functions.columns import order_hash
-from vela.operators.patterns import bucket_rank, top_m_flag
+from vela.operators.patterns import auto_buckets, bucket_rank, top_m_flag
 
 
 def class_counts(df: DataFrame, target: str) -> dict:
@@ -40,7 +40,8 @@ def stratified_split(df: DataFrame, target: str, key: str, p: float = 0.8, seed:
     mdf = spark.createDataFrame([(k, v) for k, v in m.items()],
                                 f"{target} {df.schema[target].dataType.simpleString()}, __m long")
     x = df.withColumn("__h", order_hash(key, seed, hash_method))
-    flagged = top_m_flag(x, [target], "__h", key, mdf, "__m", flag_col).drop("__h")
+    nb = auto_buckets(max(counts.values()))
+    flagged = top_m_flag(x, [target], "__h", key, mdf, "__m", flag_col, n_buckets=nb).drop("__h")
     return flagged, flagged.filter(F.col(flag_col)).drop(flag_col), \
         flagged.filter(~F.col(flag_col)).drop(flag_col)
 
@@ -61,7 +62,8 @@ def stratified_folds(df: DataFrame, target: str, key: str, k: int = 5, repeats:
     reps = df.select(key, target).withColumn("repeat", F.explode(F.sequence(F.lit(1), F.lit(repeats))))
     x = reps.withColumn("__h", F.pmod(order_hash(key, seed, hash_method) +
                                       (F.col("repeat") - 1) * F.lit(7919), F.lit(2147483647)))
-    r = bucket_rank(x, [target, "repeat"], "__h", key, "__rank")
+    nb = auto_buckets(max(class_counts(df, target).values()))
+    r = bucket_rank(x, [target, "repeat"], "__h", key, "__rank", n_buckets=nb)
     return r.select(key, "repeat", (F.pmod(F.col("__rank") - 1, F.lit(k)) + 1).cast("int").alias("fold"))
 
 
@@ -70,7 +72,7 @@ def sample_n(df: DataFrame, n: int, seed: int, key: str, hash_method: str = "por
     spark = df.sparkSession
     x = df.withColumn("__g", F.lit(1)).withColumn("__h", order_hash(key, seed, hash_method))
     mdf = spark.createDataFrame([(1, n)], "__g int, __m long")
-    return top_m_flag(x, ["__g"], "__h", key, mdf, "__m", "__in") \
+    return top_m_flag(x, ["__g"], "__h", key, mdf, "__m", "__in", n_buckets=auto_buckets(df.count())) \
         .filter(F.col("__in")).drop("__g", "__h", "__in")
 
 

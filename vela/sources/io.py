@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
-from vela.operators.patterns import bucket_rank
+from vela.operators.patterns import auto_buckets, bucket_rank
 
 __all__ = ["read_csv_checked", "read_table", "attach_labels", "write_table", "save_model",
            "load_model", "read_handoff", "TABLES"]
@@ -68,7 +68,8 @@ def attach_labels(features: DataFrame, labels: DataFrame, on: str | None = None,
 
     def ranked(df, col):
         mm = df.agg(F.min(col), F.max(col)).collect()[0]
-        return bucket_rank(df, [], col, col, "__pos", lo=float(mm[0]), hi=float(mm[1]) + 1.0)
+        return bucket_rank(df, [], col, col, "__pos", lo=float(mm[0]), hi=float(mm[1]) + 1.0,
+                           n_buckets=auto_buckets(nf))
 
     return ranked(features, order_features).join(ranked(labels, order_labels), "__pos").drop("__pos")
 
