@@ -393,23 +393,63 @@ def kmedoids(df: DataFrame, key: str, features, k: int, samples: int = 5, sample
     from vela.functions.columns import order_hash
     sample_size = sample_size or min(40 + 2 * k, 400)
     arr = feature_array(df, features)
-    best = None
+    cands = []
     for s in range(samples):
         sm = df.select(F.col(key).alias("k"), arr.alias("v")) \
             .orderBy(order_hash("k", seed + s, "xxhash64"), "k").limit(sample_size).collect()
         X = np.array([r["v"] for r in sm], dtype=float)
         ks = [r["k"] for r in sm]
         med = _pam(X, k)
-        centers = X[med]
-        cost = _medoid_cost(df, arr, centers)
-        if best is None or cost < best[0]:
-            best = (cost, [ks[i] for i in med], centers)
-    cost, mkeys, centers = best
-    d = [F.sqrt(reduce_sum([(arr[i] - F.lit(float(c[i]))) * (arr[i] - F.lit(float(c[i])))
-                            for i in range(len(c))])) for c in centers]
-    near = F.least(*[F.struct(di.alias("d"), F.lit(j + 1).alias("c")) for j, di in enumerate(d)])
-    assign = df.select(key, near["c"].alias("cluster"), near["d"].alias("dist"))
-    return assign, mkeys, cost
+        cands.append(([ks[i] for i in med], X[med]))
+    costs = _medoid_costs(df, arr, [c for _, c in cands])
+    best = int(np.argmin(costs))
+    mkeys, centers = cands[best]
+    assign = _nearest(df.select(F.col(key).alias("__k"), arr.alias("__v")), centers) \
+        .withColumnRenamed("__k", key)
+    return assign, mkeys, float(costs[best])
+
+
+def _nearest(x: DataFrame, centers: np.ndarray) -> DataFrame:
+    """(key, cluster 1.., dist) to the nearest of ``centers`` (numpy per batch)."""
+    C = np.asarray(centers, dtype=float)
+
+    def run(it):
+        import pandas as pd
+        for pdf in it:
+            if len(pdf) == 0:
+                continue
+            V = np.stack(pdf["__v"].to_numpy()).astype(float)
+            D = np.sqrt(sq_dists(V, C))
+            j = D.argmin(1)
+            yield pd.DataFrame({"__k": pdf["__k"].to_numpy(), "cluster": (j + 1).astype(np.int32),
+                                "dist": D[np.arange(len(V)), j]})
+
+    kt = x.schema["__k"].dataType.simpleString()
+    return x.mapInPandas(run, f"__k {kt}, cluster int, dist double")
+
+
+def _medoid_costs(df: DataFrame, arr, center_sets: list) -> np.ndarray:
+    """Sum of distances to the nearest medoid, for every candidate set, in
+    one pass over all rows (per-batch numpy partials summed by Spark)."""
+    sets = [np.asarray(c, dtype=float) for c in center_sets]
+
+    def run(it):
+        import pandas as pd
+        acc = np.zeros(len(sets))
+        for pdf in it:
+            if len(pdf) == 0:
+                continue
+            V = np.stack(pdf["v"].to_numpy()).astype(float)
+            for i, C in enumerate(sets):
+                acc[i] += np.sqrt(sq_dists(V, C)).min(1).sum()
+        yield pd.DataFrame({"i": np.arange(len(sets)), "c": acc})
+
+    rows = df.select(arr.alias("v")).mapInPandas(run, "i long, c double").groupBy("i") \
+        .agg(F.sum("c").alias("c")).collect()
+    out = np.zeros(len(sets))
+    for r in rows:
+        out[r["i"]] = r["c"]
+    return out
 
 
 def reduce_sum(cols):
@@ -419,12 +459,6 @@ def reduce_sum(cols):
     return e
 
 
-def _medoid_cost(df, arr, centers) -> float:
-    d = [F.sqrt(reduce_sum([(arr[i] - F.lit(float(c[i]))) * (arr[i] - F.lit(float(c[i])))
-                            for i in range(len(c))])) for c in centers]
-    return float(df.agg(F.sum(F.least(*d) if len(d) > 1 else d[0])).collect()[0][0])
-
-
 def _pam(X: np.ndarray, k: int, max_iter: int = 100) -> list:
     D = np.sqrt(((X[:, None, :] - X[None, :, :]) ** 2).sum(-1))
     n = len(X)
