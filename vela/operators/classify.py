@@ -253,12 +253,13 @@ def knn_classify(train: DataFrame, key: str, features, target: str, k: int,
     class is the most voted (ties to the first level).  Without ``query``
     the training rows are classified leave-one-out."""
     from vela.operators.neighbors import knn
-    lv = levels or sorted(r[0] for r in train.select(target).distinct().collect())
+    lv = levels or sorted(str(r) for r in _levels(train, target, None))
     nn = knn(query if query is not None else train, key, features, k,
              reference=train if query is not None else None)
     lab = train.select(F.col(key).alias("neighbor"), F.col(target).alias("__y"))
     votes = nn.join(lab, "neighbor").groupBy(key).agg(
-        *[(F.sum((F.col("__y") == F.lit(c)).cast("int")) / F.count(F.lit(1))).alias(f"prob_{c}") for c in lv])
+        *[(F.sum((F.col("__y").cast("string") == F.lit(str(c))).cast("int")) / F.count(F.lit(1))).alias(f"prob_{c}")
+          for c in lv])
     return votes.withColumn("predicted", _argmax_col([str(c) for c in lv]))
 
 
@@ -325,10 +326,14 @@ def _train_frame(df: DataFrame, features, target: str, levels: list, featurize=N
     return _spread(df.select(array_to_vector(arr).alias("__f"), _index_expr(target, levels).alias("__y")))
 
 
-def _levels(df: DataFrame, target: str, levels):
+def _levels(df: DataFrame, target: str, levels, limit: int = 10_000):
     if levels is not None:
         return [str(x) for x in levels]
-    return sorted(str(r[0]) for r in df.select(target).distinct().collect())
+    from vela.operators.patterns import bounded_collect
+    rows = bounded_collect(df.select(target).distinct(), limit)
+    if rows is None:
+        raise ValueError(f"{target} has more than {limit} classes")
+    return sorted(str(r[0]) for r in rows)
 
 
 def fit_ml(df: DataFrame, features, target: str, estimator, levels=None, featurize=None,
@@ -368,7 +373,7 @@ def _platt(model: MLModel, df: DataFrame, target: str) -> tuple:
     return float(lr.coefficients[0]), float(lr.intercept)
 
 
-def fit_svm_linear(df, features, target, levels=None, C: float = 1.0, max_iter: int = 100,
+def fit_svm_linear(df, features, target, levels=None, C: float = 1.0, max_iter: int = 50,
                    featurize=None, name: str = "svmLinear") -> MLModel:
     """H7: linear SVM (hinge loss); probabilities by logistic calibration of
     the margins.  More than two classes go one-vs-rest."""

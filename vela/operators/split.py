@@ -17,8 +17,13 @@ from vela.functions.columns import order_hash
 from vela.operators.patterns import auto_buckets, bucket_rank, top_m_flag
 
 
-def class_counts(df: DataFrame, target: str) -> dict:
-    return {r[0]: r[1] for r in df.groupBy(target).count().collect()}
+def class_counts(df: DataFrame, target: str, limit: int = 100_000) -> dict:
+    """Rows per class (a bounded table: classes, not rows)."""
+    from vela.operators.patterns import bounded_collect
+    rows = bounded_collect(df.groupBy(target).count(), limit)
+    if rows is None:
+        raise ValueError(f"{target} has more than {limit} classes")
+    return {r[0]: r[1] for r in rows}
 
 
 def stratified_split(df: DataFrame, target: str, key: str, p: float = 0.8, seed: int = 1995,
