@@ -173,6 +173,17 @@ def q_pr_curve(spark, sf):
     return finish(ev.pr_curve(binary_preds(spark, sf), "real", "score", "yes"))
 
 
+@check("pr_auc_value", f"""
+WITH c AS (SELECT *, P - cum_pos AS tp_a, N - cum_neg AS fp_a FROM {CUM_SQL}),
+s AS (SELECT pos, tp_a::DOUBLE AS A, (tp_a + fp_a)::DOUBLE AS B, 1 + neg / pos AS k, P FROM c WHERE pos > 0)
+SELECT {R("sum(CASE WHEN B > 0 THEN pos / k + (A - B / k) * (ln(B + k * pos) - ln(B)) / k ELSE pos / k END) / max(P)")}
+       AS pr_auc
+FROM s
+""")
+def q_pr_auc_value(spark, sf):
+    return finish(ev.pr_auc(binary_preds(spark, sf), "real", "score", "yes"))
+
+
 REG_SQL = "(SELECT p_partkey, p_retailprice AS real, 900.0 + p_size * 10.0 AS pred FROM part)"
 
 

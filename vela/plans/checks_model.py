@@ -284,6 +284,22 @@ def _li_pair(spark, sf):
     return t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_linestatus", *PAIR2)
 
 
+@check("rda_lda_limit", _da_sql("lda"))
+def q_rda_limit(spark, sf):
+    """RDA with lambda = 1, gamma = 0 is LDA: same probabilities."""
+    o = _ord_pair(spark, sf)
+    m = classify.fit_discriminant(o, ORD_PAIR, "o_orderstatus", "rda", gamma=0.0, lam=1.0)
+    return finish(m.predict(o, keep=["o_orderkey", "o_orderstatus"]))
+
+
+@check("fda_degree1", _da_sql("lda"))
+def q_fda_degree1(spark, sf):
+    """FDA on the degree-1 basis is LDA on the same features."""
+    o = _ord_pair(spark, sf)
+    m = classify.fit_fda(o, ORD_PAIR, "o_orderstatus", degree=1)
+    return finish(m.predict(o, keep=["o_orderkey", "o_orderstatus"]))
+
+
 @check("rda")
 def q_rda(spark, sf):
     li = _li_pair(spark, sf)
