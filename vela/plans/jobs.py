@@ -162,14 +162,21 @@ def leak_safe_report(df: DataFrame, key: str, target: str, features: list[str],
     return {"dropped_columns": dropped, "medians": med, "features": feats, "tuning": tuned,
             "predictions": allp,
             "resamples": tune.resample_summary(
-                tuned[models[0]].results.unionByName(*[tuned[m].results for m in models[1:]])
-                if len(models) > 1 else tuned[models[0]].results, "model",
+                reduce_frames([tuned[m].results for m in models]), "model",
                 [c for c in ("ROC", "Sens", "Spec", "Accuracy") if c in tuned[models[0]].results.columns]),
             "comparison": evaluate.compare_models(allp, "model", "real", "predicted", "prob", tgt.positive,
                                                   order=("auc", "accuracy")),
             "importance": evaluate.filter_importance(train, feats, target, tgt.levels)}
 
 
+def reduce_frames(frames):
+    """Union of several tables with the same columns."""
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
 def full_report(df: DataFrame, key: str, target: str, **kw) -> dict:
     """J1 then J2 on the same table."""
     return {"unsupervised": unsupervised_report(df, key, target, **kw.get("unsupervised", {})),
