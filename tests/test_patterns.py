@@ -51,3 +51,22 @@ def test_grouped_moments(spark):
         assert m.n[i] == len(sub)
         assert np.allclose(m.mean[i], sub.mean(0))
         assert np.allclose(m.scatter[i] / (len(sub) - 1), np.cov(sub.T), rtol=1e-9)
+
+
+def test_results_do_not_depend_on_partitioning(spark):
+    from vela.operators import profile, split
+    rng = np.random.default_rng(9)
+    pdf = pd.DataFrame({"k": np.arange(3000), "y": rng.choice(["a", "b", "c"], 3000, p=[.6, .3, .1]),
+                        "v": np.round(rng.normal(size=3000), 2)})
+    outs = []
+    for parts in (1, 7):
+        df = spark.createDataFrame(pdf).repartition(parts)
+        q = exact_quantiles(df, ["y"], "v", [0.1, 0.5, 0.9]).orderBy("y").collect()
+        f, _, _ = split.stratified_split(df, "y", "k", 0.7, 3)
+        tr = sorted(r[0] for r in f.filter("is_train").select("k").collect())
+        outs.append((q, tr))
+    assert outs[0] == outs[1]
+    df = spark.createDataFrame(pdf)
+    a = profile.profile(df.unionAll(df)).collect()[0]
+    b = profile.profile(df.unionAll(df), exact=False).collect()[0]
+    assert a == b
