@@ -47,3 +47,26 @@ def test_supervised_and_unsupervised_reports(spark, blobs):
     u = jobs.unsupervised_report(blobs, "key", "cluster", k=3, nstart=2)
     assert u["mean_silhouette"][2] > 0.5
     assert u["reduced"].count() == 300
+
+
+def test_closed_form_tuning_matches_fold_by_fold(spark, blobs):
+    from vela.operators import split, tune
+    two = blobs.withColumn("y", F.when(F.col("cluster") == "c1", "yes").otherwise("no")) \
+        .withColumn("x1", F.col("x1") + F.col("x2") * 0.3)
+    folds = split.stratified_folds(two, "y", "key", 3, 1, seed=2)
+    grid = [{"gamma": 0.0, "lam": 1.0}, {"gamma": 0.2, "lam": 0.5}]
+    fast = tune.tune(two, "rda", FEATS, "y", "key", grid, folds, ["yes", "no"], "yes")
+    assert fast.results.count() == 6
+    # the same cells the generic way: one fit per fold
+    from vela.operators.classify import fit_discriminant
+    data = two.join(folds, "key")
+    for g in grid:
+        for f in (1, 2, 3):
+            tr = data.filter(F.col("fold") != f)
+            te = data.filter(F.col("fold") == f)
+            m = fit_discriminant(tr, FEATS, "y", "rda", levels=["yes", "no"], **g)
+            acc = m.predict(te, keep=["y"]).select(F.avg((F.col("y") == F.col("predicted")).cast("double"))) \
+                .collect()[0][0]
+            got = fast.results.filter((F.col("fold") == f) & (F.col("params") == __import__("json").dumps(g, sort_keys=True))) \
+                .collect()[0]["Accuracy"]
+            assert abs(acc - got) < 1e-12

@@ -137,26 +137,31 @@ def fit_discriminant(df: DataFrame, features, target: str, kind: str = "lda", ga
     groups = mom.groups
     lv = levels or groups
     idx = [groups.index(str(g)) for g in lv]
-    n_k = mom.n[idx]
-    means = mom.mean[idx]
-    scat = mom.scatter[idx]
+    return discriminant_from_moments(features, [str(x) for x in lv], mom.n[idx], mom.mean[idx],
+                                     mom.scatter[idx], kind, gamma, lam)
+
+
+def discriminant_from_moments(features, lv: list, n_k, means, scat, kind: str = "lda", gamma: float = 0.0,
+                              lam: float = 1.0) -> GaussianDA:
+    """The fit itself, from per-class (n, mean, scatter): d x d work only."""
+    d = means.shape[1]
     n = n_k.sum()
     priors = n_k / n
     K = len(lv)
     pooled = scat.sum(0) / (n - K)
     if kind == "lda":
-        return GaussianDA(features, [str(x) for x in lv], priors, means, np.array([pooled]), "lda",
+        return GaussianDA(features, lv, priors, means, np.array([pooled]), "lda",
                           _lda_scaling(pooled, means, priors, n))
     per = np.array([scat[k] / (n_k[k] - 1) for k in range(K)])
     if kind == "qda":
-        return GaussianDA(features, [str(x) for x in lv], priors, means, per, "qda")
+        return GaussianDA(features, lv, priors, means, per, "qda")
     if kind == "rda":
         covs = []
         for k in range(K):
-            s = (1 - lam) * per[k] + lam * pooled
-            s = (1 - gamma) * s + gamma * np.trace(s) / d * np.eye(d)
-            covs.append(s)
-        return GaussianDA(features, [str(x) for x in lv], priors, means, np.array(covs), "rda")
+            s_ = (1 - lam) * per[k] + lam * pooled
+            s_ = (1 - gamma) * s_ + gamma * np.trace(s_) / d * np.eye(d)
+            covs.append(s_)
+        return GaussianDA(features, lv, priors, means, np.array(covs), "rda")
     raise ValueError(f"unknown discriminant {kind!r}")
 
 
@@ -214,9 +219,12 @@ def fit_naive_bayes(df: DataFrame, features, target: str, levels: list | None =
     mom, d = _moments(df, features, target)
     lv = levels or mom.groups
     idx = [mom.groups.index(str(g)) for g in lv]
-    n_k = mom.n[idx]
-    var = np.array([np.diag(mom.scatter[i]) / (mom.n[i] - 1) for i in idx])
-    return GaussianNB(features, [str(x) for x in lv], n_k / n_k.sum(), mom.mean[idx], np.sqrt(var))
+    return nb_from_moments(features, [str(x) for x in lv], mom.n[idx], mom.mean[idx], mom.scatter[idx])
+
+
+def nb_from_moments(features, lv: list, n_k, means, scat) -> GaussianNB:
+    var = np.array([np.diag(scat[i]) / (n_k[i] - 1) for i in range(len(lv))])
+    return GaussianNB(features, lv, n_k / n_k.sum(), means, np.sqrt(var))
 
 
 # ------------------------------------------------------------------ H17
@@ -288,6 +296,7 @@ class MLModel:
     featurize: object = None
     calibration: tuple | None = None   # (a, b): p = sigmoid(a * margin + b) for SVMs
     name: str = ""
+    glm: bool = False                  # binomial GLM: ``prediction`` is P(second level)
 
     def _vec(self, df: DataFrame) -> DataFrame:
         from pyspark.ml.functions import array_to_vector
@@ -301,7 +310,10 @@ class MLModel:
         keep = df.columns if keep is None else keep
         out = self.model.transform(self._vec(df))
         lv = [str(x) for x in self.levels]
-        if self.calibration is not None:
+        if self.glm:
+            p1 = F.col("prediction")
+            probs = [(1 - p1).alias(f"prob_{lv[0]}"), p1.alias(f"prob_{lv[1]}")]
+        elif self.calibration is not None:
             a, b = self.calibration
             margin = vector_to_array("rawPrediction")[1]
             p1 = 1 / (1 + F.exp(-(F.lit(a) * margin + F.lit(b))))
@@ -351,9 +363,19 @@ def fit_ml(df: DataFrame, features, target: str, estimator, levels=None, featuri
 
 def fit_logistic(df, features, target, levels=None, reg: float = 0.0, max_iter: int = 100,
                  tol: float = 1e-10) -> MLModel:
-    """H1: unpenalised logistic regression (binomial with 2 classes)."""
+    """H1: unpenalised logistic regression.  Two classes: binomial GLM by
+    IRLS (ml ``GeneralizedLinearRegression``, as R's ``glm``: one d x d
+    weighted least-squares aggregate per iteration, converging in a handful
+    of iterations); P(second level) is modelled, as in R.  More classes:
+    multinomial ``LogisticRegression``."""
     from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.regression import GeneralizedLinearRegression
     lv = _levels(df, target, levels)
+    if len(lv) == 2 and reg == 0.0:
+        m = fit_ml(df, features, target, GeneralizedLinearRegression(
+            family="binomial", link="logit", maxIter=25, tol=1e-8, regParam=0.0), lv, name="glm")
+        m.glm = True
+        return m
     fam = "binomial" if len(lv) == 2 else "multinomial"
     return fit_ml(df, features, target, LogisticRegression(regParam=reg, maxIter=max_iter, tol=tol,
                                                            family=fam, standardization=False),
