@@ -43,3 +43,33 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hi
        sha256(coalesce(ids, '')) AS items_sha256, (coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.w)) AS contaminated
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN its USING (doc_id)
 """
+
+
+@query
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vela.llm.common import crc_mod
+    from vela.llm.langid import fit_langid, identify, train_rows
+    docs = read(spark, sf_dir, "documents")
+    found = identify(docs, fit_langid(train_rows(docs)))
+    return found.select("doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vela.llm.ngram_join import ngram_join
+    return ngram_join(read(spark, sf_dir, "documents"))
+
+
+ORACLES["op10_ngram_join"] = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_WORDS.format('text')} AS w FROM documents),
+sh AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, s::BIGINT, (s + least(len(w), 5) - 1)::BIGINT), ' ') AS g
+       FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 5, 0) + 2)) AS s FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM sh a JOIN sh b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+link AS (SELECT a, b, c, x.n AS na, y.n AS nb FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 5 * c >= 4 * (x.n + y.n - c)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
+cls AS (SELECT a AS doc_id, min(b) AS class_id FROM reach GROUP BY a),
+deg AS (SELECT a AS doc_id, count(*) AS n_links, count(*) FILTER (c = na AND na = nb) AS same FROM link GROUP BY a)
+SELECT d.doc_id, class_id, coalesce(n_links, 0)::BIGINT AS n_links, (coalesce(same, 0) + 1)::BIGINT AS copies, coalesce(n.n, 0)::BIGINT AS n_shingles
+FROM d JOIN cls USING (doc_id) LEFT JOIN deg USING (doc_id) LEFT JOIN n USING (doc_id)
+"""
