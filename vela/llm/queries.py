@@ -73,3 +73,31 @@ deg AS (SELECT a AS doc_id, count(*) AS n_links, count(*) FILTER (c = na AND na
 SELECT d.doc_id, class_id, coalesce(n_links, 0)::BIGINT AS n_links, (coalesce(same, 0) + 1)::BIGINT AS copies, coalesce(n.n, 0)::BIGINT AS n_shingles
 FROM d JOIN cls USING (doc_id) LEFT JOIN deg USING (doc_id) LEFT JOIN n USING (doc_id)
 """
+
+
+@query
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from vela.llm.packing import best_fit_pack
+    return best_fit_pack(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vela.llm.suffix_tree_dedup import dedup_substrings
+    found = dedup_substrings(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLES["op7_substring_dedup"] = """
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, s, array_to_string(list_slice(w, s::BIGINT, (s + 19)::BIGINT), ' ') AS t
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS s FROM d WHERE len(w) >= 20)),
+late AS (SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY t ORDER BY doc_id, s) AS r FROM win) WHERE r > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS p FROM late),
+words AS (SELECT doc_id, generate_subscripts(w, 1) AS p, unnest(w) AS word FROM d),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS t FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id),
+n AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n.n, 0)::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN n USING (doc_id)
+"""
