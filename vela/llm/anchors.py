@@ -77,41 +77,60 @@ def ordered(table: pa.Table) -> tuple[pa.Table, np.ndarray]:
 
 
 def key_pieces(part: int, keys: np.ndarray, buckets: int) -> pa.Table:
-    """Distinct keys of a part, cut by key range: one row for each bucket that gets any."""
-    keys = np.unique(keys)
+    """Distinct keys of a part, cut by key range: one row for each bucket that gets any.
+
+    A blob holds the keys and, in a byte each, the logarithm of how often the part has them.
+    """
+    keys, n = np.unique(keys, return_counts=True)
+    log = np.ceil(np.log2(n)).astype(np.uint8)
     bucket = ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
     cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(keys) else np.zeros(0, dtype=np.int64)
     ends = np.r_[cuts[1:], len(keys)] if len(cuts) else cuts
     return pa.table({"part": pa.array([part] * len(cuts), pa.int64()), "bucket": pa.array(bucket[cuts].astype(np.int64), pa.int64()),
-                     "blob": pa.array([keys[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary())})
-
-
-def _answer(table: pa.Table) -> pa.Table:
-    parts = table.column("part").to_pylist()
-    lists = [np.frombuffer(b, dtype=np.uint64) for b in table.column("blob").to_pylist()]
-    keys = np.concatenate(lists)
-    row = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-    by = np.argsort(keys, kind="stable")
-    keys, row = keys[by], row[by]
-    same = keys[1:] == keys[:-1]
-    shared = np.r_[False, same] | np.r_[same, False]
-    keys, row = keys[shared], row[shared]
-    by = np.argsort(row, kind="stable")
-    keys, row = keys[by], row[by]
-    at = np.searchsorted(row, np.arange(len(lists) + 1))
-    some = [i for i in range(len(lists)) if at[i + 1] > at[i]]
-    return pa.table({"part": pa.array([parts[i] for i in some], pa.int64()), "bucket": pa.array([-1] * len(some), pa.int64()),
-                     "blob": pa.array([keys[at[i]:at[i + 1]].tobytes() for i in some], pa.binary())})
-
-
-def shared_keys(asks: DataFrame) -> DataFrame:
-    """Answers: for each part, the keys that another part asks about too (bucket -1)."""
-    return asks.groupBy("bucket").applyInArrow(_answer, KEYS)
-
-
-def joined(blobs: list[bytes]) -> np.ndarray:
-    """Sorted keys of all answers of a part."""
-    return np.sort(np.frombuffer(b"".join(blobs), dtype=np.uint64))
+                     "blob": pa.array([keys[a:b].tobytes() + log[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary())})
+
+
+def _unpack(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(keys, bytes that go with them, blob of each)."""
+    n = [len(b) // 9 for b in blobs]
+    keys = np.concatenate([np.frombuffer(b, dtype=np.uint64, count=k) for b, k in zip(blobs, n)] or [np.zeros(0, dtype=np.uint64)])
+    more = np.concatenate([np.frombuffer(b, dtype=np.uint8, offset=8 * k) for b, k in zip(blobs, n)] or [np.zeros(0, dtype=np.uint8)])
+    return keys, more, np.repeat(np.arange(len(blobs)), n)
+
+
+def _answer(hot: int):
+    def run(table):
+        parts = table.column("part").to_pylist()
+        keys, log, row = _unpack(table.column("blob").to_pylist())
+        by = np.argsort(keys, kind="stable")
+        keys, log, row = keys[by], log[by], row[by]
+        new = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+        size = np.diff(np.r_[new, len(keys)])
+        often = np.repeat(np.add.reduceat(np.exp2(log.astype(np.float64)), new) > hot, size).astype(np.uint8)
+        shared = np.repeat(size > 1, size)
+        keys, often, row = keys[shared], often[shared], row[shared]
+        by = np.argsort(row, kind="stable")
+        keys, often, row = keys[by], often[by], row[by]
+        at = np.searchsorted(row, np.arange(len(parts) + 1))
+        some = [i for i in range(len(parts)) if at[i + 1] > at[i]]
+        return pa.table({"part": pa.array([parts[i] for i in some], pa.int64()), "bucket": pa.array([-1] * len(some), pa.int64()),
+                         "blob": pa.array([keys[at[i]:at[i + 1]].tobytes() + often[at[i]:at[i + 1]].tobytes() for i in some], pa.binary())})
+    return run
+
+
+def shared_keys(asks: DataFrame, hot: int) -> DataFrame:
+    """Answers: for each part, the keys that another part asks about too (bucket -1).
+
+    The byte of a key is 1 if about ``hot`` runs or more have it in all.
+    """
+    return asks.groupBy("bucket").applyInArrow(_answer(hot), KEYS)
+
+
+def joined(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys of all answers of a part, and whether each is hot."""
+    keys, often, _ = _unpack(blobs)
+    by = np.argsort(keys)
+    return keys[by], often[by].astype(bool)
 
 
 def member(keys: np.ndarray, known: np.ndarray) -> np.ndarray:

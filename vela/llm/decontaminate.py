@@ -162,7 +162,7 @@ def _scan(index_bc):
             for i, found in hit.items():
                 spans[i] = spans[i] + [v for a, m, _ in found for v in (a, a + m)]
                 items[i] = sorted(set(items[i]).union(*[index.owners[x] for _, _, x in found]))
-            yield pa.record_batch([*(batch.column(c) for c in ("id", "text")), pa.array(words, pa.int64()), pa.array(spans, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string()))], names=["id", "text", "n_words", "spans", "items"])
+            yield pa.record_batch([*(batch.column(c) for c in ("id", "text", "rest")), pa.array(words, pa.int64()), pa.array(spans, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string()))], names=["id", "text", "rest", "n_words", "spans", "items"])
     return run
 
 
@@ -177,12 +177,13 @@ def _finish(batches):
             n_hit.append(covered)
             n_items.append(len(items))
             digest.append(hashlib.sha256(",".join(items).encode()).hexdigest())
-        yield pa.record_batch([batch.column("id"), batch.column("n_words"), pa.array(n_hit, pa.int64()), pa.array(n_items, pa.int64()), pa.array(digest, pa.string()), batch.column("items")], names=["id", "n_words", "n_hit", "n_items", "items_sha256", "items"])
+        yield pa.record_batch([batch.column("id"), batch.column("n_words"), pa.array(n_hit, pa.int64()), pa.array(n_items, pa.int64()), pa.array(digest, pa.string()), batch.column("items"), batch.column("rest")], names=["id", "n_words", "n_hit", "n_items", "items_sha256", "items", "rest"])
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 13, slice_bytes: int = 4 << 20,
-                  id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """One row per document row: id, n_words, n_hit, n_items, items_sha256, items (array).
+                  id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
+                  carry: list[str] | None = None) -> DataFrame:
+    """One row per document row: id, n_words, n_hit, n_items, items_sha256, items (array), rest (struct of the ``carry`` columns).
 
     Null or wordless texts have no words and no hits; null or wordless items and
     items without an id have no window; repeated item rows count once per item_id;
@@ -191,13 +192,15 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 13, slice
     """
     spark = docs.sparkSession
     id_type = docs.schema[id_col].dataType.simpleString()
-    work = only(docs, id=id_col, text=text_col)
+    rest = F.struct(*[F.col(f"`{c}`") for c in carry]) if carry else F.lit(None).cast("struct<none:int>")
+    work = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), rest.alias("rest"))
+    rest_type = work.schema["rest"].dataType.simpleString()
     items = only(benchmark, item=item_col, text=item_text_col).where("item IS NOT NULL AND text IS NOT NULL") \
         .select(F.col("item").cast("string").alias("item"), "text")
     size = int(items.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
     slices = max(1, -(-size // slice_bytes))
-    out = work.select("id", "text", F.lit(0).cast("long").alias("n_words"), F.array().cast("array<bigint>").alias("spans"), F.array().cast("array<string>").alias("items"))
-    schema = f"id {id_type}, text string, n_words long, spans array<long>, items array<string>"
+    out = work.select("id", "text", "rest", F.lit(0).cast("long").alias("n_words"), F.array().cast("array<bigint>").alias("spans"), F.array().cast("array<string>").alias("items"))
+    schema = f"id {id_type}, text string, rest {rest_type}, n_words long, spans array<long>, items array<string>"
     for s in range(slices):
         rows = items.where(F.pmod(F.xxhash64("item"), F.lit(slices)) == s).collect()
         index = _Index([(r.item, r.text) for r in rows], window)
@@ -206,7 +209,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 13, slice
         # at most one row for each shingle of this slice
         index.keep_prefix({r.token & 0xFFFFFFFFFFFFFFFF: r.n for r in counts.collect()})
         out = out.mapInArrow(_scan(spark.sparkContext.broadcast(index)), schema)
-    return out.mapInArrow(_finish, f"id {id_type}, n_words long, n_hit long, n_items long, items_sha256 string, items array<string>") \
+    return out.mapInArrow(_finish, f"id {id_type}, n_words long, n_hit long, n_items long, items_sha256 string, items array<string>, rest {rest_type}") \
         .withColumnRenamed("id", id_col)
 
 

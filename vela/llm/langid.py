@@ -186,23 +186,25 @@ def _predict(model_bc):
             letters = np.array(batch.column("letters").to_pylist(), dtype=bool)
             names = np.array(model.langs, dtype=object)[best]
             yield pa.record_batch([batch.column("id"), pa.array(np.where(letters, names, UNDETERMINED), pa.string()),
-                                   pa.array(np.where(letters, np.clip(p[np.arange(len(p)), best], 0, 1), 0.0), pa.float64())], names=["id", "lang_pred", "score"])
+                                   pa.array(np.where(letters, np.clip(p[np.arange(len(p)), best], 0, 1), 0.0), pa.float64()), batch.column("rest")], names=["id", "lang_pred", "score", "rest"])
     return run
 
 
-def identify(docs: DataFrame, model: ByteCnn | None, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """id, lang_pred, score for each row.
+def identify(docs: DataFrame, model: ByteCnn | None, text_col: str = "text", id_col: str = "doc_id", carry: list[str] | None = None) -> DataFrame:
+    """id, lang_pred, score and rest (a struct of the ``carry`` columns) for each row.
 
     A null text, one without a letter, or any text when there is no model gives
     ``und`` with score 0.  Repeated rows give a row each; the prediction reads the
     text alone.
     """
-    kind = docs.schema[id_col].dataType.simpleString()
-    work = only(docs, id=id_col, text=text_col).select("id", "text", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letters"))
+    rest = F.struct(*[F.col(f"`{c}`") for c in carry]) if carry else F.lit(None).cast("struct<none:int>")
+    letters = F.coalesce(F.col(f"`{text_col}`").rlike(r"\p{L}"), F.lit(False))
+    work = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), letters.alias("letters"), rest.alias("rest"))
     if model is None:
-        return work.select(F.col("id").alias(id_col), F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"))
+        return work.select(F.col("id").alias(id_col), F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"), "rest")
     bc = docs.sparkSession.sparkContext.broadcast(model)
-    return work.mapInArrow(_predict(bc), f"id {kind}, lang_pred string, score double").withColumnRenamed("id", id_col)
+    kinds = {c: work.schema[c].dataType.simpleString() for c in ("id", "rest")}
+    return work.mapInArrow(_predict(bc), f"id {kinds['id']}, lang_pred string, score double, rest {kinds['rest']}").withColumnRenamed("id", id_col)
 
 
 def train_rows(docs: DataFrame) -> DataFrame:

@@ -101,3 +101,10 @@ n AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n.n, 0)::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN n USING (doc_id)
 """
+
+
+@query
+def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vela.llm.bwt_dedup import dedup_bytes
+    found = dedup_bytes(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

@@ -109,7 +109,7 @@ def _right(table: pa.Table) -> tuple[np.ndarray, dict[int, bytes]]:
             keys.append(blob)
         else:
             flags[b] = blob
-    return an.joined(keys), flags
+    return an.joined(keys)[0], flags
 
 
 def _send(window: int, gram: int, symbol: int, buckets: int, levels_bc):
@@ -228,7 +228,7 @@ def dedup_substrings(docs: DataFrame, window: int = 20, gram: int = 5, symbol: i
     for r in counts:
         levels[r["class"]] = min(window // symbol - 1, 1 + int(np.log2(r.n / group_suffixes) / 3))
     levels_bc = spark.sparkContext.broadcast(levels)
-    answers = an.shared_keys(asks.where("bucket >= 0"))
+    answers = an.shared_keys(asks.where("bucket >= 0"), group_suffixes)
     sent = rows.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(_send(window, gram, symbol, parts, levels_bc), "part long, bucket long, symbols binary, docs binary, runs binary")
     flags = sent.groupBy("bucket").applyInArrow(_resolve(window // symbol), an.KEYS)
     out = rows.groupBy("part").cogroup(answers.unionByName(flags).groupBy("part")) \
