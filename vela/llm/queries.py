@@ -108,3 +108,11 @@ def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from vela.llm.bwt_dedup import dedup_bytes
     found = dedup_bytes(read(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vela.llm.winnow import fingerprint_and_edit, spelled
+    found = fingerprint_and_edit(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), spelled("fingerprint").alias("fingerprint"),
+                        spelled("edited_fingerprint").alias("edited_fingerprint"), "near_edited", "near_next")
