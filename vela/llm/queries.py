@@ -116,3 +116,26 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = fingerprint_and_edit(read(spark, sf_dir, "documents"))
     return found.select("doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), spelled("fingerprint").alias("fingerprint"),
                         spelled("edited_fingerprint").alias("edited_fingerprint"), "near_edited", "near_next")
+
+
+@query
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vela.llm.html_extract import extract
+    found = extract(read(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vela.llm.common import crc_mod
+    from vela.llm.quality import score_quality
+    labels = read(spark, sf_dir, "labels").where(crc_mod("doc_id", 3) != 1)
+    found = score_quality(read(spark, sf_dir, "documents"), labels)
+    return found.select("doc_id", (crc_mod("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
+
+
+@query
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from vela.llm.token_counts import count_tokens
+    return count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
