@@ -24,33 +24,44 @@ from vela.llm.common import partitions_for, text_bytes
 
 _LOW32 = np.uint64(0xFFFFFFFF)
 _HIGH32 = np.uint64(0xFFFFFFFF00000000)
+_SPREAD = np.uint64(0xD6E8FEB86659FD93)
 KEYS = "part long, bucket long, blob binary"
 
 
 def sliding_min(values: np.ndarray, w: int) -> np.ndarray:
-    """Minimum of each run of w values (prefix and suffix minima of blocks of w)."""
-    n = len(values) - w + 1
-    if n <= 0:
-        return values[:0]
-    full = np.full(-(-len(values) // w) * w, np.iinfo(values.dtype).max, dtype=values.dtype)
-    full[:len(values)] = values
-    rows = full.reshape(-1, w)
-    ahead = np.minimum.accumulate(rows, axis=1).ravel()
-    behind = np.minimum.accumulate(rows[:, ::-1], axis=1)[:, ::-1].ravel()
-    return np.minimum(behind[:n], ahead[w - 1:w - 1 + n])
-
-
-def anchor_runs(values: np.ndarray, offsets: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(key, first window start, windows) for each run of windows with the same anchor."""
-    starts = tb.inside_windows(offsets, window)
-    if not len(starts):
-        z = np.zeros(0, dtype=np.int64)
+    """Minimum of each run of w values, by minima over doubling lengths."""
+    have = 1
+    while have < w:
+        step = min(have, w - have)
+        values = np.minimum(values[:-step], values[step:])
+        have += step
+    return values
+
+
+def anchor_runs(cum: np.ndarray, offsets: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(key, first window start, windows) for each run of windows with the same anchor.
+
+    ``cum`` are the prefix sums of the units (``textbytes.prefix_sums``).
+    """
+    z = np.zeros(0, dtype=np.int64)
+    first_of, last_of = offsets[:-1], offsets[1:] - window
+    some = last_of >= first_of
+    if not some.any():
         return z.astype(np.uint64), z, z
-    grams = tb.window_hashes(values, gram)
-    packed = (grams & _HIGH32) | (_LOW32 - np.arange(len(grams), dtype=np.uint64))
-    at = (_LOW32 - (sliding_min(packed, window - gram + 1)[starts] & _LOW32)).astype(np.int64)
-    new = np.flatnonzero(np.r_[True, (at[1:] != at[:-1]) | (starts[1:] != starts[:-1] + 1)])
-    return grams[at[new]], starts[new], np.diff(np.r_[new, len(starts)])
+    n = len(cum) - gram
+    _, inv = tb.powers(len(cum))
+    packed = cum[gram:] - cum[:n]
+    packed *= inv[:n]
+    packed *= _SPREAD
+    packed &= _HIGH32
+    packed |= _LOW32 - np.arange(n, dtype=np.uint64)
+    low = sliding_min(packed, window - gram + 1).astype(np.uint32)  # what is left of the position picks the anchor
+    cuts = np.unique(np.concatenate([np.flatnonzero(low[1:] != low[:-1]) + 1, first_of[some], last_of[some] + 1]))
+    doc = np.searchsorted(offsets, cuts, side="right") - 1
+    inside = np.flatnonzero((doc >= 0) & (doc < len(last_of)) & (cuts <= last_of[np.minimum(doc, len(last_of) - 1)]))
+    start = cuts[inside]
+    at = (_LOW32 - low[start].astype(np.uint64)).astype(np.int64)
+    return tb.span_hashes(cum, at, at + gram), start, cuts[inside + 1] - start
 
 
 def expand(first: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -141,7 +152,7 @@ def member(keys: np.ndarray, known: np.ndarray) -> np.ndarray:
     return known[at] == keys
 
 
-def byte_blocks(table: pa.Table, limit: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def byte_blocks(table: pa.Table, limit: int = 1 << 18) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(lo, hi, bytes, offsets) of the texts of a part, a bounded block at a time."""
     data, offs = tb.buffers(table.column("text"))
     for lo, hi in tb.blocks(offs, limit):

@@ -1,9 +1,9 @@
 """Suffix-array dedup: shard Burrows-Wheeler transforms merged by interleave refinement.
 
 Method.  Bytes covered by a ``window``-byte string that also starts in a smaller
-document are removed.  The alphabet is ``symbol``-byte grams, so a step of the
-last-to-first mapping goes back ``symbol`` bytes and window / symbol refinements see
-whole windows.  A shard sorts its suffixes and keeps, for each level, the
+document are removed.  The alphabet is ``symbol``-byte grams (hashed), so a step of the
+last-to-first mapping goes back about ``symbol`` bytes and ``rounds`` refinements see
+whole windows (a window is covered by ``rounds`` grams, which may overlap).  A shard sorts its suffixes and keeps, for each level, the
 symbol before each suffix in sorted order (its transform).  Merging shards never sorts suffixes
 again: the interleave starts as the shards one after another, each refinement reads
 the transforms in step with it and deals its entries stably by symbol; an entry that parts from
@@ -39,65 +39,66 @@ def stable_order(codes: np.ndarray) -> np.ndarray:
 class Shard:
     """Sorted window starts of some contexts, and the transform of each level.
 
-    ``transforms[0]`` holds the last symbol of each window in context order;
-    ``transforms[r]`` the symbol before the last r, in the order of those r symbols.
+    ``transforms[0]`` holds the last symbol of each window in context order,
+    ``transforms[r]`` the symbol before the last r, in the order of those r symbols;
+    ``steps[r]`` leads from an entry's place at level r to its place at level r + 1 (the
+    last-to-first mapping).  ``places`` are the windows' final places.
     """
 
-    def __init__(self, text: np.ndarray, starts: np.ndarray, window: int, symbol: int):
+    def __init__(self, text: np.ndarray, starts: np.ndarray, window: int, rounds: int):
+        symbol = -(-window // rounds)
         codes = (tb.window_hashes(tb.byte_values(text), symbol) >> np.uint64(32)).astype(np.uint32)
-        order = np.arange(len(starts))
-        self.transforms = []
-        for back in range(window - symbol, -1, -symbol):
-            here = codes[starts[order] + back]
+        order = starts.astype(np.int32)
+        entry = np.arange(len(starts), dtype=np.int32)
+        self.transforms, self.steps = [], []
+        for back in ((window - symbol) * r // max(1, rounds - 1) for r in range(rounds - 1, -1, -1)):
+            here = codes[order + np.int32(back)]
+            deal = stable_order(here)
+            step = np.empty(len(deal), dtype=np.int32)
+            step[deal] = np.arange(len(deal), dtype=np.int32)
             self.transforms.append(here)
-            order = order[stable_order(here)]
-        self.order = order
+            self.steps.append(step)
+            order, entry = order[deal], entry[deal]
+        self.places = np.empty(len(entry), dtype=np.int32)
+        self.places[entry] = np.arange(len(entry), dtype=np.int32)
 
 
 def merge(shards: list[Shard]) -> tuple[list[np.ndarray], np.ndarray]:
     """For each shard, the run of each of its window starts (equal windows share a run); common prefixes in symbols."""
-    sizes = np.array([len(s.order) for s in shards], dtype=np.int64)
+    sizes = np.array([len(s.places) for s in shards], dtype=np.int64)
     base = np.cumsum(sizes) - sizes
-    rounds = len(shards[0].transforms)
-    which = np.repeat(np.arange(len(shards), dtype=np.int32), sizes)
-    run = np.zeros(len(which), dtype=np.int64)
-    common = np.full(len(which), rounds, dtype=np.int16)
+    total, rounds = int(sizes.sum()), len(shards[0].transforms)
+    at = np.arange(total, dtype=np.int32)  # the interleave: which entry of which shard comes next
+    run = np.zeros(total, dtype=np.int32)
+    parted = np.zeros(total, dtype=bool)
     for r in range(rounds):
         transform = np.concatenate([s.transforms[r] for s in shards])
-        # the next entry of each shard, in step with the interleave
-        by_shard = np.argsort(which.astype(np.uint16) if len(shards) < 65536 else which, kind="stable")
-        rank = np.empty(len(which), dtype=np.int64)
-        rank[by_shard] = np.arange(len(which)) - np.repeat(base, sizes)
-        here = transform[base[which] + rank]
+        step = np.concatenate([s.steps[r] + np.int32(b) for s, b in zip(shards, base.tolist())])
+        here = transform[at]
         deal = stable_order(here)
-        here, which, before = here[deal], which[deal], run[deal]
-        parted = np.r_[False, (here[1:] != here[:-1]) | (before[1:] != before[:-1])]
-        run = np.cumsum(parted)
-    common[np.r_[True, run[1:] != run[:-1]]] = 0
-    by_shard = np.argsort(which, kind="stable")
-    out = []
-    for s, b in zip(shards, base.tolist()):
-        own = np.empty(len(s.order), dtype=np.int64)
-        own[s.order] = run[by_shard[b:b + len(s.order)]]
-        out.append(own)
-    return out, common
-
-
-def seen_before(texts: list[bytes], counts: list[np.ndarray], docs: list[np.ndarray], window: int, symbol: int) -> list[np.ndarray]:
+        here, at, before = here[deal], step[at[deal]], run[deal]
+        np.logical_or(here[1:] != here[:-1], before[1:] != before[:-1], out=parted[1:])
+        run = np.cumsum(parted, dtype=np.int32)
+    common = np.where(parted, 0, rounds)
+    common[:1] = 0
+    final = np.empty(total, dtype=np.int32)
+    final[at] = run
+    return [final[b:b + n][s.places] for s, b, n in zip(shards, base.tolist(), sizes.tolist())], common
+
+
+def seen_before(texts: list[bytes], counts: list[np.ndarray], docs: list[np.ndarray], window: int, rounds: int) -> list[np.ndarray]:
     """For each shard (contexts one after another, with their window counts and documents): which windows start in a smaller document too."""
     shards, owner = [], []
     for text, count, doc in zip(texts, counts, docs):
         length = count + (window - 1)
         starts = an.expand(np.cumsum(length) - length, count)
-        shards.append(Shard(np.frombuffer(text, dtype=np.uint8), starts, window, symbol))
+        shards.append(Shard(np.frombuffer(text, dtype=np.uint8), starts, window, rounds))
         owner.append(np.repeat(doc, count))
     runs, _ = merge(shards)
     run, doc = np.concatenate(runs), np.concatenate(owner)
-    by = np.argsort(run, kind="stable")
-    new = np.flatnonzero(np.r_[True, run[by][1:] != run[by][:-1]])
-    least = np.empty(len(doc), dtype=np.int64)
-    least[by] = np.repeat(np.minimum.reduceat(doc[by], new), np.diff(np.r_[new, len(by)]))
-    return np.split(doc > least, np.cumsum([len(o) for o in owner])[:-1])
+    order = stable_order(run.astype(np.uint32))
+    lowest = np.minimum.reduceat(doc[order], np.r_[0, np.cumsum(np.bincount(run))[:-1]])
+    return np.split(doc > lowest[run], np.cumsum([len(o) for o in owner])[:-1])
 
 
 class _Bytes:
@@ -109,12 +110,12 @@ class _Bytes:
         self.window = window
         keys, first, count, ident = [], [], [], []
         for lo, _, data, o in an.byte_blocks(self.table):
-            values = tb.byte_values(data)
-            k, f, c = an.anchor_runs(values, o, window, gram)
+            cum = tb.prefix_sums(tb.byte_values(data))
+            k, f, c = an.anchor_runs(cum, o, window, gram)
             keys.append(k)
             first.append(f + self.offsets[lo])
             count.append(c)
-            ident.append(tb.span_hashes(tb.prefix_sums(values), f, f + c + window - 1))
+            ident.append(tb.span_hashes(cum, f, f + c + window - 1))
         cat = lambda x, kind: np.concatenate(x) if x else np.zeros(0, dtype=kind)
         self.keys, self.ident = cat(keys, np.uint64), cat(ident, np.uint64)
         self.first, self.count = cat(first, np.int64), cat(count, np.int64)
@@ -191,18 +192,18 @@ def _send(window: int, gram: int, buckets: int):
     return run
 
 
-def _resolve(window: int, symbol: int):
+def _resolve(window: int, rounds: int):
     def run(table):
         cols = {n: table.column(n).to_pylist() for n in ("contexts", "counts", "docs", "runs")}
         docs = [np.repeat(np.frombuffer(d, dtype=np.int64), np.frombuffer(r, dtype=np.int32)) for d, r in zip(cols["docs"], cols["runs"])]
-        seen = seen_before(cols["contexts"], [np.frombuffer(b, dtype=np.uint8).astype(np.int64) for b in cols["counts"]], docs, window, symbol)
+        seen = seen_before(cols["contexts"], [np.frombuffer(b, dtype=np.uint8).astype(np.int64) for b in cols["counts"]], docs, window, rounds)
         keep = [i for i, s in enumerate(seen) if s.any()]
         return pa.table({"part": table.column("part").take(pa.array(keep, pa.int64())), "bucket": table.column("bucket").take(pa.array(keep, pa.int64())),
                          "blob": pa.array([np.packbits(seen[i]).tobytes() for i in keep], pa.binary())})
     return run
 
 
-def _remove(window: int, gram: int, symbol: int, buckets: int):
+def _remove(window: int, gram: int, rounds: int, buckets: int):
     def run(docs, answers):
         names = ["id", "n_bytes", "n_removed", "n_spans", "kept", "rest"]
         if not docs.num_rows:
@@ -230,28 +231,27 @@ def _remove(window: int, gram: int, symbol: int, buckets: int):
                 put(own, np.unpackbits(np.frombuffer(blob, dtype=np.uint8), count=int(c["count"][own].sum())).astype(bool))
         own = lead[~c["outside"][lead]]  # repeated in this part alone
         if len(own):
-            put(own, seen_before([text.text_of(c["start"][own], c["count"][own])], [c["count"][own]], [c["id"][own]], window, symbol)[0])
+            put(own, seen_before([text.text_of(c["start"][own], c["count"][own])], [c["count"][own]], [c["id"][own]], window, rounds)[0])
         flags = seen[code] | (c["id"] > c["id"][lead[code]])[:, None] if len(code) else seen
         gone = flags & (np.arange(width)[None, :] < c["count"][:, None]) if len(code) else flags
         e, w = np.nonzero(gone)
-        at = c["start"][e] + w
-        n = len(text.data)
-        delta = np.bincount(at, minlength=n + 1) - np.bincount(at + window, minlength=n + 1)
-        removed = np.cumsum(delta[:n]) > 0
-        o = text.offsets
-        total = np.r_[0, np.cumsum(removed)]
-        begins = removed & ~np.r_[False, removed[:-1]] if n else removed
-        inner = o[:-1][o[:-1] < n]
-        begins[inner] = removed[inner]
-        spans = np.r_[0, np.cumsum(begins)]
+        at, n, o = c["start"][e] + w, len(text.data), text.offsets
+        doc = text.doc_of(at)
+        new = np.flatnonzero(np.r_[True, (at[1:] > at[:-1] + window) | (doc[1:] != doc[:-1])]) if len(at) else at
+        edge = np.zeros(n + 1, dtype=np.int8)  # runs that touch at a document's end cancel out
+        np.add.at(edge, at[new], 1)
+        np.add.at(edge, at[np.r_[new[1:], len(at)] - 1] + window if len(at) else at, -1)
+        removed = np.cumsum(edge[:n], dtype=np.int8).astype(bool)
+        total = np.r_[np.int32(0), np.cumsum(removed, dtype=np.int32)]
+        spans = np.bincount(doc[new], minlength=len(o) - 1)
         kept = text.data[~removed].tobytes()
         ko = o - total[o]
-        return pa.table([text.table.column("id"), pa.array(np.diff(o)), pa.array(np.diff(total[o])), pa.array(np.diff(spans[o])),
+        return pa.table([text.table.column("id"), pa.array(np.diff(o)), pa.array(np.diff(total[o]).astype(np.int64)), pa.array(spans.astype(np.int64)),
                          pa.array([kept[a:b] for a, b in zip(ko[:-1].tolist(), ko[1:].tolist())], pa.binary()), text.table.column("rest")], names=names)
     return run
 
 
-def dedup_bytes(docs: DataFrame, window: int = 50, gram: int = 16, symbol: int = 10, part_bytes: int = 4 << 20, hot: int = 200_000,
+def dedup_bytes(docs: DataFrame, window: int = 50, gram: int = 16, rounds: int = 3, part_bytes: int = 3 << 20, hot: int = 200_000,
                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_bytes, n_removed, n_spans (maximal removed runs), kept (remaining bytes), rest (the other columns).
 
@@ -260,15 +260,16 @@ def dedup_bytes(docs: DataFrame, window: int = 50, gram: int = 16, symbol: int =
     nothing.  Ids are integers (null: the smallest); rows of one id never remove
     each other's bytes.  An empty table gives an empty table.
     """
-    if window % symbol or gram > window:
-        raise ValueError("window must be a multiple of symbol and at least gram")
+    if gram > window or window - gram >= 255:
+        raise ValueError("window must be gram to gram + 254")
     rows, parts = an.in_parts(docs, id_col, text_col, part_bytes)
     kind = docs.schema[id_col].dataType.simpleString()
     rest = rows.schema["rest"].dataType.simpleString()
-    asks = rows.groupBy("part").applyInArrow(_ask(window, gram, parts), an.KEYS)
+    buckets = 2 * parts  # a bucket's sort takes about 50 bytes for each byte of its contexts
+    asks = rows.groupBy("part").applyInArrow(_ask(window, gram, buckets), an.KEYS)
     answers = cut(an.shared_keys(asks, hot))
-    sent = rows.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(_send(window, gram, parts), "part long, bucket long, contexts binary, counts binary, docs binary, runs binary")
-    flags = sent.groupBy("bucket").applyInArrow(_resolve(window, symbol), an.KEYS)
+    sent = rows.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(_send(window, gram, buckets), "part long, bucket long, contexts binary, counts binary, docs binary, runs binary")
+    flags = sent.groupBy("bucket").applyInArrow(_resolve(window, rounds), an.KEYS)
     out = rows.groupBy("part").cogroup(answers.unionByName(flags).groupBy("part")) \
-        .applyInArrow(_remove(window, gram, symbol, parts), f"id {kind}, n_bytes long, n_removed long, n_spans long, kept binary, rest {rest}")
+        .applyInArrow(_remove(window, gram, rounds, buckets), f"id {kind}, n_bytes long, n_removed long, n_spans long, kept binary, rest {rest}")
     return out.withColumnRenamed("id", id_col)

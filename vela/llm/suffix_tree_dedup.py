@@ -13,8 +13,8 @@ Only suffixes that can reach such a node enter a tree: those whose anchor
 earliest occurrence, so a passage held by a third of all documents gives one suffix
 a part.  A suffix is carried as its next five 32-bit symbols (160 bits).
 
-Passes: ask for anchors; send suffixes; remove words.  Each reads the documents
-in parts of bounded bytes; the parts are one shuffle, reused.
+Passes: count first symbols (map-only); ask for anchors; send suffixes; remove words.  The last
+three read the documents in parts of bounded bytes; the parts are one shuffle, reused.
 """
 from __future__ import annotations
 
@@ -26,9 +26,9 @@ from pyspark.sql import functions as F
 
 from vela.llm import anchors as an
 from vela.llm import textbytes as tb
-from vela.llm.common import cut
 
-_CLASSES = 1 << 16
+_BITS = 12
+_CLASSES = 1 << _BITS
 
 
 class _Words:
@@ -41,7 +41,7 @@ class _Words:
         for _, _, data, o in an.byte_blocks(self.table):
             starts, ends, wo = tb.word_spans(data, o, tb.NONSPACE)
             h = tb.word_hashes(data, starts, ends, lower=False)
-            k, f, c = an.anchor_runs(h, wo, window, gram)
+            k, f, c = an.anchor_runs(tb.prefix_sums(h), wo, window, gram)
             hashes.append(h)
             offs.append(wo[1:] + base)
             keys.append(k)
@@ -79,25 +79,30 @@ class _Words:
 
 def _buckets(symbols: np.ndarray, levels: np.ndarray, buckets: int) -> np.ndarray:
     """Group of each suffix: the hash of its prefix, whose length its first symbol decides."""
-    length = levels[symbols[:, 0] >> 16]
+    length = levels[symbols[:, 0] >> np.uint32(32 - _BITS)]
     h = np.zeros(len(symbols), dtype=np.uint64)
     for j in range(symbols.shape[1]):
         h = np.where(length >= j, tb.mix(h + symbols[:, j].astype(np.uint64) + np.uint64(1)), h)
     return (((h >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
 
 
-def _ask(window: int, gram: int, symbol: int, buckets: int, heavy: int):
+def _ask(window: int, gram: int, buckets: int):
     def run(key, table):
-        part = key[0].as_py()
-        words = _Words(table, window, gram)
-        asks = an.key_pieces(part, words.keys, buckets)
-        # prefixes that may be heavy: distinct windows of this part by class of their first symbol
-        first = words.symbols(an.expand(words.first, words.count), symbol)[:, :1] if len(words.first) else np.zeros((0, 1), dtype=np.uint32)
-        n = np.bincount((first[:, 0] >> 16).astype(np.int64), minlength=_CLASSES)
-        some = np.flatnonzero(n >= heavy)
-        extra = pa.table({"part": pa.array([part], pa.int64()), "bucket": pa.array([-2], pa.int64()),
-                          "blob": pa.array([np.stack([some, n[some]]).astype(np.int64).tobytes()], pa.binary())})
-        return pa.concat_tables([asks, extra]) if len(some) else asks
+        return an.key_pieces(key[0].as_py(), _Words(table, window, gram).keys, buckets)
+    return run
+
+
+def _class_counts(window: int, symbol: int):
+    """Windows of a batch by class of their first symbol."""
+    def run(batches):
+        for batch in batches:
+            n = np.zeros(_CLASSES, dtype=np.int64)
+            for _, _, data, o in an.byte_blocks(batch):
+                starts, ends, wo = tb.word_spans(data, o, tb.NONSPACE)
+                grams = tb.window_hashes(tb.word_hashes(data, starts, ends, lower=False), symbol)
+                n += np.bincount((grams[tb.inside_windows(wo, window)] >> np.uint64(64 - _BITS)).astype(np.int64), minlength=_CLASSES)
+            some = np.flatnonzero(n)
+            yield pa.record_batch([pa.array(some, pa.int64()), pa.array(n[some], pa.int64())], names=["class", "n"])
     return run
 
 
@@ -221,23 +226,16 @@ def dedup_substrings(docs: DataFrame, window: int = 20, gram: int = 5, symbol: i
     rows, parts = an.in_parts(docs, id_col, text_col, part_bytes)
     kind = docs.schema[id_col].dataType.simpleString()
     rest = rows.schema["rest"].dataType.simpleString()
-    asks = cut(rows.groupBy("part").applyInArrow(_ask(window, gram, symbol, parts, max(1, group_suffixes // (4 * parts))), an.KEYS))
-    # at most 65,536 classes of first symbols, whatever the input
-    counts = asks.where("bucket = -2").select("blob").mapInArrow(_classes, "class long, n long").groupBy("class").agg(F.sum("n").alias("n")).where(F.col("n") > group_suffixes).collect()
+    # at most 4,096 classes of first symbols, whatever the input
+    counts = rows.select("text").mapInArrow(_class_counts(window, symbol), "class long, n long").groupBy("class").agg(F.sum("n").alias("n")).where(F.col("n") > group_suffixes).collect()
     levels = np.zeros(_CLASSES, dtype=np.int8)
     for r in counts:
         levels[r["class"]] = min(window // symbol - 1, 1 + int(np.log2(r.n / group_suffixes) / 3))
     levels_bc = spark.sparkContext.broadcast(levels)
-    answers = an.shared_keys(asks.where("bucket >= 0"), group_suffixes)
+    asks = rows.groupBy("part").applyInArrow(_ask(window, gram, parts), an.KEYS)
+    answers = an.shared_keys(asks, group_suffixes)
     sent = rows.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(_send(window, gram, symbol, parts, levels_bc), "part long, bucket long, symbols binary, docs binary, runs binary")
     flags = sent.groupBy("bucket").applyInArrow(_resolve(window // symbol), an.KEYS)
     out = rows.groupBy("part").cogroup(answers.unionByName(flags).groupBy("part")) \
         .applyInArrow(_remove(window, gram, symbol, parts, levels_bc), f"id {kind}, n_words long, n_removed long, kept string, rest {rest}")
     return out.withColumnRenamed("id", id_col)
-
-
-def _classes(batches):
-    for batch in batches:
-        for blob in batch.column("blob").to_pylist():
-            some, n = np.frombuffer(blob, dtype=np.int64).reshape(2, -1)
-            yield pa.record_batch([pa.array(some), pa.array(n)], names=["class", "n"])
