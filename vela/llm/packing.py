@@ -11,12 +11,15 @@ certified, nothing is saved, or ``rounds`` is reached.
 
 Tokens.  The tokenizer splits at white space before anything else, so a text's ids
 are the concatenation of its space-free words' ids.  Each distinct word of a
-block of texts is encoded once and looked up after that.
+block of texts is encoded once and looked up after that.  (The tokenizer's own normalizer and
+pre-tokenizer cost more than its merges; plain words skip them, see ``WordEncoder``.)
 """
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from array import array
 
 import numpy as np
 import pandas as pd
@@ -28,54 +31,110 @@ from vela.llm import textbytes as tb
 from vela.llm.common import cut, only
 
 
+_SIMPLE = re.compile("[!-~À-ÖØ-öø-ÿŒœ]+")
+#: The tokenizer's split pattern for lower-cased text of _SIMPLE characters.
+_SPLIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿœ]+|[0-9]|[!-/:-@\\[-`{-~]+")
+_VISIBLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+#: Byte-level alphabet: a visible byte is itself, the others follow from U+0100 in order.
+_BYTE_LEVEL = {b: chr(b) if b in _VISIBLE else chr(256 + b - sum(v < b for v in _VISIBLE)) for b in range(256)}
+
+
 class WordEncoder:
-    """Token ids of texts by words; ``keep`` bounds the words remembered."""
+    """Token ids of texts by words.
+
+    Words of ASCII and Latin-1 letters (composed already, so normalization is lower-casing) are
+    split here and their parts given to the tokenizer's model; any other word, and one
+    that might hold a special token, goes through the whole tokenizer.  ``keep`` bounds the words remembered.
+    """
 
-    def __init__(self, path: str, keep: int = 1_000_000):
+    def __init__(self, path: str, keep: int = 1_500_000, recent: int = 200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        self.tokenizer, self.keep = Tokenizer.from_file(path), keep
+        self.tokenizer, self.keep, self.most_recent = Tokenizer.from_file(path), keep, recent
+        self.model = self.tokenizer.model
+        self.parts: dict[str, list[int]] = {}
         self._clear()
 
     def _clear(self):
-        self.slot: dict[int, int] = {}
-        self.flat = np.zeros(0, dtype=np.uint32)
-        self.ends = np.zeros(0, dtype=np.int64)
-
-    def _learn(self, words: list[str], hashes: list[int]) -> None:
-        fresh = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        sizes = np.array([len(x) for x in fresh], dtype=np.int64)
-        base = len(self.flat)
-        self.flat = np.concatenate([self.flat, np.array([t for x in fresh for t in x], dtype=np.uint32)])
-        for h in hashes:
-            self.slot[h] = len(self.slot)
-        self.ends = np.concatenate([self.ends, base + np.cumsum(sizes)])
+        self.old, self.old_slot = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+        self.recent: dict[int, int] = {}
+        self.flat, self.begin = np.zeros(0, dtype=np.uint32), np.zeros(1, dtype=np.int64)
+
+    def _word(self, word: str) -> list[int]:
+        out = []
+        for part in _SPLIT.findall(word.lower()):
+            ids = self.parts.get(part)
+            if ids is None:
+                if len(self.parts) > self.most_recent:
+                    self.parts.clear()
+                seen = part if part.isascii() else part.encode().decode("latin-1").translate(_BYTE_LEVEL)
+                ids = self.parts[part] = [t.id for t in self.model.tokenize(seen)]
+            out += ids
+        return out
+
+    def _learn(self, words: list[str], hashes: np.ndarray) -> np.ndarray:
+        """Adds words; returns their slots."""
+        flat, sizes = array("I"), []
+        for w in words:
+            ids = self._word(w) if "<|" not in w and _SIMPLE.fullmatch(w) else self.tokenizer.encode(w, add_special_tokens=False).ids
+            flat.extend(ids)
+            sizes.append(len(ids))
+        slots = np.arange(len(words)) + len(self.begin) - 1
+        self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(np.array(sizes, dtype=np.int64))])
+        self.flat = np.concatenate([self.flat, np.frombuffer(flat, dtype=np.uint32)])
+        self.recent.update(zip(hashes.tolist(), slots.tolist()))
+        if len(self.recent) > self.most_recent:
+            h = np.concatenate([self.old, np.fromiter(self.recent.keys(), dtype=np.uint64, count=len(self.recent))])
+            at = np.concatenate([self.old_slot, np.fromiter(self.recent.values(), dtype=np.int64, count=len(self.recent))])
+            by = np.argsort(h)
+            self.old, self.old_slot, self.recent = h[by], at[by], {}
+        return slots
+
+    def _slots(self, hashes: np.ndarray) -> np.ndarray:
+        """Slot of each known word, -1 for the others."""
+        out = np.full(len(hashes), -1, dtype=np.int64)
+        if len(self.old):
+            at = np.minimum(np.searchsorted(self.old, hashes), len(self.old) - 1)
+            known = self.old[at] == hashes
+            out[known] = self.old_slot[at[known]]
+        rest = np.flatnonzero(out < 0)
+        get = self.recent.get
+        out[rest] = [get(h, -1) for h in hashes[rest].tolist()]
+        return out
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets per text)."""
         starts, ends, wo = tb.word_spans(data, offsets, tb.NONSPACE)
         code, hashes = pd.factorize(tb.word_hashes(data, starts, ends, lower=False))
-        if len(self.slot) + len(hashes) > self.keep:
+        if len(self.begin) + len(hashes) > self.keep:
             self._clear()
-        got = hashes.tolist()
-        new = [i for i, h in enumerate(got) if h not in self.slot]
-        if new:
-            first = np.full(len(got), -1, dtype=np.int64)
+        slots = self._slots(hashes)
+        new = np.flatnonzero(slots < 0)
+        if len(new):
+            first = np.empty(len(hashes), dtype=np.int64)
             first[code[::-1]] = np.arange(len(code))[::-1]
-            raw = data.tobytes()
-            at = first[new]
-            self._learn([raw[a:b].decode("utf-8") for a, b in zip(starts[at].tolist(), ends[at].tolist())], [got[i] for i in new])
-        slots = np.array([self.slot[h] for h in got], dtype=np.int64)[code] if len(got) else np.zeros(0, dtype=np.int64)
-        begin = np.r_[0, self.ends][:-1] if len(self.ends) else self.ends
-        sizes = self.ends[slots] - begin[slots]
+            raw, at = data.tobytes(), first[new]
+            slots[new] = self._learn([raw[a:b].decode("utf-8") for a, b in zip(starts[at].tolist(), ends[at].tolist())], hashes[new])
+        slots = slots[code]
+        sizes = self.begin[slots + 1] - self.begin[slots]
         stop = np.cumsum(sizes)
-        ids = self.flat[np.arange(int(stop[-1]) if len(stop) else 0) + np.repeat(begin[slots] - (stop - sizes), sizes)]
+        ids = self.flat[np.arange(int(stop[-1]) if len(stop) else 0) + np.repeat(self.begin[slots] - (stop - sizes), sizes)]
         return ids, np.r_[0, stop][wo]
 
 
+_encoders: dict[str, WordEncoder] = {}
+
+
+def encoder_of(path: str) -> WordEncoder:
+    """One encoder for a worker process, so its tasks share the words they have met."""
+    if path not in _encoders:
+        _encoders[path] = WordEncoder(path)
+    return _encoders[path]
+
+
 def _pieces(path: str, capacity: int, end_id: int):
     def run(batches):
-        encoder = WordEncoder(path)
+        encoder = encoder_of(path)
         for batch in batches:
             data, offs = tb.buffers(batch.column("text"))
             doc, piece, start, length, crc = [], [], [], [], []
