@@ -67,7 +67,7 @@ def likeness(a: str, b: str) -> Column:
     return F.when(either == 0, F.lit(1.0)).otherwise(shared / F.greatest(either, F.lit(1)))
 
 
-def with_next(docs: DataFrame, carry: list[str], range_bytes: int = 16 << 20) -> DataFrame:
+def with_next(docs: DataFrame, carry: list[str], range_bytes: int = 16 << 20, most_heads: int = 200_000) -> DataFrame:
     """Adds next_<column> for each carried column: that of the next row by id, then text; after the last row, the first.
 
     ``docs`` has id and text.  Null ids come first.
@@ -86,6 +86,8 @@ def with_next(docs: DataFrame, carry: list[str], range_bytes: int = 16 << 20) ->
     heads = sorted(keyed.groupBy("__range").agg(F.min("__order").alias("head")).collect(), key=lambda r: r["__range"])
     before = [(r.head, heads[i - 1]["__range"]) for i, r in enumerate(heads)]
     table = spark.createDataFrame(before, "__order double, __to long")
+    if len(before) <= most_heads:  # a few bytes each; more heads take a shuffled join
+        table = F.broadcast(table)
     marked = keyed.join(table, "__order").withColumn("__range", F.col("__to")).drop("__to").withColumn("__mark", F.lit(1))
     rows = keyed.withColumn("__mark", F.lit(0)).unionByName(marked)
     along = Window.partitionBy("__range").orderBy("__mark", "__order", "id", "text")
