@@ -5,7 +5,9 @@ from vela.llm.langid import ByteCnn, fit_langid, identify, train_rows
 from vela.llm.queries import QUERIES
 
 
-def test_held_out_accuracy(spark, sf, docs):
+def test_held_out_accuracy(spark):
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
     got = QUERIES["op2_language_id"](spark, sf).join(docs.select("doc_id", "lang"), "doc_id").toPandas()
     assert len(got) == docs.count() and got.score.between(0, 1).all()
     held = got[got.held_out]

@@ -164,6 +164,8 @@ def fit_rules(x: np.ndarray, y: np.ndarray, trees: int = 40, depth: int = 3, rat
                 value = (y - p)[inside].sum() / max((p * (1 - p))[inside].sum(), 1e-6)
                 margin[inside] += rate * np.clip(value, -4, 4)
     rules = list(found)
+    if not rules:
+        return RuleModel(float(np.log(share / (1 - share))), [])
     m = np.stack([r.holds(x) for r in rules], axis=1).astype(np.float64)
     varied = (m.mean(axis=0) > 0) & (m.mean(axis=0) < 1)
     rules, m = [r for r, v in zip(rules, varied) if v], m[:, varied]
