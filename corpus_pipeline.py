@@ -17,10 +17,20 @@ from vela.llm.packing import best_fit_pack
 from vela.llm.suffix_tree_dedup import dedup_substrings
 
 
+def _rest(docs: DataFrame) -> list[str]:
+    return [c for c in docs.columns if c not in ("doc_id", "text")]
+
+
+def _restored(found: DataFrame, docs: DataFrame, **new) -> DataFrame:
+    """The columns of ``docs`` from an operator's doc_id, text and rest, with new values where given."""
+    own = {"doc_id": F.col("doc_id"), "text": F.col("text") if "text" in found.columns else None} | new
+    return found.select(*[(own[c] if c in own else F.col(f"rest.`{c}`")).alias(c) for c in docs.columns])
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told stay (no text or no letter: rejected); a missing lang is filled in."""
-    found = identify(docs, fit_langid(train_rows(docs)), carry=docs.columns).where(F.col("lang_pred") != UNDETERMINED)
-    return found.select(*[F.coalesce("rest.lang", "lang_pred").alias("lang") if c == "lang" else F.col(f"rest.`{c}`") for c in docs.columns])
+    found = identify(docs, fit_langid(train_rows(docs)), carry=_rest(docs)).where(F.col("lang_pred") != UNDETERMINED)
+    return _restored(found, docs, lang=F.coalesce("rest.lang", "lang_pred"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,14 +44,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document stays, without the passages that start earlier elsewhere; n_chars follows the text."""
     found = dedup_substrings(docs)
-    new = {"doc_id": F.col("doc_id"), "text": F.col("kept"), "n_chars": F.length("kept").cast("long")}
-    return found.select(*[new.get(c, F.col(f"rest.`{c}`")).alias(c) for c in docs.columns])
+    return _restored(found, docs, text=F.col("kept"), n_chars=F.length("kept").cast("long"))
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Contaminated documents go."""
-    found = decontaminate(docs, read(spark, sf_dir, "benchmark"), carry=docs.columns)
-    return found.where(~contaminated()).select(*[F.col(f"rest.`{c}`") for c in docs.columns])
+    found = decontaminate(docs, read(spark, sf_dir, "benchmark"), carry=_rest(docs))
+    return _restored(found.where(~contaminated()), docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -105,6 +105,7 @@ class _Bytes:
     """Anchor runs of a part, and the contexts to look up."""
 
     def __init__(self, table: pa.Table, window: int, gram: int):
+        tb.release()
         self.table, self.ids = an.ordered(table)
         self.data, self.offsets = tb.buffers(self.table.column("text"))
         self.window = window
@@ -194,6 +195,7 @@ def _send(window: int, gram: int, buckets: int):
 
 def _resolve(window: int, rounds: int):
     def run(table):
+        tb.release()
         cols = {n: table.column(n).to_pylist() for n in ("contexts", "counts", "docs", "runs")}
         docs = [np.repeat(np.frombuffer(d, dtype=np.int64), np.frombuffer(r, dtype=np.int32)) for d, r in zip(cols["docs"], cols["runs"])]
         seen = seen_before(cols["contexts"], [np.frombuffer(b, dtype=np.uint8).astype(np.int64) for b in cols["counts"]], docs, window, rounds)

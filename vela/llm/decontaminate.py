@@ -124,7 +124,7 @@ def _count(index_bc):
     return run
 
 
-def _scan(index_bc):
+def _scan(index_bc, final: bool):
     def run(batches):
         index = index_bc.value
         by_size = {}
@@ -162,28 +162,33 @@ def _scan(index_bc):
             for i, found in hit.items():
                 spans[i] = spans[i] + [v for a, m, _ in found for v in (a, a + m)]
                 items[i] = sorted(set(items[i]).union(*[index.owners[x] for _, _, x in found]))
-            yield pa.record_batch([*(batch.column(c) for c in ("id", "text", "rest")), pa.array(words, pa.int64()), pa.array(spans, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string()))], names=["id", "text", "rest", "n_words", "spans", "items"])
+            kept = [batch.column(c) for c in ("id", "text", "rest")]
+            if final:
+                yield _finish(kept, words, spans, items)
+            else:
+                yield pa.record_batch([*kept, pa.array(spans, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string()))], names=["id", "text", "rest", "spans", "items"])
+            tb.release()
     return run
 
 
-def _finish(batches):
-    for batch in batches:
-        n_hit, n_items, digest = [], [], []
-        for spans, items in zip(batch.column("spans").to_pylist(), batch.column("items").to_pylist()):
-            covered, reach = 0, 0
-            for a, b in sorted(zip(spans[::2], spans[1::2])):
-                covered += max(0, b - max(a, reach))
-                reach = max(reach, b)
-            n_hit.append(covered)
-            n_items.append(len(items))
-            digest.append(hashlib.sha256(",".join(items).encode()).hexdigest())
-        yield pa.record_batch([batch.column("id"), batch.column("n_words"), pa.array(n_hit, pa.int64()), pa.array(n_items, pa.int64()), pa.array(digest, pa.string()), batch.column("items"), batch.column("rest")], names=["id", "n_words", "n_hit", "n_items", "items_sha256", "items", "rest"])
+def _finish(kept: list[pa.Array], words: np.ndarray, spans: list[list[int]], items: list[list[str]]) -> pa.RecordBatch:
+    n_hit, digest = [], []
+    for own, names in zip(spans, items):
+        covered, reach = 0, 0
+        for a, b in sorted(zip(own[::2], own[1::2])):
+            covered += max(0, b - max(a, reach))
+            reach = max(reach, b)
+        n_hit.append(covered)
+        digest.append(hashlib.sha256(",".join(names).encode()).hexdigest())
+    return pa.record_batch([*kept, pa.array(words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array([len(x) for x in items], pa.int64()), pa.array(digest, pa.string()), pa.array(items, pa.list_(pa.string()))],
+                           names=["id", "text", "rest", "n_words", "n_hit", "n_items", "items_sha256", "items"])
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 13, slice_bytes: int = 4 << 20,
                   id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
                   carry: list[str] | None = None) -> DataFrame:
-    """One row per document row: id, n_words, n_hit, n_items, items_sha256, items (array), rest (struct of the ``carry`` columns).
+    """One row per document row: id, n_words, n_hit, n_items, items_sha256, items (array), and with
+    ``carry`` also text and rest (a struct of those columns).
 
     Null or wordless texts have no words and no hits; null or wordless items and
     items without an id have no window; repeated item rows count once per item_id;
@@ -199,8 +204,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 13, slice
         .select(F.col("item").cast("string").alias("item"), "text")
     size = int(items.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
     slices = max(1, -(-size // slice_bytes))
-    out = work.select("id", "text", "rest", F.lit(0).cast("long").alias("n_words"), F.array().cast("array<bigint>").alias("spans"), F.array().cast("array<string>").alias("items"))
-    schema = f"id {id_type}, text string, rest {rest_type}, n_words long, spans array<long>, items array<string>"
+    out = work.select("id", "text", "rest", F.array().cast("array<bigint>").alias("spans"), F.array().cast("array<string>").alias("items"))
+    between = f"id {id_type}, text string, rest {rest_type}, spans array<long>, items array<string>"
+    final = f"id {id_type}, text string, rest {rest_type}, n_words long, n_hit long, n_items long, items_sha256 string, items array<string>"
     for s in range(slices):
         rows = items.where(F.pmod(F.xxhash64("item"), F.lit(slices)) == s).collect()
         index = _Index([(r.item, r.text) for r in rows], window)
@@ -208,9 +214,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 13, slice
         counts = work.select("text").mapInArrow(_count(counting), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
         # at most one row for each shingle of this slice
         index.keep_prefix({r.token & 0xFFFFFFFFFFFFFFFF: r.n for r in counts.collect()})
-        out = out.mapInArrow(_scan(spark.sparkContext.broadcast(index)), schema)
-    return out.mapInArrow(_finish, f"id {id_type}, n_words long, n_hit long, n_items long, items_sha256 string, items array<string>, rest {rest_type}") \
-        .withColumnRenamed("id", id_col)
+        last = s == slices - 1
+        out = out.mapInArrow(_scan(spark.sparkContext.broadcast(index), last), final if last else between)
+    return (out if carry else out.drop("text", "rest")).withColumnRenamed("id", id_col)
 
 
 def contaminated(n_hit: str = "n_hit", n_words: str = "n_words"):

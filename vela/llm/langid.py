@@ -175,7 +175,7 @@ def fit_langid(labelled: DataFrame, text_col: str = "text", lang_col: str = "lan
     return ByteCnn(langs, length=length, seed=seed).fit(x, np.array([index[r.lang] for r in got]), epochs=epochs)
 
 
-def _predict(model_bc):
+def _predict(model_bc, carried: list[str]):
     def run(batches):
         model = model_bc.value
         for batch in batches:
@@ -186,12 +186,13 @@ def _predict(model_bc):
             letters = np.array(batch.column("letters").to_pylist(), dtype=bool)
             names = np.array(model.langs, dtype=object)[best]
             yield pa.record_batch([batch.column("id"), pa.array(np.where(letters, names, UNDETERMINED), pa.string()),
-                                   pa.array(np.where(letters, np.clip(p[np.arange(len(p)), best], 0, 1), 0.0), pa.float64()), batch.column("rest")], names=["id", "lang_pred", "score", "rest"])
+                                   pa.array(np.where(letters, np.clip(p[np.arange(len(p)), best], 0, 1), 0.0), pa.float64()), *(batch.column(c) for c in carried)], names=["id", "lang_pred", "score", *carried])
+            tb.release()
     return run
 
 
 def identify(docs: DataFrame, model: ByteCnn | None, text_col: str = "text", id_col: str = "doc_id", carry: list[str] | None = None) -> DataFrame:
-    """id, lang_pred, score and rest (a struct of the ``carry`` columns) for each row.
+    """id, lang_pred, score for each row, and with ``carry`` also text and rest (a struct of those columns).
 
     A null text, one without a letter, or any text when there is no model gives
     ``und`` with score 0.  Repeated rows give a row each; the prediction reads the
@@ -200,11 +201,12 @@ def identify(docs: DataFrame, model: ByteCnn | None, text_col: str = "text", id_
     rest = F.struct(*[F.col(f"`{c}`") for c in carry]) if carry else F.lit(None).cast("struct<none:int>")
     letters = F.coalesce(F.col(f"`{text_col}`").rlike(r"\p{L}"), F.lit(False))
     work = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), letters.alias("letters"), rest.alias("rest"))
+    carried = ["text", "rest"] if carry else []
     if model is None:
-        return work.select(F.col("id").alias(id_col), F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"), "rest")
+        return work.select(F.col("id").alias(id_col), F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"), *carried)
     bc = docs.sparkSession.sparkContext.broadcast(model)
-    kinds = {c: work.schema[c].dataType.simpleString() for c in ("id", "rest")}
-    return work.mapInArrow(_predict(bc), f"id {kinds['id']}, lang_pred string, score double, rest {kinds['rest']}").withColumnRenamed("id", id_col)
+    kinds = {c: work.schema[c].dataType.simpleString() for c in ("id", *carried)}
+    return work.mapInArrow(_predict(bc, carried), f"id {kinds['id']}, lang_pred string, score double" + "".join(f", {c} {kinds[c]}" for c in carried)).withColumnRenamed("id", id_col)
 
 
 def train_rows(docs: DataFrame) -> DataFrame:

@@ -91,6 +91,7 @@ def _sets(k: int):
                     sizes.append(n)
                     sigs.append(next(sig).tobytes() if n else None)
             yield pa.record_batch([batch.column("id"), pa.array(names, pa.string()), pa.array(sizes, pa.int64()), pa.array(sigs, pa.binary())], names=["id", "node", "n", "sig"])
+            tb.release()
     return run
 
 
@@ -109,6 +110,7 @@ def _member_sets(k: int):
                         blobs.append(sets[so[i]:so[i + 1]].tobytes())
             rest = batch.drop_columns(["text"]).take(pa.array(keep, pa.int64()))
             yield pa.record_batch([*rest.columns, pa.array(blobs, pa.binary())], names=[*rest.schema.names, "grams"])
+            tb.release()
     return run
 
 

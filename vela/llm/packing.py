@@ -47,7 +47,7 @@ class WordEncoder:
     that might hold a special token, goes through the whole tokenizer.  ``keep`` bounds the words remembered.
     """
 
-    def __init__(self, path: str, keep: int = 1_500_000, recent: int = 200_000):
+    def __init__(self, path: str, keep: int = 800_000, recent: int = 100_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer, self.keep, self.most_recent = Tokenizer.from_file(path), keep, recent
@@ -151,6 +151,7 @@ def _pieces(path: str, capacity: int, end_id: int):
                         crc.append(zlib.crc32(part.tobytes()))
             yield pa.record_batch([batch.column("id").take(pa.array(doc, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())],
                                   names=["id", "piece", "start", "length", "ids_crc32"])
+            tb.release()
     return run
 
 

@@ -35,6 +35,7 @@ class _Words:
     """Word hashes of a part, its candidate windows and the distinct ones among them."""
 
     def __init__(self, table: pa.Table, window: int, gram: int):
+        tb.release()
         self.table, self.ids = an.ordered(table)
         hashes, offs, base = [], [np.zeros(1, dtype=np.int64)], 0
         keys, first, count = [], [], []
@@ -158,6 +159,7 @@ def internal_nodes(lcp: np.ndarray, depth: int) -> np.ndarray:
 
 def _resolve(width: int):
     def run(table):
+        tb.release()
         symbols = np.concatenate([np.frombuffer(b, dtype=np.uint32) for b in table.column("symbols").to_pylist()]).reshape(-1, width)
         docs, sizes = [], []
         for d, r in zip(table.column("docs").to_pylist(), table.column("runs").to_pylist()):

@@ -6,6 +6,7 @@ used here can be read from single bytes.
 """
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -84,6 +85,19 @@ def window_hashes(values: np.ndarray, k: int) -> np.ndarray:
     return mix((cum[k:] - cum[:n]) * inv[:n])
 
 
+try:
+    _libc = ctypes.CDLL("libc.so.6")
+except OSError:  # another C library: nothing to trim
+    _libc = None
+
+
+def release() -> None:
+    """Gives freed memory back to the system; a Python worker outlives its task and keeps it otherwise."""
+    pa.default_memory_pool().release_unused()
+    if _libc is not None and hasattr(_libc, "malloc_trim"):
+        _libc.malloc_trim(0)
+
+
 def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string or binary column; a null is an empty text."""
     if isinstance(column, pa.ChunkedArray):

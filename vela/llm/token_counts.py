@@ -128,6 +128,7 @@ def _count(path: str):
             score = np.concatenate([p[0] for p in parts]) if parts else np.zeros(0)
             pieces = np.concatenate([p[1] for p in parts]) if parts else np.zeros(0, dtype=np.int64)
             yield pa.record_batch([batch.column("id"), pa.array(pieces), pa.array(score)], names=["id", "n_pieces", "score"])
+            tb.release()
     return run
 
 
