@@ -8,7 +8,7 @@ anchor's gram is.  About 2 in ``window - gram`` positions are anchors.
 Plan.  Documents lie in parts (hash of the id, bounded bytes).  A part asks about
 each distinct anchor key once, whatever number of its documents hold it, so a key
 of a third of all rows costs one entry a part.  Asks meet in buckets by key range;
-a bucket answers each part with the keys that other parts hold too.
+a bucket answers each part, with a bit for each key, which of them other parts hold too.
 """
 from __future__ import annotations
 
@@ -87,61 +87,73 @@ def ordered(table: pa.Table) -> tuple[pa.Table, np.ndarray]:
     return table.take(take), by.column("id").take(take).to_numpy().astype(np.int64)
 
 
+def _cuts(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """(bucket, first key) of each bucket that sorted keys fall into, by key range; the end closes the second."""
+    bucket = (((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
+    first = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(keys) else np.zeros(0, dtype=np.int64)
+    return bucket[first], np.r_[first, len(keys)]
+
+
 def key_pieces(part: int, keys: np.ndarray, buckets: int) -> pa.Table:
     """Distinct keys of a part, cut by key range: one row for each bucket that gets any.
 
-    A blob holds the keys and, in a byte each, the logarithm of how often the part has them.
+    A blob holds the low 40 bits of the keys (the bucket tells the high ones apart) and, in a
+    byte each, the logarithm of how often the part has them.
     """
     keys, n = np.unique(keys, return_counts=True)
     log = np.ceil(np.log2(n)).astype(np.uint8)
-    bucket = ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
-    cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(keys) else np.zeros(0, dtype=np.int64)
-    ends = np.r_[cuts[1:], len(keys)] if len(cuts) else cuts
-    return pa.table({"part": pa.array([part] * len(cuts), pa.int64()), "bucket": pa.array(bucket[cuts].astype(np.int64), pa.int64()),
-                     "blob": pa.array([keys[a:b].tobytes() + log[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary())})
-
-
-def _unpack(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(keys, bytes that go with them, blob of each)."""
-    n = [len(b) // 9 for b in blobs]
-    keys = np.concatenate([np.frombuffer(b, dtype=np.uint64, count=k) for b, k in zip(blobs, n)] or [np.zeros(0, dtype=np.uint64)])
-    more = np.concatenate([np.frombuffer(b, dtype=np.uint8, offset=8 * k) for b, k in zip(blobs, n)] or [np.zeros(0, dtype=np.uint8)])
-    return keys, more, np.repeat(np.arange(len(blobs)), n)
+    low = np.ascontiguousarray(keys.view(np.uint8).reshape(-1, 8)[:, :5])
+    bucket, at = _cuts(keys, buckets)
+    return pa.table({"part": pa.array([part] * len(bucket), pa.int64()), "bucket": pa.array(bucket),
+                     "blob": pa.array([low[a:b].tobytes() + log[a:b].tobytes() for a, b in zip(at[:-1], at[1:])], pa.binary())})
 
 
 def _answer(hot: int):
     def run(table):
-        parts = table.column("part").to_pylist()
-        keys, log, row = _unpack(table.column("blob").to_pylist())
+        blobs = table.column("blob").to_pylist()
+        n = [len(b) // 6 for b in blobs]
+        at = np.r_[0, np.cumsum(n)]
+        wide = np.zeros((at[-1], 8), dtype=np.uint8)
+        log = np.empty(at[-1], dtype=np.uint8)
+        for b, i, j in zip(blobs, at[:-1], at[1:]):
+            wide[i:j, :5] = np.frombuffer(b, dtype=np.uint8, count=5 * (j - i)).reshape(-1, 5)
+            log[i:j] = np.frombuffer(b, dtype=np.uint8, offset=5 * (j - i))
+        keys = wide.view(np.uint64).ravel()
         by = np.argsort(keys, kind="stable")
-        keys, log, row = keys[by], log[by], row[by]
-        new = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-        size = np.diff(np.r_[new, len(keys)])
-        often = np.repeat(np.add.reduceat(np.exp2(log.astype(np.float64)), new) > hot, size).astype(np.uint8)
-        shared = np.repeat(size > 1, size)
-        keys, often, row = keys[shared], often[shared], row[shared]
-        by = np.argsort(row, kind="stable")
-        keys, often, row = keys[by], often[by], row[by]
-        at = np.searchsorted(row, np.arange(len(parts) + 1))
-        some = [i for i in range(len(parts)) if at[i + 1] > at[i]]
-        return pa.table({"part": pa.array([parts[i] for i in some], pa.int64()), "bucket": pa.array([-1] * len(some), pa.int64()),
-                         "blob": pa.array([keys[at[i]:at[i + 1]].tobytes() + often[at[i]:at[i + 1]].tobytes() for i in some], pa.binary())})
+        new = np.flatnonzero(np.r_[True, keys[by][1:] != keys[by][:-1]])
+        size = np.diff(np.r_[new, len(by)])
+        shared, often = np.empty(len(by), dtype=bool), np.empty(len(by), dtype=bool)
+        shared[by] = np.repeat(size > 1, size)
+        often[by] = np.repeat(np.add.reduceat(np.exp2(log[by].astype(np.float64)), new) > hot, size)
+        some = [i for i in range(len(blobs)) if shared[at[i]:at[i + 1]].any()]
+        flags = [np.packbits(shared[at[i]:at[i + 1]]).tobytes() + np.packbits(often[at[i]:at[i + 1]]).tobytes() for i in some]
+        return pa.table({"part": table.column("part").take(pa.array(some, pa.int64())), "bucket": pa.array([-1 - table.column("bucket")[i].as_py() for i in some], pa.int64()),
+                         "blob": pa.array(flags, pa.binary())})
     return run
 
 
 def shared_keys(asks: DataFrame, hot: int) -> DataFrame:
-    """Answers: for each part, the keys that another part asks about too (bucket -1).
+    """Answers, a row for each row of asks (bucket b as -1 - b): two bits a key, in the order asked.
 
-    The byte of a key is 1 if about ``hot`` runs or more have it in all.
+    The first tells that another part asks about the key too, the second that about ``hot``
+    runs or more have it in all.
     """
     return asks.groupBy("bucket").applyInArrow(_answer(hot), KEYS)
 
 
-def joined(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted keys of all answers of a part, and whether each is hot."""
-    keys, often, _ = _unpack(blobs)
-    by = np.argsort(keys)
-    return keys[by], often[by].astype(bool)
+def told(keys: np.ndarray, buckets: int, answers: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys of a part that other parts hold too, and whether each is hot."""
+    keys = np.unique(keys)
+    shared, often = np.zeros(len(keys), dtype=bool), np.zeros(len(keys), dtype=bool)
+    bucket, at = _cuts(keys, buckets)
+    where = {b: (i, j) for b, i, j in zip(bucket.tolist(), at[:-1].tolist(), at[1:].tolist())}
+    for b, blob in zip(answers.column("bucket").to_pylist(), answers.column("blob").to_pylist()):
+        if b < 0:
+            i, j = where[-1 - b]
+            bits = np.unpackbits(np.frombuffer(blob, dtype=np.uint8)).astype(bool)
+            half = len(bits) // 2
+            shared[i:j], often[i:j] = bits[:j - i], bits[half:half + j - i]
+    return keys[shared], often[shared]
 
 
 def member(keys: np.ndarray, known: np.ndarray) -> np.ndarray:

@@ -25,7 +25,6 @@ from pyspark.sql import DataFrame
 
 from vela.llm import anchors as an
 from vela.llm import textbytes as tb
-from vela.llm.common import cut
 
 
 def stable_order(codes: np.ndarray) -> np.ndarray:
@@ -180,7 +179,7 @@ def _send(window: int, gram: int, buckets: int):
         part, rows = key[0].as_py(), []
         if docs.num_rows and answers.num_rows:
             text = _Bytes(docs, window, gram)
-            c = text.contexts(*an.joined(answers.column("blob").to_pylist()))
+            c = text.contexts(*an.told(text.keys, buckets, answers))
             asking, bounds = _by_bucket(c, text.distinct(c)[1], buckets)
             for b in np.flatnonzero(np.diff(bounds)).tolist():
                 own = asking[bounds[b]:bounds[b + 1]]
@@ -214,7 +213,7 @@ def _remove(window: int, gram: int, rounds: int, buckets: int):
         text = _Bytes(docs, window, gram)
         groups = answers.column("bucket").to_pylist()
         blobs = answers.column("blob").to_pylist()
-        c = text.contexts(*an.joined([x for b, x in zip(groups, blobs) if b < 0]))
+        c = text.contexts(*an.told(text.keys, buckets, answers))
         code, lead = text.distinct(c)
         width = int(c["count"].max(initial=1))
         seen = np.zeros((len(lead), width), dtype=bool)
@@ -267,9 +266,9 @@ def dedup_bytes(docs: DataFrame, window: int = 50, gram: int = 16, rounds: int =
     rows, parts = an.in_parts(docs, id_col, text_col, part_bytes)
     kind = docs.schema[id_col].dataType.simpleString()
     rest = rows.schema["rest"].dataType.simpleString()
-    buckets = 2 * parts  # a bucket's sort takes about 50 bytes for each byte of its contexts
+    buckets = parts  # a bucket's sort takes about 50 bytes for each byte of its contexts
     asks = rows.groupBy("part").applyInArrow(_ask(window, gram, buckets), an.KEYS)
-    answers = cut(an.shared_keys(asks, hot))
+    answers = an.shared_keys(asks, hot)
     sent = rows.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(_send(window, gram, buckets), "part long, bucket long, contexts binary, counts binary, docs binary, runs binary")
     flags = sent.groupBy("bucket").applyInArrow(_resolve(window, rounds), an.KEYS)
     out = rows.groupBy("part").cogroup(answers.unionByName(flags).groupBy("part")) \

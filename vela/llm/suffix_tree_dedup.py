@@ -107,23 +107,12 @@ def _class_counts(window: int, symbol: int):
     return run
 
 
-def _right(table: pa.Table) -> tuple[np.ndarray, dict[int, bytes]]:
-    """(keys shared with other parts, flags by group) of what a part was answered."""
-    keys, flags = [], {}
-    for b, blob in zip(table.column("bucket").to_pylist(), table.column("blob").to_pylist()):
-        if b < 0:
-            keys.append(blob)
-        else:
-            flags[b] = blob
-    return an.joined(keys)[0], flags
-
-
 def _send(window: int, gram: int, symbol: int, buckets: int, levels_bc):
     def run(key, docs, answers):
         part, rows = key[0].as_py(), []
         if docs.num_rows and answers.num_rows:
             words = _Words(docs, window, gram)
-            _, _, earliest, asks = words.candidates(_right(answers)[0])
+            _, _, earliest, asks = words.candidates(an.told(words.keys, buckets, answers)[0])
             at = np.sort(earliest[asks])
             symbols = words.symbols(at, symbol)
             bucket = _buckets(symbols, levels_bc.value, buckets)
@@ -183,15 +172,16 @@ def _remove(window: int, gram: int, symbol: int, buckets: int, levels_bc):
         if not docs.num_rows:
             return pa.table({"id": docs.column("id"), "n_words": pa.array([], pa.int64()), "n_removed": pa.array([], pa.int64()), "kept": pa.array([], pa.string()), "rest": docs.column("rest")})
         words = _Words(docs, window, gram)
-        keys, flags = _right(answers)
-        at, code, earliest, asks = words.candidates(keys)
+        at, code, earliest, asks = words.candidates(an.told(words.keys, buckets, answers)[0])
         seen = np.zeros(len(earliest), dtype=bool)  # a smaller document of another part holds it
         asking = np.flatnonzero(asks)
         asking = asking[np.argsort(earliest[asking], kind="stable")]
         bucket = _buckets(words.symbols(earliest[asking], symbol), levels_bc.value, buckets) if len(asking) else asking
         by = np.argsort(bucket, kind="stable")
         bounds = np.searchsorted(bucket[by], np.arange(buckets + 1))
-        for b, blob in flags.items():
+        for b, blob in zip(answers.column("bucket").to_pylist(), answers.column("blob").to_pylist()):
+            if b < 0:
+                continue
             own = asking[by[bounds[b]:bounds[b + 1]]]
             seen[own] = np.unpackbits(np.frombuffer(blob, dtype=np.uint8), count=len(own)).astype(bool)
         gone = at[(at != earliest[code]) | seen[code]]
