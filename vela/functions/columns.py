@@ -11,35 +11,33 @@ __all__ = [
     "feature_array",
 ]
 
-# The seeded order hash (Park-Miller multiplier and a seed
-# multiplier), chosen so that DuckDB and Spark compute the same integer.
+# Fixed value: order hashes lie in [0, MOD31).
 MOD31 = 2147483647
-HASH_MULT = 48271
-SEED_MULT = 69621
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType,
                  T.FloatType, T.DoubleType, T.DecimalType)
 
 
-def portable_hash(key: str | Column, seed: int) -> Column:
-    """``(key*48271 + seed*69621) mod (2^31-1)``; keys >= 0, below 1e14."""
+def portable_hash(key: str | Column, seed: int, *salt: Column) -> Column:
+    """The first 32 bits of md5("key|seed|salt...") mod (2^31-1); any key type."""
     k = F.col(key) if isinstance(key, str) else key
-    return F.pmod(k.cast("long") * F.lit(HASH_MULT) + F.lit(seed * SEED_MULT),
-                  F.lit(MOD31))
+    text = F.concat_ws("|", *[c.cast("string") for c in (k, F.lit(str(seed)), *salt)])
+    return F.pmod(F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("long"), F.lit(MOD31))
 
 
-def order_hash(key: str | Column, seed: int, method: str = "portable") -> Column:
-    """Seeded pseudo-random order value for a key column.
+def order_hash(key: str | Column, seed: int, method: str = "portable", *salt: Column) -> Column:
+    """Seeded pseudo-random order value for a key column of any type.
 
-    ``portable`` is reproducible in any SQL engine; ``xxhash64`` mixes better
-    for keys that are not spread (the production choice).  Both are
+    The key, the seed and every ``salt`` (a repeat, a column name) go through one
+    mixing hash, so two seeds or salts give independent orders.  ``portable``
+    (md5) is reproducible in any SQL engine, ``xxhash64`` is cheaper.  Both are
     non-negative longs below 2^31 so they bucket the same way.
     """
     if method == "portable":
-        return portable_hash(key, seed)
+        return portable_hash(key, seed, *salt)
     if method == "xxhash64":
         k = F.col(key) if isinstance(key, str) else key
-        return F.pmod(F.xxhash64(k, F.lit(seed)), F.lit(MOD31))
+        return F.pmod(F.xxhash64(k, F.lit(seed), *salt), F.lit(MOD31))
     raise ValueError(f"unknown hash method {method!r}")
 
 

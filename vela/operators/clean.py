@@ -111,7 +111,7 @@ def medians(df: DataFrame, cols: list[str]) -> dict:
 
 def _fill(df: DataFrame, values: dict) -> DataFrame:
     return df.select(*[
-        F.coalesce(F.col(c), F.lit(values[c]).cast(df.schema[c].dataType)).alias(c)
+        F.coalesce(F.col(c).cast("double"), F.lit(float(values[c]))).alias(c)
         if c in values else F.col(c) for c in df.columns])
 
 
@@ -123,8 +123,8 @@ def median_table(values: dict, spark, name: str = "median") -> DataFrame:
 def impute_median(df: DataFrame, cols=None):
     """NULL -> column median over all rows.  Returns (df, medians dict).
 
-    Integer columns keep their type (R would too after rounding in the
-    reference's integer columns; the median is cast)."""
+    Imputed columns become double, so the midpoint of an even count of
+    integers is kept as it is."""
     cols = cols or numeric_columns(df)
     m = medians(df, cols)
     return _fill(df, m), m
@@ -198,8 +198,8 @@ def inject_nulls(df: DataFrame, cols: list[str], share: float, seed: int, key: s
                  hash_method: str = "portable", n_buckets: int | None = None) -> DataFrame:
     """Blank exactly ``max(1, floor(share * n))`` cells in every column.
 
-    Column j blanks the rows that come first in the seeded order
-    (hash(key, seed + j), key).  All columns are handled together in three
+    Each column blanks the rows that come first in an order of its own
+    (hash(key, seed, column name), key).  All columns are handled together in three
     passes whatever their number: bucket counts, numbering of the one
     boundary bucket per column, and the final projection (the boundary keys
     are few and joined back by key).
@@ -209,7 +209,7 @@ def inject_nulls(df: DataFrame, cols: list[str], share: float, seed: int, key: s
     # boundary buckets of ~50k rows keep the chosen-key table broadcastable
     n_buckets = n_buckets or auto_buckets(n, per_bucket=50_000)
     hi = 2147483647.0
-    hs = {c: order_hash(key, seed + j, hash_method) for j, c in enumerate(cols)}
+    hs = {c: order_hash(key, seed, hash_method, F.lit(c)) for c in cols}
     bk = {c: F.least(F.floor(hs[c] / F.lit(hi / n_buckets)).cast("int"), F.lit(n_buckets - 1))
           for c in cols}
     long = df.select(key, F.explode(F.array(*[
@@ -290,23 +290,28 @@ def standardize_train(train: DataFrame, test: DataFrame | None, cols: list[str])
 def make_unique_ids(df: DataFrame, col: str, order_col: str, sep: str = "_rep",
                     out_col: str | None = None) -> DataFrame:
     """Repeated ids get ``<id><sep>1``, ``<id><sep>2``… in ``order_col``
-    order (R ``make.unique``); the first occurrence keeps its id.  Numbering
-    is P1 so a very frequent id does not land in one task."""
+    order (R ``make.unique``); the first occurrence keeps its id and a number
+    whose name another row holds already is skipped, so the result is unique.
+    Numbering is P1 so a very frequent id does not land in one task."""
     out_col = out_col or col
-    mm = df.agg(F.min(order_col), F.max(order_col), F.count(F.lit(1))).collect()[0]
-    lo, hi = float(mm[0]), float(mm[1]) + 1.0
-    x = bucket_rank(df.withColumn("__id", F.col(col).cast("string")), ["__id"], order_col,
-                    order_col, "__occ", lo=lo, hi=hi, n_buckets=auto_buckets(mm[2]))
+    rows = df.withColumn("__id", F.col(col).cast("string"))
+    x = bucket_rank(rows, ["__id"], order_col, order_col, "__occ", lo=None, n_buckets=auto_buckets(df.count(), minimum=64))
+    # names of the form <base><sep><number> that are taken: base -> sorted numbers
+    name = rf"(?s)^(.*){re.escape(sep)}([1-9][0-9]{{0,17}})$"
+    taken = rows.select("__id").distinct().filter(F.col("__id").rlike(name)) \
+        .groupBy(F.regexp_extract("__id", name, 1).alias("__id")) \
+        .agg(F.sort_array(F.collect_set(F.regexp_extract("__id", name, 2).cast("long"))).alias("__taken"))
+    x = join_small(x, taken, on="__id", how="left")
+    nth = F.aggregate(F.coalesce("__taken", F.array().cast("array<bigint>")), F.col("__occ") - 1,
+                      lambda n, t: F.when(t <= n, n + 1).otherwise(n))
     newid = F.when(F.col("__occ") == 1, F.col("__id")) \
-        .otherwise(F.concat(F.col("__id"), F.lit(sep), (F.col("__occ") - 1).cast("string")))
-    return x.withColumn(out_col, newid).drop("__id", "__occ")
+        .otherwise(F.concat(F.col("__id"), F.lit(sep), nth.cast("string")))
+    return x.withColumn(out_col, newid).drop("__id", "__occ", "__taken")
 
 
 def sequential_ids(df: DataFrame, order_col: str, fmt: str = "M%03d", out_col: str = "id") -> DataFrame:
     """C16 (second form): padded sequential ids in ``order_col`` order."""
-    mm = df.agg(F.min(order_col), F.max(order_col), F.count(F.lit(1))).collect()[0]
-    x = bucket_rank(df, [], order_col, order_col, "__rn", lo=float(mm[0]), hi=float(mm[1]) + 1.0,
-                    n_buckets=auto_buckets(mm[2]))
+    x = bucket_rank(df, [], order_col, order_col, "__rn", lo=None, n_buckets=auto_buckets(df.count(), minimum=64))
     return x.withColumn(out_col, F.format_string(fmt, F.col("__rn"))).drop("__rn")
 
 

@@ -135,6 +135,11 @@ def silhouette(df: DataFrame, key: str, features, label_col: str, block_rows: in
     cluster of least mean distance (ties to the lower label).  Exact:
     O(n^2 d) compute over block pairs, O(n k) shuffle.  ``squared`` uses
     squared distances (what ml's evaluator averages)."""
+    from vela.operators.patterns import via_long_key
+    return via_long_key(df, key, lambda x: _silhouette(x, key, features, label_col, block_rows, squared), [key])
+
+
+def _silhouette(df, key, features, label_col, block_rows, squared):
     spark = df.sparkSession
     n = df.count()
     br = block_rows or _block_rows(spark, n)
@@ -242,6 +247,11 @@ def dbscan(df: DataFrame, key: str, features, eps: float, min_pts: int,
     cluster of its lowest-key core neighbour; the rest is noise (cluster 0).
     Clusters are numbered 1.. by their smallest key.  Neighbourhoods come
     from block pairs (exact)."""
+    from vela.operators.patterns import via_long_key
+    return via_long_key(df, key, lambda x: _dbscan(x, key, features, eps, min_pts, block_rows), [key])
+
+
+def _dbscan(df, key, features, eps, min_pts, block_rows):
     from vela.operators.neighbors import within_eps
     from vela.operators.patterns import connected_components
     pairs = within_eps(df, key, features, eps, block_rows).cache()
@@ -262,11 +272,7 @@ def dbscan(df: DataFrame, key: str, features, eps: float, min_pts: int,
     lab = comp.unionByName(border)
     ids = lab.select("comp").distinct()
     from vela.operators.patterns import bucket_rank
-    mm = ids.agg(F.min("comp"), F.max("comp")).collect()[0]
-    if mm[0] is None:
-        numbered = ids.withColumn("cluster", F.lit(1))
-    else:
-        numbered = bucket_rank(ids, [], "comp", "comp", "cluster", lo=float(mm[0]), hi=float(mm[1]) + 1.0)
+    numbered = bucket_rank(ids, [], "comp", "comp", "cluster", lo=None, n_buckets=64)
     out = core.join(lab, "v", "left").join(numbered, "comp", "left") \
         .select(F.col("v").alias(key), "core", F.coalesce(F.col("cluster"), F.lit(0)).cast("long").alias("cluster"))
     return out
@@ -276,6 +282,11 @@ def single_linkage_cut(df: DataFrame, key: str, features, height: float) -> Data
     """K8 (single linkage) cut at ``height``: clusters are the connected
     components of the graph of pairs closer than ``height`` (exact).
     Cluster id = smallest key in the cluster."""
+    from vela.operators.patterns import via_long_key
+    return via_long_key(df, key, lambda x: _single_linkage(x, key, features, height), [key, "cluster"])
+
+
+def _single_linkage(df, key, features, height):
     from vela.operators.neighbors import within_eps
     from vela.operators.patterns import connected_components
     pairs = within_eps(df, key, features, height)

@@ -272,7 +272,10 @@ def _require_binary(df, real, prob, group_cols=()):
 
 
 def auc(df: DataFrame, real: str, prob: str, positive, group_cols=()) -> DataFrame:
-    """V9: area under the ROC curve, ties counting one half (rank-sum)."""
+    """V9: area under the ROC curve, ties counting one half (rank-sum).
+
+    As ``roc_curve``: a NULL or non-finite score, or other than two classes, is an error."""
+    _require_binary(df, real, prob, group_cols)
     cum = cumulative_by_score(score_counts(df, prob, _label(df, real, positive), group_cols), group_cols)
     return cum.groupBy(*group_cols).agg(
         (F.sum(F.col("pos") * (F.col("cum_neg") - F.col("neg") * 0.5)) /
@@ -292,7 +295,8 @@ def best_threshold(roc: DataFrame, group_cols=()) -> DataFrame:
 
 def pr_curve(df: DataFrame, real: str, prob: str, positive, group_cols=()) -> DataFrame:
     """(threshold, recall, precision) classifying positive when
-    score >= threshold, at each distinct score."""
+    score >= threshold, at each distinct score (same guard as ``roc_curve``)."""
+    _require_binary(df, real, prob, group_cols)
     cum = cumulative_by_score(score_counts(df, prob, _label(df, real, positive), group_cols), group_cols)
     tp = F.col("P") - F.col("cum_pos") + F.col("pos")
     fp = F.col("N") - F.col("cum_neg") + F.col("neg")
@@ -304,6 +308,7 @@ def pr_auc(df: DataFrame, real: str, prob: str, positive, group_cols=()) -> Data
     """Area under the PR curve with the continuous (Davis-Goadrich)
     interpolation between neighbouring points, in closed form:
     integral of (A + x) / (B + (1 + s) x) over each segment."""
+    _require_binary(df, real, prob, group_cols)
     cum = cumulative_by_score(score_counts(df, prob, _label(df, real, positive), group_cols), group_cols)
     # going down the scores: point after including this score
     tp_b = F.col("P") - F.col("cum_pos") + F.col("pos")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from vela.functions.columns import feature_array
 from vela.operators.patterns import (block_arrays, block_count, block_pairs, exact_quantiles,
-                                     pack_blocks, quantile_name, sq_dists)
+                                     pack_blocks, quantile_name, sq_dists, via_long_key)
 
 # Exact all-pairs output is refused above this many rows unless forced.
 PAIRWISE_ROW_LIMIT = 200_000
@@ -36,6 +36,10 @@ def _setup(df: DataFrame, key: str, features, block_rows: int | None, tag=None):
 def pairwise_distance(df: DataFrame, key: str, features, block_rows: int | None = None,
                       force: bool = False) -> DataFrame:
     """Euclidean distance of every pair (i < j by key): (key_i, key_j, dist)."""
+    return via_long_key(df, key, lambda x: _pairwise(x, key, features, block_rows, force), [f"{key}_i", f"{key}_j"])
+
+
+def _pairwise(df, key, features, block_rows, force):
     n, nb, d, blocks = _setup(df, key, features, block_rows)
     if n > PAIRWISE_ROW_LIMIT and not force:
         raise ValueError(f"{n} rows make {n * (n - 1) // 2} pairs; pass force=True")
@@ -68,7 +72,16 @@ def knn(df: DataFrame, key: str, features, k: int, reference: DataFrame | None =
     Each block pair keeps only its k best candidates per row, both ways, so
     at most k x blocks candidates per row are shuffled; a row_number per
     key (bounded group) picks the final k.  Without ``reference`` the table
-    is its own reference (self excluded)."""
+    is its own reference (self excluded).  A block pair breaks ties itself, so
+    a point held by many rows gives k candidates a block, not all of them."""
+    if reference is None:
+        return via_long_key(df, key, lambda x: _knn(x, key, features, k, None, block_rows, exclude_self),
+                            [key, "neighbor"])
+    return via_long_key(df, key, lambda x, r: _knn(x, key, features, k, r, block_rows, exclude_self),
+                        [key, "neighbor"], reference)
+
+
+def _knn(df, key, features, k, reference, block_rows, exclude_self):
     if reference is None:
         n, nb, d, blocks = _setup(df, key, features, block_rows)
         pairs = block_pairs(blocks, nb)
@@ -97,11 +110,14 @@ def knn(df: DataFrame, key: str, features, k: int, reference: DataFrame | None =
                     if exclude_self and same:
                         M[qk[:, None] == rk[None, :]] = np.inf
                     kk = min(k, M.shape[1])
-                    # k-th smallest distance per row; every candidate at or
-                    # below it is kept, so ties at the k-th place are decided
-                    # exactly by key in the final row_number
+                    # all at or below the k-th smallest distance, then the k
+                    # first of them by (distance, key)
                     part = np.partition(M, kk - 1, axis=1)[:, kk - 1]
                     R, C = np.nonzero((M <= part[:, None]) & np.isfinite(M))
+                    by = np.lexsort((rk[C], M[R, C], R))
+                    R, C = R[by], C[by]
+                    nth = np.arange(len(R)) - np.searchsorted(R, R)
+                    R, C = R[nth < kk], C[nth < kk]
                     outs.append(pd.DataFrame({"q": qk[R], "nb": rk[C], "d2": M[R, C]}))
             if outs:
                 yield pd.concat(outs, ignore_index=True)
@@ -128,7 +144,13 @@ def knn_distance_quantile(df: DataFrame, key: str, features, k: int, p: float =
 
 
 def within_eps(df: DataFrame, key: str, features, eps: float, block_rows: int | None = None) -> DataFrame:
-    """Pairs (i < j) closer than ``eps`` (the DBSCAN neighbourhood edges)."""
+    """Pairs (i < j) closer than ``eps`` (the DBSCAN neighbourhood edges).
+
+    Every pair of rows lies in one block pair, so the pairs are distinct."""
+    return via_long_key(df, key, lambda x: _within_eps(x, key, features, eps, block_rows), ["i", "j"])
+
+
+def _within_eps(df, key, features, eps, block_rows):
     n, nb, d, blocks = _setup(df, key, features, block_rows)
     pairs = block_pairs(blocks, nb)
     e2 = eps * eps
@@ -144,7 +166,7 @@ def within_eps(df: DataFrame, key: str, features, eps: float, block_rows: int |
                 D = sq_dists(va, vb)
                 I, J = np.nonzero(D <= e2)
                 a, b = ka[I], kb[J]
-                keep = a != b
+                keep = a < b if row["a"] == row["b"] else a != b
                 yield pd.DataFrame({"i": np.minimum(a, b)[keep], "j": np.maximum(a, b)[keep]})
 
-    return pairs.mapInPandas(emit, "i long, j long").distinct()
+    return pairs.mapInPandas(emit, "i long, j long")

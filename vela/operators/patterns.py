@@ -66,17 +66,37 @@ def _bucket_col(order: Column, n_buckets: int, lo: float, hi: float) -> Column:
     return F.least(F.greatest(b, F.lit(0)), F.lit(n_buckets - 1))
 
 
+def balanced_buckets(df: DataFrame, order_col: str, out: str, n_buckets: int) -> DataFrame:
+    """Adds an ascending bucket number cut at approximate quantiles of a raw
+    numeric order value, so one far outlier does not put all rows in a bucket."""
+    from pyspark.ml.feature import Bucketizer
+    n = max(1, min(n_buckets, 4096))
+    x = df.withColumn("__ord", F.coalesce(F.col(order_col).cast("double"), F.lit(float("-inf"))))
+    probs = [i / n for i in range(1, n)]
+    cuts = sorted(set(df.select(F.col(order_col).cast("double").alias("o")).filter("o IS NOT NULL")
+                      .approxQuantile("o", probs, 0.25 / n))) if probs else []
+    if not cuts:
+        return x.withColumn(out, F.lit(0)).drop("__ord")
+    cutter = Bucketizer(splits=[float("-inf"), *cuts, float("inf")], inputCol="__ord", outputCol=out,
+                        handleInvalid="keep")
+    return cutter.transform(x).withColumn(out, F.col(out).cast("int")).drop("__ord")
+
+
 def bucket_rank(df: DataFrame, group_cols: list[str], order_col: str,
                 tie_col: str, rank_col: str = "rank", n_buckets: int = 1024,
-                lo: float = 0.0, hi: float = float(MOD31)) -> DataFrame:
+                lo: float | None = 0.0, hi: float | None = float(MOD31)) -> DataFrame:
     """Exact 1-based row number inside ``group_cols`` by (order, tie).
 
-    The order value must lie in [lo, hi]; rows spread over ``n_buckets``
-    buckets, and the window runs per (group, bucket) so no task sees a whole
-    group.  One shuffle of the rows plus a count table of groups x buckets.
+    The order value must lie in [lo, hi] and be spread over it (a hash); for a
+    raw value pass ``lo=None`` and the buckets are cut at its quantiles.  The
+    window runs per (group, bucket) so no task sees a whole group.  One
+    shuffle of the rows plus a count table of groups x buckets.
     """
     b = "__bkt"
-    x = df.withColumn(b, _bucket_col(F.col(order_col), n_buckets, lo, hi))
+    if lo is None:
+        x = balanced_buckets(df, order_col, b, n_buckets)
+    else:
+        x = df.withColumn(b, _bucket_col(F.col(order_col), n_buckets, lo, hi))
     counts = x.groupBy(*group_cols, b).agg(F.count(F.lit(1)).alias("__cnt"))
     w = Window.partitionBy(*group_cols).orderBy(b) if group_cols else Window.orderBy(b)
     offsets = counts.withColumn(
@@ -275,6 +295,29 @@ def block_count(n: int, block_rows: int) -> int:
     return max(1, math.ceil(n / block_rows))
 
 
+def via_long_key(df: DataFrame, key: str, run, id_cols: list[str], *more: DataFrame) -> DataFrame:
+    """``run(df, *more)`` on long keys, whatever the key's type.
+
+    Integer keys go through as they are.  Any other key is numbered in key order
+    (a distributed sort), ``run`` sees the numbers under the same column
+    name, and ``id_cols`` of its result are turned back.
+    """
+    from vela.session import cut_lineage
+    if isinstance(df.schema[key].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return run(df, *more)
+    keys = df.select(key)
+    for m in more:
+        keys = keys.unionByName(m.select(key))
+    ids = cut_lineage(keys.distinct().orderBy(key).withColumn("__kid", F.monotonically_increasing_id()))
+    swap = [t.join(ids, key).drop(key).withColumnRenamed("__kid", key) for t in (df, *more)]
+    out = run(*swap)
+    cols = out.columns
+    for c in id_cols:
+        out = out.join(ids.select(F.col("__kid").alias(c), F.col(key).alias("__text")), c, "left") \
+            .drop(c).withColumnRenamed("__text", c)
+    return out.select(*cols)
+
+
 def pack_blocks(df: DataFrame, key: str, vec: Column, n_blocks: int,
                 tag: Column | None = None) -> DataFrame:
     """Pack rows into ``n_blocks`` blocks: (blk, keys array<long>, vecs flat

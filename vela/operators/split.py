@@ -61,12 +61,11 @@ def safe_folds(df: DataFrame, target: str, max_folds: int = 5) -> int:
 
 def stratified_folds(df: DataFrame, target: str, key: str, k: int = 5, repeats: int = 1,
                      seed: int = 1995, hash_method: str = "portable") -> DataFrame:
-    """D3: (key, repeat, fold): inside each class and repeat, rows in seeded
-    hash order are dealt to folds 1..k in turn, so fold sizes per class
+    """D3: (key, repeat, fold): inside each class and repeat, rows in a
+    seeded hash order of their own (the repeat is part of the hash) are dealt to folds 1..k in turn, so fold sizes per class
     differ by at most one."""
     reps = df.select(key, target).withColumn("repeat", F.explode(F.sequence(F.lit(1), F.lit(repeats))))
-    x = reps.withColumn("__h", F.pmod(order_hash(key, seed, hash_method) +
-                                      (F.col("repeat") - 1) * F.lit(7919), F.lit(2147483647)))
+    x = reps.withColumn("__h", order_hash(key, seed, hash_method, F.col("repeat")))
     nb = auto_buckets(max(class_counts(df, target).values()))
     r = bucket_rank(x, [target, "repeat"], "__h", key, "__rank", n_buckets=nb)
     return r.select(key, "repeat", (F.pmod(F.col("__rank") - 1, F.lit(k)) + 1).cast("int").alias("fold"))

@@ -12,9 +12,10 @@ SPARSE_COLS = ["o_totalprice", "x_cust", "x_price7", "x_mod"]
 LI_NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
-def H(key: str, seed: int) -> str:
-    """SQL twin of ``portable_hash``."""
-    return f"(({key} * 48271 + {seed * 69621}) % 2147483647)"
+def H(key: str, seed: int, *salt: str) -> str:
+    """SQL twin of ``portable_hash``; salts are SQL expressions."""
+    text = "concat_ws('|', " + ", ".join(f"({c})::VARCHAR" for c in (key, f"'{seed}'", *salt)) + ")"
+    return f"(('0x' || substr(md5({text}), 1, 8))::BIGINT % 2147483647)"
 
 
 def SPLIT_SQL(src: str, target: str, key: str, p: float = 0.8, seed: int = 1995) -> str:
@@ -227,8 +228,8 @@ def q_nzv(spark, sf):
 # ---------------------------------------------------------------- C13 - C16
 
 @check("inject_nulls", f"""
-WITH o AS (SELECT *, row_number() OVER (ORDER BY {H('o_orderkey', 42)}, o_orderkey) AS r0,
-                  row_number() OVER (ORDER BY {H('o_orderkey', 43)}, o_orderkey) AS r1,
+WITH o AS (SELECT *, row_number() OVER (ORDER BY {H('o_orderkey', 42, chr(39) + 'o_totalprice' + chr(39))}, o_orderkey) AS r0,
+                  row_number() OVER (ORDER BY {H('o_orderkey', 42, chr(39) + 'o_custkey' + chr(39))}, o_orderkey) AS r1,
                   greatest(1, floor(0.12 * count(*) OVER ())) AS m FROM orders)
 SELECT o_orderkey, CASE WHEN r0 <= m THEN NULL ELSE {R('o_totalprice')} END AS o_totalprice,
        CASE WHEN r1 <= m THEN NULL ELSE o_custkey END AS o_custkey
@@ -275,6 +276,23 @@ def q_make_unique_ids(spark, sf):
     return finish(clean.make_unique_ids(o, "id", "o_orderkey"))
 
 
+@check("make_unique_collision", """
+WITH o AS (SELECT o_orderkey, o_custkey, CASE WHEN o_custkey % 3 = 0 THEN 'ID_' || (o_custkey // 9)::VARCHAR || '_rep' || (1 + o_custkey % 2)::VARCHAR
+                  ELSE 'ID_' || (o_custkey // 9)::VARCHAR END AS id FROM orders),
+n AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY o_orderkey) AS rn FROM o),
+free AS (SELECT id, v, row_number() OVER (PARTITION BY id ORDER BY v) AS nth
+         FROM (SELECT DISTINCT id FROM o) d, range(1, (SELECT max(rn) FROM n) + 3) t(v)
+         WHERE d.id || '_rep' || v::VARCHAR NOT IN (SELECT id FROM o))
+SELECT o_orderkey, CASE WHEN rn = 1 THEN n.id ELSE n.id || '_rep' || free.v::VARCHAR END AS id
+FROM n LEFT JOIN free ON free.id = n.id AND free.nth = n.rn - 1
+""")
+def q_make_unique_collision(spark, sf):
+    base = F.concat(F.lit("ID_"), F.floor(F.col("o_custkey") / 9).cast("string"))
+    o = t(spark, sf, "orders").select("o_orderkey", F.when(F.col("o_custkey") % 3 == 0, F.concat(
+        base, F.lit("_rep"), (1 + F.col("o_custkey") % 2).cast("string"))).otherwise(base).alias("id"))
+    return finish(clean.make_unique_ids(o, "id", "o_orderkey"))
+
+
 @check("sequential_ids", """
 SELECT o_orderkey, printf('M%03d', row_number() OVER (ORDER BY o_orderkey)) AS id FROM orders
 """)
@@ -335,7 +353,7 @@ def dirty_part(spark, sf):
 WITH p AS (SELECT p_partkey,
              CASE WHEN p_partkey % 6 = 1 THEN NULL ELSE p_size END AS p_size,
              CASE WHEN p_partkey % 9 = 2 THEN NULL ELSE p_retailprice END AS p_retailprice FROM part),
-i AS (SELECT p_partkey, coalesce(p_size, (SELECT median(p_size) FROM p))::INT AS p_size,
+i AS (SELECT p_partkey, coalesce(p_size, (SELECT median(p_size) FROM p)) AS p_size,
              coalesce(p_retailprice, (SELECT median(p_retailprice) FROM p)) AS p_retailprice FROM p)
 {_std_sql(['p_size', 'p_retailprice'], 'i', 'p_partkey')}
 """)
@@ -346,7 +364,7 @@ def q_numeric_matrix(spark, sf):
 
 @check("supervised_frame", f"""
 WITH d AS {DIRTY_ORDERS_SQL}
-SELECT o_orderkey, o_orderstatus, o_custkey,
+SELECT o_orderkey, o_orderstatus, {R('o_custkey')} AS o_custkey,
        {R('coalesce(o_totalprice, (SELECT median(o_totalprice) FROM d))')} AS o_totalprice
 FROM d
 """)
@@ -379,7 +397,7 @@ def q_safe_folds(spark, sf):
 WITH r AS (SELECT o_orderkey, o_orderstatus, rep FROM orders, range(1, 4) t(rep))
 SELECT o_orderkey, rep::BIGINT AS "repeat",
   ((row_number() OVER (PARTITION BY o_orderstatus, rep
-     ORDER BY ({H('o_orderkey', 1995)} + (rep - 1) * 7919) % 2147483647, o_orderkey) - 1) % 5 + 1)::BIGINT AS fold
+     ORDER BY {H('o_orderkey', 1995, 'rep')}, o_orderkey) - 1) % 5 + 1)::BIGINT AS fold
 FROM r
 """)
 def q_folds(spark, sf):
@@ -387,6 +405,53 @@ def q_folds(spark, sf):
     return finish(split.stratified_folds(o, "o_orderstatus", "o_orderkey", 5, 3, 1995))
 
 
+TEXT_ORDERS_SQL = "(SELECT 'ID_' || o_orderkey::VARCHAR AS id, o_orderstatus, o_totalprice, o_custkey FROM orders)"
+
+
+def text_orders(spark, sf):
+    return t(spark, sf, "orders").select(F.concat(F.lit("ID_"), F.col("o_orderkey").cast("string")).alias("id"),
+                                         "o_orderstatus", "o_totalprice", "o_custkey")
+
+
+@check("split_text_key", f"SELECT id, o_orderstatus, is_train FROM {SPLIT_SQL(TEXT_ORDERS_SQL, 'o_orderstatus', 'id')}")
+def q_split_text(spark, sf):
+    flagged, _, _ = split.stratified_split(text_orders(spark, sf).select("id", "o_orderstatus"), "o_orderstatus", "id")
+    return finish(flagged)
+
+
+@check("folds_text_key", f"""
+SELECT id, rep::BIGINT AS "repeat", ((row_number() OVER (PARTITION BY o_orderstatus, rep
+     ORDER BY {H('id', 1995, 'rep')}, id) - 1) % 5 + 1)::BIGINT AS fold
+FROM (SELECT id, o_orderstatus, rep FROM {TEXT_ORDERS_SQL}, range(1, 4) t(rep))
+""")
+def q_folds_text(spark, sf):
+    return finish(split.stratified_folds(text_orders(spark, sf), "o_orderstatus", "id", 5, 3, 1995))
+
+
+@check("inject_nulls_text_key", f"""
+WITH o AS (SELECT *, row_number() OVER (ORDER BY {H('id', 42, chr(39) + 'o_totalprice' + chr(39))}, id) AS r0,
+                  greatest(1, floor(0.12 * count(*) OVER ())) AS m FROM {TEXT_ORDERS_SQL})
+SELECT id, CASE WHEN r0 <= m THEN NULL ELSE {R('o_totalprice')} END AS o_totalprice FROM o
+""")
+def q_inject_text(spark, sf):
+    return finish(clean.inject_nulls(text_orders(spark, sf).select("id", "o_totalprice"), ["o_totalprice"], 0.12, 42, "id"))
+
+
+#: An even count of integers stays in each column, so the medians are midpoints.
+@check("impute_median_integer", f"""
+WITH p AS (SELECT p_partkey, CASE WHEN p_partkey % 4 = 1 THEN NULL ELSE p_size END AS p_size,
+                  CASE WHEN p_partkey % 2 = 1 THEN NULL ELSE p_partkey END AS x_key FROM part)
+SELECT p_partkey, {R('coalesce(p_size, (SELECT median(p_size) FROM p))')} AS p_size,
+       {R('coalesce(x_key, (SELECT median(x_key) FROM p))')} AS x_key FROM p
+""")
+def q_impute_integer(spark, sf):
+    p = t(spark, sf, "part")
+    p = p.select("p_partkey", F.when(F.col("p_partkey") % 4 != 1, F.col("p_size")).alias("p_size"),
+                 F.when(F.col("p_partkey") % 2 != 1, F.col("p_partkey")).alias("x_key"))
+    out, _ = clean.impute_median(p, ["p_size", "x_key"])
+    return finish(out)
+
+
 @check("resample_summary", f"""
 SELECT event_type AS model, 'value' AS metric, {R('min(value)')} AS min,
        {R('quantile_cont(value, 0.25)')} AS q1, {R('median(value)')} AS median, {R('avg(value)')} AS mean,

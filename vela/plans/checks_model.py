@@ -197,6 +197,28 @@ def q_knn(spark, sf):
     return finish(neighbors.knn(emb(spark, sf), "vec_id", "embedding", 9))
 
 
+def text_emb(spark, sf):
+    e = emb(spark, sf)
+    return e.withColumn("vec_id", F.concat(F.lit("ID_"), F.col("vec_id").cast("string")))
+
+
+@check("knn_text_key", f"""
+SELECT i AS vec_id, j AS neighbor, {R('dist')} AS dist, rk::BIGINT AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY i ORDER BY dist, j) AS rk FROM (
+    SELECT 'ID_' || i::VARCHAR AS i, 'ID_' || j::VARCHAR AS j, dist FROM {PAIRS_SQL})) WHERE rk <= 9
+""")
+def q_knn_text(spark, sf):
+    return finish(neighbors.knn(text_emb(spark, sf), "vec_id", "embedding", 9))
+
+
+@check("silhouette_text_key", f"""
+SELECT 'ID_' || vec_id::VARCHAR AS vec_id, cluster::BIGINT AS cluster, neighbor::BIGINT AS neighbor, {R('sil_width')} AS sil_width
+FROM {SIL_SQL}
+""")
+def q_silhouette_text(spark, sf):
+    return finish(cluster.silhouette(text_emb(spark, sf), "vec_id", "embedding", "label"))
+
+
 @check("knn_distance_quantile", f"""
 SELECT {R('quantile_cont(dist, 0.9)')} AS eps FROM {KNN_SQL} WHERE rk = 9
 """)

@@ -78,7 +78,7 @@ def q_dbscan_core(spark, sf):
     return finish(cluster.dbscan(emb(spark, sf), "vec_id", "embedding", EPS, MIN_PTS).select("vec_id", "core"))
 
 
-@check("dbscan_clusters", f"""
+DBSCAN_SQL = f"""
 WITH RECURSIVE {PR_SQL},
 core AS (SELECT e.vec_id AS v, (count(pr.j) + 1 >= {MIN_PTS}) AS core FROM embeddings e
          LEFT JOIN pr ON pr.i = e.vec_id GROUP BY e.vec_id),
@@ -91,11 +91,22 @@ lab AS (SELECT v, comp FROM comp UNION ALL SELECT v, comp FROM border),
 num AS (SELECT comp, row_number() OVER (ORDER BY comp) AS cluster FROM (SELECT DISTINCT comp FROM lab))
 SELECT core.v AS vec_id, core.core, coalesce(num.cluster, 0)::BIGINT AS cluster
 FROM core LEFT JOIN lab ON lab.v = core.v LEFT JOIN num ON num.comp = lab.comp
-""")
+"""
+
+
+@check("dbscan_clusters", DBSCAN_SQL)
 def q_dbscan_clusters(spark, sf):
     return finish(cluster.dbscan(emb(spark, sf), "vec_id", "embedding", EPS, MIN_PTS))
 
 
+#: The same on text keys: order of keys is order of texts.
+@check("dbscan_text_key", DBSCAN_SQL.replace("SELECT vec_id, label,", "SELECT 'ID_' || vec_id::VARCHAR AS vec_id, label,")
+       .replace("FROM embeddings e", "FROM (SELECT 'ID_' || vec_id::VARCHAR AS vec_id FROM embeddings) e"))
+def q_dbscan_text(spark, sf):
+    e = emb(spark, sf).withColumn("vec_id", F.concat(F.lit("ID_"), F.col("vec_id").cast("string")))
+    return finish(cluster.dbscan(e, "vec_id", "embedding", EPS, MIN_PTS))
+
+
 @check("single_linkage", f"""
 WITH RECURSIVE {PR_SQL},
 cc(v, l) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT pr.j, cc.l FROM cc JOIN pr ON pr.i = cc.v)

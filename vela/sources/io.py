@@ -67,9 +67,7 @@ def attach_labels(features: DataFrame, labels: DataFrame, on: str | None = None,
         return features.join(labels, on)
 
     def ranked(df, col):
-        mm = df.agg(F.min(col), F.max(col)).collect()[0]
-        return bucket_rank(df, [], col, col, "__pos", lo=float(mm[0]), hi=float(mm[1]) + 1.0,
-                           n_buckets=auto_buckets(nf))
+        return bucket_rank(df, [], col, col, "__pos", lo=None, n_buckets=auto_buckets(nf, minimum=64))
 
     return ranked(features, order_features).join(ranked(labels, order_labels), "__pos").drop("__pos")
 
