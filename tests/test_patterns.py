@@ -70,3 +70,21 @@ def test_results_do_not_depend_on_partitioning(spark):
     a = profile.profile(df.unionAll(df)).collect()[0]
     b = profile.profile(df.unionAll(df), exact=False).collect()[0]
     assert a == b
+
+
+def test_column_stats_are_exact_whatever_the_bounds(spark):
+    import numpy as np
+    from vela.operators.patterns import column_stats
+    rng = np.random.default_rng(3)
+    n = 20_000
+    pdf = pd.DataFrame({"a": rng.normal(size=n), "b": rng.integers(0, 9, n).astype(float), "c": np.where(rng.random(n) < 0.3, np.nan, rng.exponential(size=n)), "d": 5.0})
+    df = spark.createDataFrame(pdf).repartition(4).replace(float("nan"), None)
+    probs = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
+    for kw in ({}, {"accuracy": 200, "limit": 2000}):
+        got = column_stats(df, list("abcd"), probs, **kw)
+        for c in "abcd":
+            v = pdf[c].dropna().to_numpy()
+            assert got[c].n == len(v) and abs(got[c].mean - v.mean()) < 1e-9
+            assert np.allclose([got[c].quantiles[p] for p in probs], np.quantile(v, probs), rtol=0, atol=1e-12), (c, kw)
+    empty = column_stats(df.filter("a > 100"), ["a"], [0.5])["a"]
+    assert empty.n == 0 and empty.quantiles[0.5] is None

@@ -19,8 +19,7 @@ from pyspark.sql import types as T
 
 from vela.functions.columns import (is_numeric_type, nonfinite_to_null_col, numeric_columns,
                                     order_hash)
-from vela.operators.patterns import auto_buckets, bounded_collect, bucket_rank, exact_quantiles, join_small, \
-    quantile_name
+from vela.operators.patterns import auto_buckets, bounded_collect, bucket_rank, column_stats, join_small
 
 # R's machine epsilon, used as the zero-variance limit, and
 # caret's near-zero-variance defaults (95/5 frequency ratio, 10 % unique).
@@ -99,11 +98,8 @@ def drop_sparse_columns(train: DataFrame, test: DataFrame | None, cols: list[str
 
 def medians(df: DataFrame, cols: list[str]) -> dict:
     """Exact medians (type 7, midpoint for even counts) per column."""
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]) \
-        .unpivot([], cols, "variable", "value").filter(F.col("value").isNotNull())
-    q = exact_quantiles(long, ["variable"], "value", [0.5]).collect()
-    out = {r["variable"]: r[quantile_name(0.5)] for r in q}
-    empty = [c for c in cols if c not in out]
+    out = {c: s.quantiles[0.5] for c, s in column_stats(df, cols, [0.5]).items()}
+    empty = [c for c in cols if out[c] is None]
     if empty:
         raise ValueError(f"columns without any value: {empty}")
     return out

@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vela.functions.columns import feature_array
-from vela.operators.patterns import (block_arrays, block_count, block_pairs, exact_quantiles,
-                                     pack_blocks, quantile_name, sq_dists, via_long_key)
+from vela.operators.patterns import (block_arrays, block_count, block_pairs, column_stats,
+                                     pack_blocks, sq_dists, via_long_key)
+from vela.session import cut_lineage
 
 # Exact all-pairs output is refused above this many rows unless forced.
 PAIRWISE_ROW_LIMIT = 200_000
@@ -138,9 +139,9 @@ def kth_neighbor_distance(df: DataFrame, key: str, features, k: int) -> DataFram
 def knn_distance_quantile(df: DataFrame, key: str, features, k: int, p: float = 0.9) -> DataFrame:
     """The ``p`` quantile (exact, type 7) of the k-th neighbour distance:
     the usual DBSCAN radius estimate."""
-    kd = kth_neighbor_distance(df, key, features, k).withColumn("g", F.lit(1))
-    q = exact_quantiles(kd, ["g"], "kdist", [p])
-    return q.select(F.col(quantile_name(p)).alias("eps"))
+    kd = cut_lineage(kth_neighbor_distance(df, key, features, k))
+    q = column_stats(kd, ["kdist"], [p])["kdist"].quantiles[p]
+    return df.sparkSession.createDataFrame([(q,)], "eps double")
 
 
 def within_eps(df: DataFrame, key: str, features, eps: float, block_rows: int | None = None) -> DataFrame:

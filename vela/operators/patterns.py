@@ -283,6 +283,87 @@ def exact_quantiles(long_df: DataFrame, group_cols: list[str], value_col: str,
     return long_df.sparkSession.createDataFrame(out, T.StructType(fields))
 
 
+@dataclass
+class ColumnStats:
+    n: int
+    mean: float | None
+    sd: float | None
+    min: float | None
+    max: float | None
+    quantiles: dict      # probability -> exact type-7 value (None without values)
+
+
+def column_stats(df: DataFrame, cols: list[str], probs: list[float], accuracy: int = 10_000,
+                 limit: int = 200_000) -> dict[str, ColumnStats]:
+    """Moments and exact type-7 quantiles of whole columns, without unpivoting the table.
+
+    One wide aggregate gives n, mean, sd, min, max and a mergeable sketch per
+    column; the sketch brackets every wanted rank.  A second counts the rows
+    below and inside each bracket (a bracket that misses its rank is widened
+    to the column's range), and only rows inside a bracket are listed, as
+    counts per value.  Brackets with more than ``limit`` values in all are
+    narrowed by sketches of their own, so what is collected is bounded.
+    """
+    x = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    m = 3.0 / accuracy
+    around = [min(1.0, max(0.0, q)) for p in probs for q in (p - m, p + m)]
+    aggs = []
+    for i, c in enumerate(cols):
+        aggs += [F.count(c).alias(f"n{i}"), F.avg(c).alias(f"a{i}"), F.stddev_samp(c).alias(f"s{i}"),
+                 F.min(c).alias(f"l{i}"), F.max(c).alias(f"h{i}")]
+        if probs:
+            aggs.append(F.percentile_approx(c, around, accuracy).alias(f"q{i}"))
+    row = x.agg(*aggs).first()
+    out = {c: ColumnStats(row[f"n{i}"], row[f"a{i}"], row[f"s{i}"], row[f"l{i}"], row[f"h{i}"],
+                          {p: None for p in probs}) for i, c in enumerate(cols)}
+    todo = []        # [column, probability, first rank, second rank, lo, hi, last bracket that held, margin]
+    for i, c in enumerate(cols):
+        n = out[c].n
+        for j, p in enumerate(probs if n else []):
+            r = int(math.floor((n - 1) * p)) + 1
+            todo.append([c, p, r, min(r + 1, n), row[f"q{i}"][2 * j], row[f"q{i}"][2 * j + 1], (out[c].min, out[c].max), m])
+    limit = max(limit, 16 * len(todo))
+    while todo:
+        inside = [F.col(t[0]).between(F.lit(t[4]), F.lit(t[5])) for t in todo]
+        counts = x.agg(*[F.count_if(F.col(t[0]) < F.lit(t[4])).alias(f"b{i}") for i, t in enumerate(todo)],
+                       *[F.count_if(e).alias(f"i{i}") for i, e in enumerate(inside)]).first()
+        missed = [i for i, t in enumerate(todo)
+                  if not counts[f"b{i}"] < t[2] or not t[3] <= counts[f"b{i}"] + counts[f"i{i}"]]
+        if missed:
+            for i in missed:
+                todo[i][4:6], todo[i][7] = todo[i][6], 2 * todo[i][7]
+            continue
+        if any(t[7] > 0.5 for t in todo):
+            raise ValueError("quantile brackets do not narrow; raise accuracy or limit")
+        held = F.filter(F.array(*[F.when(e, F.struct(F.lit(i).alias("t"), F.col(t[0]).alias("v")))
+                                  for i, (e, t) in enumerate(zip(inside, todo))]), lambda s: s.isNotNull())
+        got = bounded_collect(x.select(F.explode(held).alias("s")).groupBy("s.t", "s.v")
+                              .agg(F.count(F.lit(1)).alias("c")), limit)
+        if got is None:      # narrower brackets from sketches of what is inside
+            narrow = []
+            for i, t in enumerate(todo):
+                at = [(r - counts[f"b{i}"]) / max(1, counts[f"i{i}"]) for r in t[2:4]]
+                narrow.append(F.percentile_approx(F.when(inside[i], F.col(t[0])),
+                                                  [max(0.0, at[0] - t[7]), min(1.0, at[1] + t[7])], accuracy).alias(f"q{i}"))
+            bounds = x.agg(*narrow).first()
+            for i, t in enumerate(todo):
+                if [t[4], t[5]] == bounds[f"q{i}"]:
+                    t[7] = t[7] / 2      # a sketch of few values is exact: ask for less
+                t[6], t[4:6] = (t[4], t[5]), bounds[f"q{i}"]
+            continue
+        by: dict[int, list] = {}
+        for r in got:
+            by.setdefault(r["t"], []).append((r["v"], r["c"]))
+        for i, (c, p, r1, r2, *_) in enumerate(todo):
+            pairs = sorted(by[i])
+            ends = counts[f"b{i}"] + np.cumsum([k for _, k in pairs])
+            a, b = (pairs[int(np.searchsorted(ends, r))][0] for r in (r1, r2))
+            h = (out[c].n - 1) * p
+            out[c].quantiles[p] = a + (h - math.floor(h)) * (b - a)
+        break
+    return out
+
+
 def quantile_name(p: float) -> str:
     return "q_" + f"{p:g}".replace(".", "_")
 
