@@ -67,7 +67,7 @@ def _statistics(batches):
         rows = [statistics_of(data[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo]) for lo, hi in tb.blocks(offs)]
         s = np.concatenate(rows) if rows else np.zeros((0, len(STATISTICS)))
         yield pa.record_batch([batch.column("id"), *(pa.array(s[:, i], pa.float64()) for i in range(len(STATISTICS)))], names=["id", *STATISTICS])
-            tb.release()
+        tb.release()
 
 
 def text_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
