@@ -296,6 +296,7 @@ class MLModel:
     featurize: object = None
     calibration: tuple | None = None   # (a, b): p = sigmoid(a * margin + b) for SVMs
     name: str = ""
+    class_calibration: list | None = None   # the same for each one-vs-rest score
     glm: bool = False                  # binomial GLM: ``prediction`` is P(second level)
 
     def _vec(self, df: DataFrame) -> DataFrame:
@@ -322,8 +323,12 @@ class MLModel:
             pa = vector_to_array("probability")
             probs = [pa[i].alias(f"prob_{x}") for i, x in enumerate(lv)]
         else:
-            pred = F.col("prediction").cast("int")
-            probs = [(pred == i).cast("double").alias(f"prob_{x}") for i, x in enumerate(lv)]
+            # one-vs-rest: a calibrated score for each class, normalised to one
+            raw = vector_to_array("rawPrediction")
+            own = [1 / (1 + F.exp(-(F.lit(a) * raw[i] + F.lit(b)))) for i, (a, b) in enumerate(self.class_calibration)]
+            out = out.withColumn("__own", F.array(*own))
+            total = F.aggregate("__own", F.lit(0.0), lambda t, x: t + x)
+            probs = [(F.col("__own")[i] / total).alias(f"prob_{x}") for i, x in enumerate(lv)]
         return out.select(*keep, *probs).withColumn(pred_col, _argmax_col(lv))
 
     def importances(self):
@@ -382,16 +387,20 @@ def fit_logistic(df, features, target, levels=None, reg: float = 0.0, max_iter:
                   lv, name="glm")
 
 
-def _platt(model: MLModel, df: DataFrame, target: str) -> tuple:
-    """Logistic calibration of SVM margins (fitted on the given rows)."""
+def _platt(model: MLModel, df: DataFrame, target: str, cls: int | None = None) -> tuple:
+    """Logistic calibration of SVM margins (fitted on the given rows); with
+    ``cls`` of that class's one-vs-rest margin."""
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.functions import vector_to_array
     out = model.model.transform(model._vec(df))
-    m = out.select(vector_to_array("rawPrediction")[1].alias("m"),
-                   _index_expr(target, model.levels).alias("__y"))
+    y = _index_expr(target, model.levels)
+    if cls is None:
+        m = out.select(vector_to_array("rawPrediction")[1].alias("m"), y.alias("__y"))
+    else:
+        m = out.select(vector_to_array("rawPrediction")[cls].alias("m"), (y == cls).cast("double").alias("__y"))
     va = VectorAssembler(inputCols=["m"], outputCol="v")
-    lr = LogisticRegression(featuresCol="v", labelCol="__y", regParam=0.0, standardization=False).fit(va.transform(m))
+    lr = LogisticRegression(featuresCol="v", labelCol="__y", regParam=1e-3, standardization=False).fit(va.transform(m))
     return float(lr.coefficients[0]), float(lr.intercept)
 
 
@@ -407,6 +416,8 @@ def fit_svm_linear(df, features, target, levels=None, C: float = 1.0, max_iter:
     m = fit_ml(df, features, target, est, lv, featurize, name)
     if len(lv) == 2:
         m.calibration = _platt(m, df, target)
+    else:
+        m.class_calibration = [_platt(m, df, target, i) for i in range(len(lv))]
     return m
 
 
@@ -451,13 +462,20 @@ def fit_svm_radial(df, features, target, levels=None, C: float = 1.0, sigma: flo
 
 
 def polynomial_featurizer(d: int, degree: int, scale: float = 1.0):
+    """Explicit map of the kernel (scale x.y + 1)^degree without its constant
+    term: a monomial of order m is weighted by the root of its multinomial
+    coefficient times scale^m."""
+    from collections import Counter
     from itertools import combinations_with_replacement
 
     def featurize(arr: Column) -> Column:
         terms = []
         for deg in range(1, degree + 1):
             for combo in combinations_with_replacement(range(d), deg):
-                e = F.lit(scale ** deg)
+                ways = math.factorial(degree) // math.factorial(degree - deg)
+                for times in Counter(combo).values():
+                    ways //= math.factorial(times)
+                e = F.lit(math.sqrt(ways * scale ** deg))
                 for i in combo:
                     e = e * arr[i]
                 terms.append(e)
@@ -512,7 +530,10 @@ def fit_gbt(df, features, target, levels=None, n_iter: int = 100, depth: int = 3
     lv = _levels(df, target, levels)
     gbt = GBTClassifier(maxIter=n_iter, maxDepth=depth, stepSize=step, seed=seed, maxBins=64)
     est = gbt if len(lv) == 2 else OneVsRest(classifier=gbt)
-    return fit_ml(df, features, target, est, lv, name="gbm")
+    m = fit_ml(df, features, target, est, lv, name="gbm")
+    if len(lv) > 2:      # a boosted margin is half the log-odds
+        m.class_calibration = [(2.0, 0.0)] * len(lv)
+    return m
 
 
 def gbt_loss_history(model: MLModel, df: DataFrame, target: str) -> list:

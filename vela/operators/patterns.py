@@ -600,4 +600,6 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
         lab = jump
         if changed == 0:
             break
+    else:
+        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     return lab.withColumnRenamed("l", "comp")

@@ -129,7 +129,7 @@ def q_divisive(spark, sf):
 
 @check("kmedoids")
 def q_kmedoids(spark, sf):
-    asg, _, _ = cluster.kmedoids(emb(spark, sf), "vec_id", "embedding", 10, samples=2)
+    asg, _, _ = cluster.kmedoids(emb(spark, sf), "vec_id", "embedding", 10)
     return asg
 
 
@@ -144,7 +144,7 @@ def q_compare_dimensions(spark, sf):
     means = []
     for dims in (2, 3):
         cols = [f"PC{i + 1}" for i in range(dims)]
-        km = cluster.kmeans(s, cols, 10, nstart=2, seed=3)
+        km = cluster.kmeans(s, cols, 10, seed=3)
         a = km.assign(s, cols, keep=["vec_id", *cols])
         means.append(cluster.silhouette_mean(cluster.silhouette(a, "vec_id", cols, "cluster")))
     return cluster.compare_dimensions(spark, means[0], means[1])
@@ -153,7 +153,7 @@ def q_compare_dimensions(spark, sf):
 @check("clusters_on_plane")
 def q_clusters_on_plane(spark, sf):
     s = _emb_pca(spark, sf)
-    km = cluster.kmeans(s, ["PC1", "PC2"], 10, nstart=2, seed=3)
+    km = cluster.kmeans(s, ["PC1", "PC2"], 10, seed=3)
     a = km.assign(s, ["PC1", "PC2"], keep=["vec_id"])
     return cluster.clusters_on_plane(a, s.select("vec_id", "PC1", "PC2"), s.select("vec_id", "label"), "vec_id")
 
@@ -162,22 +162,22 @@ def q_clusters_on_plane(spark, sf):
 
 @check("landmark_mds")
 def q_landmark_mds(spark, sf):
-    return manifold.landmark_mds(emb(spark, sf), "vec_id", "embedding", k=2, m=100).coords
+    return manifold.landmark_mds(emb(spark, sf), "vec_id", "embedding", k=2).coords
 
 
 @check("isomap")
 def q_isomap(spark, sf):
-    return manifold.isomap(emb(spark, sf), "vec_id", "embedding", k=12, dims=2, landmarks=20).coords
+    return manifold.isomap(emb(spark, sf), "vec_id", "embedding", k=12, dims=2).coords
 
 
 @check("lle")
 def q_lle(spark, sf):
-    return manifold.lle(emb(spark, sf), "vec_id", "embedding", k=10, dims=2, iters=20).coords
+    return manifold.lle(emb(spark, sf), "vec_id", "embedding", k=10, dims=2).coords
 
 
 @check("laplacian_eigenmaps")
 def q_laplacian(spark, sf):
-    return manifold.laplacian_eigenmaps(emb(spark, sf), "vec_id", "embedding", dims=2, k=10, iters=30).coords
+    return manifold.laplacian_eigenmaps(emb(spark, sf), "vec_id", "embedding", dims=2, k=10).coords
 
 
 @check("umap_graph")
@@ -187,7 +187,7 @@ def q_umap_graph(spark, sf):
 
 @check("tsne_affinities")
 def q_tsne(spark, sf):
-    return manifold.neighbor_affinities(emb(spark, sf), "vec_id", "embedding", "tsne", perplexity=10)
+    return manifold.neighbor_affinities(emb(spark, sf), "vec_id", "embedding", "tsne")
 
 
 @check("neighbor_embedding")
@@ -293,10 +293,9 @@ def q_mlp_early(spark, sf):
 @check("tune_knn")
 def q_tune_knn(spark, sf):
     e = emb(spark, sf)
-    folds = split.stratified_folds(e, "label", "vec_id", 3, 1, seed=5)
+    folds = split.stratified_folds(e, "label", "vec_id", 5, 1, seed=5)
     levels = sorted(str(r[0]) for r in e.select("label").distinct().collect())
-    res = tune.tune(e, "knn", "embedding", "label", "vec_id", [{"k": 5}, {"k": 7}, {"k": 9}], folds, levels,
-                    parallelism=3)
+    res = tune.tune(e, "knn", "embedding", "label", "vec_id", None, folds, levels)
     return res.summary
 
 
@@ -311,8 +310,8 @@ def q_pr_auc(spark, sf):
 @check("unsupervised_report")
 def q_unsupervised(spark, sf):
     e = emb(spark, sf)
-    flat = e.select("vec_id", *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(8)], "label")
-    out = jobs.unsupervised_report(flat, "vec_id", "label", k=10, nstart=2)
+    flat = e.select("vec_id", *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(64)], "label")
+    out = jobs.unsupervised_report(flat, "vec_id", "label", k=10)
     return out["reduced"]
 
 
@@ -320,8 +319,7 @@ def q_unsupervised(spark, sf):
 def q_supervised(spark, sf):
     o = t(spark, sf, "orders").select("o_orderkey", "o_totalprice", F.col("o_custkey").cast("double").alias("x_cust"),
                                       F.when(F.col("o_orderstatus") == "F", "F").otherwise("notF").alias("status"))
-    out = jobs.supervised_report(o, "o_orderkey", "status", models=("glm", "lda", "rpart"), k_folds=3,
-                                 grids={"rpart": [{"cp": 0.0}, {"cp": 0.01}]})
+    out = jobs.supervised_report(o, "o_orderkey", "status", models=("glm", "lda", "rpart"))
     return out["comparison"]
 
 
@@ -329,13 +327,12 @@ def q_supervised(spark, sf):
 def q_clean_mds(spark, sf):
     s = sparse_orders(spark, sf)
     out = jobs.clean_mds_report(s, "o_orderkey", ["o_totalprice", "x_cust", "x_price7", "x_mod"],
-                                group="o_orderstatus", k=3, nstart=2)
+                                group="o_orderstatus", k=3)
     return out["by_group"]
 
 
 @check("leak_safe_report")
 def q_leak_safe(spark, sf):
     s = sparse_orders(spark, sf)
-    out = jobs.leak_safe_report(s, "o_orderkey", "o_orderstatus", ["o_totalprice", "x_cust", "x_price7", "x_mod"],
-                                k_folds=3, repeats=1)
+    out = jobs.leak_safe_report(s, "o_orderkey", "o_orderstatus", ["o_totalprice", "x_cust", "x_price7", "x_mod"])
     return out["comparison"]

@@ -60,7 +60,7 @@ def unsupervised_report(df: DataFrame, key: str, label: str | None = None, k: in
 def supervised_report(df: DataFrame, key: str, target: str, models=("glm", "knn", "rpart"),
                       positive=None, p: float = 0.8, seed: int = 1995, k_folds: int = 5, repeats: int = 1,
                       grids: dict | None = None, exclude=(), parallelism: int = 4,
-                      on_error: str = "skip") -> dict:
+                      on_error: str = "raise") -> dict:
     """Encoded target -> stratified split -> train-fitted scaling (for
     knn/svm) -> folds -> tuned models -> test predictions -> metrics -> the
     comparison table ordered by AUC then F1."""
@@ -80,7 +80,7 @@ def supervised_report(df: DataFrame, key: str, target: str, models=("glm", "knn"
         try:
             scaled = name in classify.SCALED_MODELS
             tr, te = (tr_s, te_s) if scaled else (train, test)
-            grid = grids.get(name, [{}])
+            grid = grids.get(name)
             res = tune.tune(tr, name, feats, target, key, grid, folds, levels, pos, parallelism=parallelism)
             pr = res.model.predict(te, keep=[key, target])
             out["tuning"][name] = res
@@ -150,7 +150,7 @@ def leak_safe_report(df: DataFrame, key: str, target: str, features: list[str],
     folds = split.stratified_folds(train, target, key, split.safe_folds(train, target, k_folds), repeats, seed)
     preds, tuned = [], {}
     for name in models:
-        res = tune.tune(train, name, feats, target, key, (grids or {}).get(name, [{}]), folds, tgt.levels,
+        res = tune.tune(train, name, feats, target, key, (grids or {}).get(name), folds, tgt.levels,
                         tgt.positive, parallelism=parallelism)
         tuned[name] = res
         pr = res.model.predict(test, keep=[key, target])
