@@ -26,12 +26,30 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.execution.arrow.maxRecordsPerBatch", "4096")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = os.environ.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:      # for the Python workers, wherever the session is started from
+        os.environ["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package (a zip through ``addPyFile``), once per context.
+
+    Not needed where the repository is on the executors' PYTHONPATH."""
+    import shutil
+    sc = spark.sparkContext
+    if getattr(sc, "_vela_shipped", False):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    base = os.path.join(tempfile.mkdtemp(prefix="vela-zip-"), "vela")
+    sc.addPyFile(shutil.make_archive(base, "zip", root, "vela"))
+    sc._vela_shipped = True
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
