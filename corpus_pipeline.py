@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vela.llm.common import cut, read
+from vela.llm.common import cut, hinted, read
 from vela.llm.decontaminate import contaminated, decontaminate
 from vela.llm.langid import UNDETERMINED, fit_langid, identify, train_rows
 from vela.llm.ngram_join import ngram_join
@@ -35,10 +35,12 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The smallest doc_id of each class of near copies stays (of equal ids one row)."""
-    keep = ngram_join(docs).where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
-    held = docs.join(keep.hint("shuffle_hash"), docs.doc_id.eqNullSafe(keep.kept_id), "left_semi")
+    found = ngram_join(docs).groupBy(F.col("doc_id").alias("__id")).agg(F.count(F.lit(1)).alias("__rows"), F.min("class_id").alias("__class"))
+    marked = cut(found.where("__rows > 1 OR NOT __id <=> __class"))  # ids that go or that several rows share
+    held = docs.join(hinted(marked), docs.doc_id.eqNullSafe(marked["__id"]), "left").where("__rows IS NULL OR __id <=> __class")
     first = Window.partitionBy("doc_id").orderBy("text")
-    return held.withColumn("__nth", F.row_number().over(first)).where("__nth = 1").select(*docs.columns)
+    one = held.where("__rows > 1").withColumn("__nth", F.row_number().over(first)).where("__nth = 1")
+    return held.where("__rows IS NULL").select(*docs.columns).unionByName(one.select(*docs.columns))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

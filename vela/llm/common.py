@@ -27,6 +27,11 @@ def only(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{src}`").alias(dst) for dst, src in columns.items()])
 
 
+def hinted(df: DataFrame, most_rows: int = 1_000_000) -> DataFrame:
+    """A table of ids, broadcast if it has at most ``most_rows`` rows, else left to a shuffled join."""
+    return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
+
+
 def crc_mod(column: str, modulus: int):
     """crc32 of an id written as text, modulo ``modulus``."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % F.lit(modulus)

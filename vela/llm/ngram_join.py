@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vela.llm import textbytes as tb
-from vela.llm.common import cut, only
+from vela.llm.common import cut, hinted, only
 from vela.llm.components import components
 
 BANDS, ROWS = 21, 3
@@ -258,10 +258,11 @@ def ngram_join(docs: DataFrame, threshold: float = 0.8, k: int = 5, tolerance: f
     leads = buckets.groupBy("key").agg(F.min("node").alias("lead"), F.max("node").alias("last")).where("lead <> last").select("key", "lead")
     stars = buckets.join(leads, "key").where("node <> lead").select(F.col("node").alias("a"), F.col("lead").alias("b"))
     clusters = components(stars)
-    members = clusters.join(nodes, "node").select("node", F.col("root").alias("cluster"), "rep", "copies", "n", "sig")
+    members = cut(clusters.join(nodes, "node").select("node", F.col("root").alias("cluster"), "rep", "copies", "n", "sig"))
     weight = members.groupBy("cluster").agg(F.greatest(F.ceil(F.sum("n") / chunk_grams), F.ceil(F.count(F.lit(1)) / chunk_docs)).cast("int").alias("chunks"))
     placed = members.join(weight, "cluster").withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
-    loaded = work.join(placed.hint("shuffle_hash"), F.col("id") == F.col("rep")).select("text", "node", "cluster", "copies", "sig", "chunks", "chunk") \
+    some = work.join(hinted(members.select(F.col("rep").alias("id"))), "id", "left_semi")  # only members' texts are shuffled
+    loaded = some.join(placed.hint("shuffle_hash"), F.col("id") == F.col("rep")).select("text", "node", "cluster", "copies", "sig", "chunks", "chunk") \
         .mapInArrow(_member_sets(k), "node string, cluster string, copies long, sig binary, chunks int, chunk int, grams binary")
     units = loaded.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))) \
         .select(F.concat_ws("/", "cluster", F.least("chunk", "other"), F.greatest("chunk", "other")).alias("unit"),
