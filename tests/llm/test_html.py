@@ -23,6 +23,15 @@ def test_broken_pages():
     assert main_text("<p>" + "<b>" * 5000 + "deep", set()) == "deep"
 
 
+def test_pages_that_end_inside_a_tag():
+    prose = "then " + "some more words " * 400
+    assert main_text(f"<p>if a <b {prose}", set()) == f"if a <b {prose}".strip()
+    assert main_text("<p>text <b " + "x" * 100_000, set()) == "text <b " + "x" * 100_000
+    assert main_text("<p>a<!-- x -->b <i title='" + "y" * 200 + "<!-- gone", set()) == "ab <i title='" + "y" * 200
+    assert main_text("<p>" + "<b <!x " * 50_000, set()).count("<b") == 50_000
+    assert main_text('<a ">two " ' * 50_000, set()).count("two") == 50_000
+
+
 def test_site_template_goes_and_copies_of_an_article_stay(spark):
     rows = []
     for i in range(12):

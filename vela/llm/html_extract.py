@@ -36,7 +36,11 @@ MARKS = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising"
          "navigation", "menu", "submenu", "breadcrumb", "breadcrumbs", "header", "masthead", "topbar", "footer", "sidebar", "aside", "widget", "widgets", "cookie", "cookies", "consent", "gdpr",
          "notice", "notification", "popup", "modal", "overlay", "newsletter", "subscribe", "subscription", "signup", "login", "paywall", "share", "sharing", "social", "related", "recommended",
          "comment", "comments", "commentlist", "respond", "disqus", "pagination", "pager", "toolbar", "skip", "searchform", "toc"}
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']+|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
+#: Comment, declaration or tag; the last group is empty if no > ends a declaration, or a tag outside quotes.  Possessive, so that nothing is tried twice.
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?P<over>>?)|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)(?P<end>>?)", re.S)
+#: The same without the attributes, for pages with unpaired quotes.
+_OPENING = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?P<over>>?)|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<attrs>)(?P<end>)", re.S)
+_QUOTE = re.compile(r"[>\"']")
 _ATTR = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _SPLIT = re.compile(r"[^a-z0-9]+")
 #: A start tag of the key ends an open element of the values, up to a container.
@@ -54,22 +58,45 @@ class Node:
         return {m[1].lower(): entities.unescape(m[2] or m[3] or m[4] or "") for m in _ATTR.finditer(self.attrs)}
 
 
+def _tag_end(page: str, at: int, dead: set[int]) -> int:
+    """Place of the first > outside quotes; without one, of the first >; -1 if there is none.
+
+    ``dead`` holds the opening quotes that no such > follows, so a page is read once however many of its tags have unpaired quotes.
+    """
+    seen, here = [], at
+    while (m := _QUOTE.search(page, here)) and m.start() not in dead:
+        if m[0] == ">":
+            return m.start()
+        seen.append(m.start())
+        here = page.find(m[0], m.end()) + 1
+        if not here:
+            break
+    dead.update(seen)
+    return page.find(">", at)
+
+
 def parse(page: str) -> Node:
-    """Element tree; items are texts (decoded) and child nodes.  Unclosed elements end with their parent."""
+    """Element tree; items are texts (decoded) and child nodes.  Unclosed elements end with their parent; a tag that nothing closes is text."""
     root = Node("#", "")
     stack, at, n = [root], 0, len(page)
+    token, dead = _TOKEN, set()
     while at < n:
-        m = _TOKEN.search(page, at)
-        if m is None:
-            stack[-1].items.append(entities.unescape(page[at:]))
+        m = token.search(page, at)
+        end, name = m.end() if m else -1, m and m["name"]
+        if m and m["over"] == "":
+            end = -1
+        elif name and not m["end"]:
+            token, end = _OPENING, _tag_end(page, m.end("name"), dead) + 1 or -1
+        if end < 0:  # no more tags
+            cut = page.find("<!--", at)
+            stack[-1].items.append(entities.unescape(page[at:cut if cut >= 0 else n]))
             break
         if m.start() > at:
             stack[-1].items.append(entities.unescape(page[at:m.start()]))
-        at = m.end()
-        name = m[2] or m[5]
+        at = end
         if not name:
             continue
-        tag, closing, attrs = name.lower(), m[1] or m[4], (m[3] or m[6] or "")
+        tag, closing, attrs = name.lower(), m["close"], page[m.end("name"):end - 1]
         if closing:
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag == tag:
