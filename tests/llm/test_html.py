@@ -32,6 +32,18 @@ def test_pages_that_end_inside_a_tag():
     assert main_text('<a ">two " ' * 50_000, set()).count("two") == 50_000
 
 
+def test_every_article_and_much_text_beside_them():
+    parts = "<main><article><h2>One</h2><p>first post</p></article><div class='ad'>Buy</div><article><p>second post, a longer one</p></article></main>"
+    assert main_text(parts, set()) == "One\n\nfirst post\n\nsecond post, a longer one"
+    story = "".join(f"<p>Paragraph {i} of the story.</p>" for i in range(20))
+    told = [f"Paragraph {i} of the story." for i in range(20)]
+    teaser = "<article><header>by me<h3>Read next</h3></header><p>A teaser</p></article>"
+    assert main_text(f"<nav>x</nav><main><div>{story}</div>{teaser}</main><div>y</div>", set()).split("\n\n") == [*told, "Read next", "A teaser"]
+    assert main_text(f"<body><div>{story}</div>{teaser}</body>", set()).split("\n\n") == [*told, "Read next", "A teaser"]
+    box = hash_subtrees(parse(f"<div>{story}</div>"))[-1].hash
+    assert main_text(f"<body><div>{story}</div>{teaser}</body>", {box}) == "Read next\n\nA teaser"
+
+
 def test_site_template_goes_and_copies_of_an_article_stay(spark):
     rows = []
     for i in range(12):

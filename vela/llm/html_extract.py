@@ -168,26 +168,41 @@ def _not_article(node: Node, in_article: bool) -> bool:
     return bool(words & MARKS) and not (in_article and words & MARKS <= {"header"})
 
 
-def _find(root: Node, template: set[int]) -> Node:
-    """The element that holds the article: the longest article, else main, else everything."""
-    articles, mains, stack = [], [], [(root, False)]
+def _find(root: Node, template: set[int]) -> tuple[list[Node], list[Node], int]:
+    """All articles; the main elements and the articles beside them (else the root); characters of the latter outside articles and template."""
+    articles, tops, mains, inner, outer = [], [], 0, 0, 0
+    stack = [(root, False, False)]  # (node, in a main element, in a template subtree)
     while stack:
-        node, inside = stack.pop()
+        node, in_main, gone = stack.pop()
         if node.tag == "article":
             articles.append(node)
+            if not in_main:
+                tops.append(node)
             continue
-        if node.tag == "main" or node.attrs and node.attributes().get("role", "").lower() == "main":
-            mains.append(node)
+        if not in_main and (node.tag == "main" or node.attrs and node.attributes().get("role", "").lower() == "main"):
+            tops.append(node)
+            mains, in_main = mains + 1, True
         for x in reversed(node.items):
-            if isinstance(x, Node) and not _not_article(x, inside):
-                stack.append((x, inside))
-    return max(articles, key=lambda x: x.chars, default=None) or max(mains, key=lambda x: x.chars, default=None) or root
+            if isinstance(x, Node):
+                if not _not_article(x, False):
+                    stack.append((x, in_main, gone or x.hash in template and x.tag != "main"))
+            elif not gone:
+                n = len(" ".join(x.split()))
+                outer += n
+                inner += n * in_main
+    return articles, tops if mains else [root], inner if mains else outer
 
 
 def main_text(page: str, template: set[int]) -> str:
+    """The articles; main elements, or the page, if there are none or they hold less than a third of its text."""
     root = parse(page)
     hash_subtrees(root)
-    top = _find(root, template)
+    articles, tops, outside = _find(root, template)
+    text = _render(articles, template)
+    return text if articles and outside <= 2 * len(text) else _render(tops, template)
+
+
+def _render(tops: list[Node], template: set[int]) -> str:
     blocks: list[str] = []
     run: list[str] = []
 
@@ -197,16 +212,21 @@ def main_text(page: str, template: set[int]) -> str:
             blocks.append(text)
         run.clear()
 
-    stack: list = [(top, 0)]  # (node, index of the next item)
-    in_article = top.tag == "article"
+    stack: list = [(top, 0) for top in reversed(tops)]  # (node, index of the next item)
+    in_article = 0  # open articles
     heads = 0  # open article headers: only headings count there
     open_headings = 0
     while stack:
         node, i = stack.pop()
+        if not i:
+            in_article += node.tag == "article"
+            heads += node.tag == "header"
+            open_headings += node.tag in HEADINGS
         if i == len(node.items):
             if node.tag in BLOCK:
                 close()
-            heads -= in_article and node.tag == "header"
+            in_article -= node.tag == "article"
+            heads -= node.tag == "header"
             open_headings -= node.tag in HEADINGS
             continue
         stack.append((node, i + 1))
@@ -220,11 +240,9 @@ def main_text(page: str, template: set[int]) -> str:
         elif x.tag in VOID:
             if x.tag in BLOCK:
                 close()
-        elif not _not_article(x, in_article) and not (x.hash in template and not (in_article and x.tag in PROSE) and x.tag not in ("main", "article")):
+        elif not _not_article(x, in_article > 0) and not (x.hash in template and not (in_article and x.tag in PROSE) and x.tag not in ("main", "article")):
             if x.tag in BLOCK:
                 close()
-            heads += in_article and x.tag == "header"
-            open_headings += x.tag in HEADINGS
             stack.append((x, 0))
     close()
     return "\n\n".join(blocks)
