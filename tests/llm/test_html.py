@@ -44,6 +44,16 @@ def test_every_article_and_much_text_beside_them():
     assert main_text(f"<body><div>{story}</div>{teaser}</body>", {box}) == "Read next\n\nA teaser"
 
 
+def test_names_made_from_words_of_the_article_stay():
+    kept = ["<h2 id='related-work'>Related work</h2>", "<section id='social-impact'><h3 id='comments'>Impact</h3></section>", "<p id='notice-period'>Notice</p>", "<div class='share-price'>Price</div>",
+            "<p>a <span id='skip'>b</span></p>", "<pre><code class='x'><span class='hljs-comment'># c</span> <span class='comment'># d</span></code></pre>", "<div class='post-header'>Head</div>"]
+    gone = ["<div class='share-buttons'>S</div>", "<div class='x post__related'>R</div>", "<section id='comments'><p>C</p></section>", "<p class='ad'>A</p>", "<div id='cookie-notice'>N</div>"]
+    page = "".join(k + g for k, g in zip(kept, [*gone, "", ""]))
+    told = "Related work\n\nImpact\n\nNotice\n\nPrice\n\na b\n\n# c # d\n\nHead"
+    assert main_text(f"<article>{page}</article>", set()) == told and main_text(f"<main>{page}</main>", set()) == told
+    assert main_text("<h2 id='related-work'>Related work</h2><div class='my-share'>S</div>", set()) == "Related work"
+
+
 def test_site_template_goes_and_copies_of_an_article_stay(spark):
     rows = []
     for i in range(12):

@@ -29,6 +29,7 @@ DROP = {"head", "script", "style", "textarea", "title", "iframe", "noscript", "n
         "svg", "canvas", "object", "dialog", "menu", "audio", "video", "map", "math"}
 PROSE = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "blockquote", "pre", "td", "th", "dt", "dd", "figcaption", "caption", "address"}
 BLOCK = PROSE | DROP | {"html", "body", "main", "article", "section", "div", "header", "ul", "ol", "dl", "table", "thead", "tbody", "tfoot", "tr", "figure", "fieldset", "details", "summary", "hgroup", "center", "hr"}
+CODE = {"pre", "code"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alertdialog", "alert", "form", "menu", "menubar", "toolbar"}
 #: Words of a class or id that mark what is not article.
@@ -43,6 +44,8 @@ _OPENING = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?P<over>>?)|<(?P<close>/?)
 _QUOTE = re.compile(r"[>\"']")
 _ATTR = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _SPLIT = re.compile(r"[^a-z0-9]+")
+#: Words that make a compound name with MARKS (share-buttons, related-posts); any other word makes it a name of content (related-work, share-price).
+FILL = {"area", "article", "articles", "bar", "block", "body", "bottom", "box", "btn", "button", "buttons", "card", "cards", "container", "content", "entry", "footer", "form", "group", "header", "icon", "icons", "inline", "inner", "item", "items", "js", "label", "left", "link", "links", "list", "main", "message", "module", "outer", "page", "panel", "post", "posts", "right", "row", "section", "site", "slot", "stories", "story", "text", "title", "top", "unit", "wrap", "wrapper", "media"}
 #: A start tag of the key ends an open element of the values, up to a container.
 _ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
          "option": ({"option"}, {"select"}), "tbody": ({"thead", "tbody", "tr"}, {"table"}), "tfoot": ({"tbody", "tr"}, {"table"})}
@@ -152,7 +155,25 @@ def hash_subtrees(root: Node) -> list[Node]:
     return blocks
 
 
-def _not_article(node: Node, in_article: bool) -> bool:
+def _marked(node: Node, a: dict[str, str], inside: bool, code: bool) -> bool:
+    """Do class and id say that the element is not article?
+
+    Inside articles and main elements a whole name must be of MARKS and FILL; elsewhere one word is enough.  Ids of
+    headings, paragraphs, cells and inline elements are made from their text and not read; neither is anything in code.
+    """
+    if code:
+        return False
+    names = a.get("class", "").lower().split()
+    if node.tag in BLOCK and node.tag not in PROSE:
+        names += a.get("id", "").lower().split()
+    for words in (set(_SPLIT.split(name)) - {""} for name in names):
+        marks = words & MARKS
+        if marks and not (inside and (marks == {"header"} or not words <= MARKS | FILL)):
+            return True
+    return False
+
+
+def _not_article(node: Node, in_article: bool, inside: bool = False, code: bool = False) -> bool:
     if node.tag in DROP:
         return True
     if node.tag == "header":
@@ -164,8 +185,11 @@ def _not_article(node: Node, in_article: bool) -> bool:
         return True
     if node.tag in ("html", "body", "main", "article"):
         return False
-    words = set(_SPLIT.split(f"{a.get('class', '')} {a.get('id', '')}".lower()))
-    return bool(words & MARKS) and not (in_article and words & MARKS <= {"header"})
+    return _marked(node, a, in_article or inside, code)
+
+
+def _is_main(node: Node) -> bool:
+    return node.tag == "main" or bool(node.attrs) and node.attributes().get("role", "").lower() == "main"
 
 
 def _find(root: Node, template: set[int]) -> tuple[list[Node], list[Node], int]:
@@ -179,12 +203,12 @@ def _find(root: Node, template: set[int]) -> tuple[list[Node], list[Node], int]:
             if not in_main:
                 tops.append(node)
             continue
-        if not in_main and (node.tag == "main" or node.attrs and node.attributes().get("role", "").lower() == "main"):
+        if not in_main and _is_main(node):
             tops.append(node)
             mains, in_main = mains + 1, True
         for x in reversed(node.items):
             if isinstance(x, Node):
-                if not _not_article(x, False):
+                if not _not_article(x, False, in_main):
                     stack.append((x, in_main, gone or x.hash in template and x.tag != "main"))
             elif not gone:
                 n = len(" ".join(x.split()))
@@ -213,19 +237,23 @@ def _render(tops: list[Node], template: set[int]) -> str:
         run.clear()
 
     stack: list = [(top, 0) for top in reversed(tops)]  # (node, index of the next item)
-    in_article = 0  # open articles
+    in_article = in_main = in_code = 0  # open ones
     heads = 0  # open article headers: only headings count there
     open_headings = 0
     while stack:
         node, i = stack.pop()
         if not i:
             in_article += node.tag == "article"
+            in_main += not in_article and _is_main(node)
+            in_code += node.tag in CODE
             heads += node.tag == "header"
             open_headings += node.tag in HEADINGS
         if i == len(node.items):
             if node.tag in BLOCK:
                 close()
+            in_main -= not in_article and _is_main(node)
             in_article -= node.tag == "article"
+            in_code -= node.tag in CODE
             heads -= node.tag == "header"
             open_headings -= node.tag in HEADINGS
             continue
@@ -240,7 +268,7 @@ def _render(tops: list[Node], template: set[int]) -> str:
         elif x.tag in VOID:
             if x.tag in BLOCK:
                 close()
-        elif not _not_article(x, in_article > 0) and not (x.hash in template and not (in_article and x.tag in PROSE) and x.tag not in ("main", "article")):
+        elif not _not_article(x, in_article > 0, in_main > 0, in_code > 0) and not (x.hash in template and not (in_article and x.tag in PROSE) and x.tag not in ("main", "article")):
             if x.tag in BLOCK:
                 close()
             stack.append((x, 0))
