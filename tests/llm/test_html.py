@@ -67,6 +67,18 @@ def test_site_template_goes_and_copies_of_an_article_stay(spark):
     assert got[200] == "Links\n\nx" and got[201] == "" and got[202] == "Links"
 
 
+def test_recurring_blocks_inside_articles_go(spark):
+    rows = [(i, f"http://a.example/{i}", f"<article><h1>Title {i}</h1><p>Story {i} at length</p><p>Read us daily</p></article>") for i in range(12)]
+    copy = "<article><h1>Copy</h1><div><p>The same story</p></div></article>"
+    rows += [(100 + i, f"http://b.example/{i}", copy if i < 9 else f"<article><p>Other {i}</p></article>") for i in range(12)]
+    rows += [(200 + i, f"http://c.example/{i}", f"<div><p>Story {i} here</p>" + ("<p>Again</p><div><p>Box</p></div>" if i < 24 else "") + "</div>") for i in range(60)]
+    rows += [(300 + i, f"http://d.example/{i}", f"<article><p>Story {i} here</p>" + ("<p>Again</p><div><p>Box</p></div>" if i < 24 else "") + "</article>") for i in range(60)]
+    got = {r.page_id: r.text for r in extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[3] == "Title 3\n\nStory 3 at length"
+    assert got[100] == "Copy\n\nThe same story" and got[110] == "Other 10"
+    assert got[203] == got[303] == "Story 3 here\n\nAgain" and got[230] == got[330] == "Story 30 here"
+
+
 def test_query_rows(spark, sf):
     pages = spark.read.parquet(f"{sf}/pages.parquet")
     got = QUERIES["op6_html_extraction"](spark, sf).collect()

@@ -2,15 +2,18 @@
 
 Method.  A page becomes a tree of elements.  Each block element with text has a
 subtree hash (tag, attributes, children and text below it).  Spark counts, per host,
-the pages that hold each hash; a subtree on at least ``min_pages`` pages
-and ``share`` of its host's pages is site template and is deleted wherever it occurs on
-that host.  What the page itself says is not article (navigation, footer,
+the pages that hold each hash, and inside article elements the distinct articles; what
+recurs is site template and is deleted wherever it occurs on that host:
+- outside articles, on ``min_pages`` pages and ``share`` of the host's pages;
+- inside, in ``min_pages`` distinct articles besides, and a paragraph, heading, list item or
+  cell in distinct articles for that share, so copies of an article stay whole;
+- a box (any other block) also on ``many`` pages (distinct articles) that are ``box_share`` of the host's.
+What the page itself says is not article (navigation, footer,
 aside, form, script, advert, notice, comment ... by tag, role, class or id) goes too.
-Inside an article element the paragraphs, headings, list items and cells are
-content even if they recur, as is the article itself, so copies of an article stay whole.
 
-Scale.  Hashes are counted per batch before the shuffle.  At most (blocks per page / share)
-hashes of a host can qualify, so the list a host sends back is bounded; the join
+Scale.  Blocks outside articles are counted per batch before the shuffle, articles go
+once each with the list of their blocks.  At most (blocks per page / box_share) hashes of a
+host can qualify, so the list a host sends back is bounded; the join
 back to the pages is salted, since one host may hold a third of all pages.
 """
 from __future__ import annotations
@@ -217,16 +220,20 @@ def _find(root: Node, template: set[int]) -> tuple[list[Node], list[Node], int]:
     return articles, tops if mains else [root], inner if mains else outer
 
 
-def main_text(page: str, template: set[int]) -> str:
-    """The articles; main elements, or the page, if there are none or they hold less than a third of its text."""
+def main_text(page: str, template: set[int], inner: set[int] | None = None) -> str:
+    """The articles; main elements, or the page, if there are none or they hold less than a third of its text.
+
+    ``template`` subtrees go outside articles, ``inner`` ones (else the same) inside.
+    """
+    inner = template if inner is None else inner
     root = parse(page)
     hash_subtrees(root)
     articles, tops, outside = _find(root, template)
-    text = _render(articles, template)
-    return text if articles and outside <= 2 * len(text) else _render(tops, template)
+    text = _render(articles, template, inner)
+    return text if articles and outside <= 2 * len(text) else _render(tops, template, inner)
 
 
-def _render(tops: list[Node], template: set[int]) -> str:
+def _render(tops: list[Node], template: set[int], inner: set[int]) -> str:
     blocks: list[str] = []
     run: list[str] = []
 
@@ -268,7 +275,7 @@ def _render(tops: list[Node], template: set[int]) -> str:
         elif x.tag in VOID:
             if x.tag in BLOCK:
                 close()
-        elif not _not_article(x, in_article > 0, in_main > 0, in_code > 0) and not (x.hash in template and not (in_article and x.tag in PROSE) and x.tag not in ("main", "article")):
+        elif not _not_article(x, in_article > 0, in_main > 0, in_code > 0) and not (x.hash in (inner if in_article else template) and x.tag not in ("main", "article")):
             if x.tag in BLOCK:
                 close()
             stack.append((x, 0))
@@ -276,22 +283,48 @@ def _render(tops: list[Node], template: set[int]) -> str:
     return "\n\n".join(blocks)
 
 
+def _blocks(root: Node) -> dict[int, tuple[bool, int | None]]:
+    """hash -> (is it a box, hash of an article that holds it or None) of the blocks with text that are not dropped by their tag."""
+    out: dict[int, tuple[bool, int | None]] = {}
+    stack: list[tuple[Node, int | None]] = [(root, None)]
+    while stack:
+        node, holder = stack.pop()
+        if holder is None and node.tag == "article":
+            holder = node.hash
+        for x in node.items:
+            if isinstance(x, Node) and x.chars and x.tag not in DROP:
+                stack.append((x, holder))
+                if x.tag in BLOCK and x.tag not in ("html", "body", "main", "article") and (holder is not None or x.hash not in out):
+                    out[x.hash] = (x.tag not in PROSE, holder)
+    return out
+
+
 def _count(batches):
+    """Rows (site, holder, outer, box, hashes, n): each block outside articles is a holder of its own."""
     for batch in batches:
-        seen: dict[tuple[str, int], int] = {}
-        for host, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
-            for h in {b.hash for b in hash_subtrees(parse(page or ""))}:
-                seen[host, h] = seen.get((host, h), 0) + 1
-        yield pa.record_batch([pa.array([k[0] for k in seen], pa.string()), pa.array([k[1] for k in seen], pa.int64()), pa.array(list(seen.values()), pa.int64())], names=["host", "hash", "n"])
+        seen: dict[tuple, list] = {}
+        for site, page in zip(batch.column("site").to_pylist(), batch.column("html").to_pylist()):
+            root = parse(page or "")
+            hash_subtrees(root)
+            groups: dict[tuple, list[int]] = {}
+            for h, (box, holder) in _blocks(root).items():
+                groups.setdefault((site, h if holder is None else holder, holder is None, box), []).append(h)
+            for key, hashes in groups.items():
+                held = seen.setdefault(key, [[], 0])
+                held[:] = max(held[0], sorted(hashes)), held[1] + 1  # beside other articles a list can be shorter
+        cols = list(zip(*seen)) or [()] * 4
+        yield pa.record_batch([*(pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.bool_(), pa.bool_()))), pa.array([v[0] for v in seen.values()], pa.list_(pa.int64())), pa.array([v[1] for v in seen.values()], pa.int64())],
+                              names=["site", "holder", "outer", "box", "hashes", "n"])
 
 
 def _extract(batches):
     for batch in batches:
-        texts = [main_text(page or "", set(t or ())) for page, t in zip(batch.column("html").to_pylist(), batch.column("template").to_pylist())]
+        texts = [main_text(page or "", set(t or ()), set(i or ())) for page, t, i in zip(*(batch.column(c).to_pylist() for c in ("html", "template", "inner")))]
         yield pa.record_batch([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
 
-def extract(pages: DataFrame, min_pages: int = 5, share: float = 0.5, salts: int = 32, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+def extract(pages: DataFrame, min_pages: int = 5, share: float = 0.5, salts: int = 32, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
+            many: int = 20, box_share: float = 0.1) -> DataFrame:
     """page id, url, text of every page row.
 
     A null or empty page, or one with nothing but template, has an empty text.  A null
@@ -299,12 +332,17 @@ def extract(pages: DataFrame, min_pages: int = 5, share: float = 0.5, salts: int
     pages each; extra columns are left out; an empty table gives an empty table.
     """
     host = F.coalesce(F.lower(F.regexp_extract(F.col(f"`{url_col}`"), r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#]*)", 1)), F.lit(""))
-    rows = pages.select(F.col(f"`{id_col}`").alias("page_id"), F.col(f"`{url_col}`").alias("url"), F.col(f"`{html_col}`").alias("html"), host.alias("host"))
-    of_host = rows.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    counts = rows.select("host", "html").mapInArrow(_count, "host string, hash long, n long").groupBy("host", "hash").agg(F.sum("n").alias("n")).where(F.col("n") >= min_pages)
-    often = counts.join(of_host, "host").where(F.col("n") >= F.col("pages") * share)
-    template = often.groupBy("host").agg(F.collect_list("hash").alias("template")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    rows = pages.select(F.col(f"`{id_col}`").alias("page_id"), F.col(f"`{url_col}`").alias("url"), F.col(f"`{html_col}`").alias("html"), F.xxhash64(host).alias("site"))
+    of_host = rows.groupBy("site").agg(F.count(F.lit(1)).alias("pages"))
+    once = rows.select("site", "html").mapInArrow(_count, "site long, holder long, outer boolean, box boolean, hashes array<long>, n long") \
+        .groupBy("site", "holder", "outer", "box").agg(F.max("hashes").alias("hashes"), F.sum("n").alias("n")).where(~F.col("outer") | (F.col("n") >= min_pages))
+    counts = once.select("site", F.explode("hashes").alias("hash"), "outer", "box", "n").groupBy("site", "hash", "outer", "box").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("articles"))
+    distinct = F.when(F.col("outer"), F.col("n")).otherwise(F.col("articles"))
+    usual = F.when(F.col("box"), F.col("n")).otherwise(distinct) >= F.col("pages") * share
+    often = counts.where(distinct >= min_pages).join(of_host, "site").where(usual | F.col("box") & (distinct >= many) & (distinct >= F.col("pages") * box_share))
+    template = often.groupBy("site").agg(F.collect_list(F.when(F.col("outer"), F.col("hash"))).alias("template"), F.collect_list(F.when(~F.col("outer"), F.col("hash"))).alias("inner")) \
+        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     salted = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(salts)).cast("int"))
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
-    return salted.join(template, ["host", "salt"], "left").select("page_id", "url", "html", "template") \
+    return salted.join(template, ["site", "salt"], "left").select("page_id", "url", "html", "template", "inner") \
         .mapInArrow(_extract, f"page_id {kinds['page_id']}, url {kinds['url']}, text string").withColumnsRenamed({"page_id": id_col, "url": url_col})
