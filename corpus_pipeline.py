@@ -6,13 +6,13 @@ the columns of ``documents``.  A stage works on whatever its predecessor kept.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vela.llm.common import cut, hinted, read
 from vela.llm.decontaminate import contaminated, decontaminate
 from vela.llm.langid import UNDETERMINED, fit_langid, identify, train_rows
-from vela.llm.ngram_join import ngram_join
+from vela.llm.ngram_join import ngram_join, with_set_name
 from vela.llm.packing import best_fit_pack
 from vela.llm.suffix_tree_dedup import dedup_substrings
 
@@ -28,19 +28,31 @@ def _restored(found: DataFrame, docs: DataFrame, **new) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told stay (no text or no letter: rejected); a missing lang is filled in."""
-    found = identify(docs, fit_langid(train_rows(docs)), carry=_rest(docs)).where(F.col("lang_pred") != UNDETERMINED)
+    """Documents whose language can be told stay (no text or no letter: rejected); a missing lang is filled in, if any lang is there to learn from."""
+    model = fit_langid(train_rows(docs))
+    if model is None:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    found = identify(docs, model, carry=_rest(docs)).where(F.col("lang_pred") != UNDETERMINED)
     return _restored(found, docs, lang=F.coalesce("rest.lang", "lang_pred"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest doc_id of each class of near copies stays (of equal ids one row)."""
-    found = ngram_join(docs).groupBy(F.col("doc_id").alias("__id")).agg(F.count(F.lit(1)).alias("__rows"), F.min("class_id").alias("__class"))
-    marked = cut(found.where("__rows > 1 OR NOT __id <=> __class"))  # ids that go or that several rows share
-    held = docs.join(hinted(marked), docs.doc_id.eqNullSafe(marked["__id"]), "left").where("__rows IS NULL OR __id <=> __class")
-    first = Window.partitionBy("doc_id").orderBy("text")
-    one = held.where("__rows > 1").withColumn("__nth", F.row_number().over(first)).where("__nth = 1")
-    return held.where("__rows IS NULL").select(*docs.columns).unionByName(one.select(*docs.columns))
+    """One row of each class of near copies stays, that with the smallest doc_id (null last); texts without a word are no copies."""
+    found = ngram_join(docs, firsts=True).select(F.col("doc_id").alias("__id"), F.col("node").alias("__node"), "first")
+    of_id = found.groupBy("__id").agg(F.count(F.lit(1)).alias("__rows"), F.count_if("first").alias("__stay"))
+    marked = cut(of_id.where("__rows > 1 OR __stay = 0"))  # ids that go or that several rows share
+    held = docs.join(hinted(marked), docs.doc_id.eqNullSafe(marked["__id"]), "left")
+    sole = held.where("__rows IS NULL").select(*docs.columns)
+    shared = marked.where("__rows > 1 AND __stay > 0")
+    if shared.isEmpty():
+        return sole
+    # the id does not tell these rows apart; their texts' sets do
+    named = with_set_name(held.where("__rows > 1 AND __stay > 0").select(*docs.columns), "__set")
+    firsts = found.where("first AND __node IS NOT NULL").join(hinted(shared.select(F.col("__id").alias("__same"))), F.col("__id").eqNullSafe(F.col("__same")), "left_semi")
+    firsts = cut(firsts.select("__id", "__node").distinct())
+    first = named.join(hinted(firsts), named.doc_id.eqNullSafe(firsts["__id"]) & (named["__set"] == firsts["__node"]), "left_semi")
+    one = first.groupBy("doc_id", "__set").agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), "text").alias("__row")).select("__row.*")
+    return sole.unionByName(named.where("__set IS NULL").select(*docs.columns)).unionByName(one)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -93,3 +93,9 @@ def test_components(spark):
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, **{k: 100 for k in range(100, 140)}}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_links_of_null_ids(spark):
+    text = " ".join(f"w{i}" for i in range(100))
+    df = spark.createDataFrame([(None, text), (None, text + " more"), (None, text + " more"), (7, "other")], "doc_id long, text string")
+    assert sorted(((r.doc_id, r.class_id, r.n_links, r.copies) for r in ngram_join(df).collect()), key=str) == sorted([(None, None, 2, 1), (None, None, 2, 2), (None, None, 2, 2), (7, 7, 0, 1)], key=str)

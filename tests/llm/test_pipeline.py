@@ -32,6 +32,20 @@ def test_near_duplicates_stage_keeps_one(spark, sf, docs):
     assert got == [1, 4, 5]
 
 
+def test_near_duplicates_stage_with_null_and_repeated_ids(spark, sf, docs):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(100)) for x in "abcd")
+    rows = [(None, a), (None, b), (None, b + " more"), (None, c), (None, None), (None, "%%"), (1, c), (2, d), (2, a + " x"), (2, "own words"), (3, d), (3, "other words"), (3, "other words"), (4, "alone"), (5, d)]
+    got = stage("near_duplicates")(spark, spark.createDataFrame([(*r, "en", "s", 1) for r in rows], docs.schema), sf).collect()
+    told = sorted(((r.doc_id, r.text) for r in got if not (r.text or "").startswith("b0 ")), key=str)
+    assert told == sorted([(None, None), (None, "%%"), (1, c), (2, d), (2, a + " x"), (2, "own words"), (3, "other words"), (4, "alone")], key=str)
+    assert len(got) == len(told) + 1
+
+
+def test_language_stage_without_labels(spark, sf, docs):
+    rows = [(1, "some words", None, "s", 1), (None, "mehr", None, "s", 1), (2, "%% 12", None, "s", 1), (3, None, None, "s", 1)]
+    assert {r.text for r in stage("language")(spark, spark.createDataFrame(rows, docs.schema), sf).collect()} == {"some words", "mehr"}
+
+
 def test_passage_stage_takes_effect(spark, sf, docs):
     passage = " ".join(f"p{i}" for i in range(60))
     rows = [(1, f"first {passage} end", "en", "s", 1), (2, f"second {passage} tail", "fr", "t", 1)]

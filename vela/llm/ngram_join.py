@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from vela.llm import textbytes as tb
 from vela.llm.common import cut, hinted, only
@@ -95,6 +96,19 @@ def _sets(k: int):
     return run
 
 
+def with_set_name(docs: DataFrame, name: str, k: int = 5, text_col: str = "text") -> DataFrame:
+    """Adds the name of the text's shingle set (null without a word)."""
+    def run(batches):
+        for batch in batches:
+            data, offs = tb.buffers(batch.column(text_col))
+            names = []
+            for lo, hi in tb.blocks(offs):
+                names += node_names(*shingle_sets(data[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo], k))
+            yield pa.record_batch([*batch.columns, pa.array(names, pa.string())], names=[*batch.schema.names, name])
+            tb.release()
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, StringType())]))
+
+
 def _member_sets(k: int):
     """Shingles of the representatives' texts; rows of another text under the same id go."""
     def run(batches):
@@ -236,7 +250,7 @@ def _verify(threshold: float, least: dict[int, int]):
 
 
 def ngram_join(docs: DataFrame, threshold: float = 0.8, k: int = 5, tolerance: float = 1e-6, chunk_grams: int = 400_000,
-               chunk_docs: int = 512, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+               chunk_docs: int = 512, id_col: str = "doc_id", text_col: str = "text", firsts: bool = False) -> DataFrame:
     """One row per document row: id, class_id, n_links, copies, n_shingles.
 
     Words are lower-cased runs of digits, letters a-z and non-ASCII characters.
@@ -244,7 +258,9 @@ def ngram_join(docs: DataFrame, threshold: float = 0.8, k: int = 5, tolerance: f
     of shingle sets >= threshold); ``n_links`` counts the other documents it links
     to, equal ones included; ``copies`` the documents with the same set.  A
     null, empty or wordless text links to nothing and is its own class.  Repeated
-    rows count as copies.  Extra columns are left out.
+    rows count as copies.  Extra columns are left out.  A null id counts as larger than
+    any other.  With ``firsts`` there are also node (the name of the text's set, null without a word)
+    and first: does the row hold the smallest id, then node, of its class?
     """
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
@@ -264,6 +280,10 @@ def ngram_join(docs: DataFrame, threshold: float = 0.8, k: int = 5, tolerance: f
     some = work.join(hinted(members.select(F.col("rep").alias("id"))), "id", "left_semi")  # only members' texts are shuffled
     loaded = some.join(placed.hint("shuffle_hash"), F.col("id") == F.col("rep")).select("text", "node", "cluster", "copies", "sig", "chunks", "chunk") \
         .mapInArrow(_member_sets(k), "node string, cluster string, copies long, sig binary, chunks int, chunk int, grams binary")
+    # sets that stand under null ids only are found by their names, a text each
+    nameless = with_set_name(work.where("id IS NULL").select("text"), "node", k).where("node IS NOT NULL").groupBy("node").agg(F.first("text").alias("text"))
+    loaded = loaded.unionByName(nameless.join(placed.where("rep IS NULL"), "node").select("text", "node", "cluster", "copies", "sig", "chunks", "chunk")
+                                .mapInArrow(_member_sets(k), loaded.schema))
     units = loaded.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))) \
         .select(F.concat_ws("/", "cluster", F.least("chunk", "other"), F.greatest("chunk", "other")).alias("unit"),
                 F.when(F.col("chunk") == F.col("other"), 2).when(F.col("chunk") < F.col("other"), 0).otherwise(1).alias("side"), "node", "copies", "sig", "grams")
@@ -274,9 +294,11 @@ def ngram_join(docs: DataFrame, threshold: float = 0.8, k: int = 5, tolerance: f
     roots = components(checked.select(F.col("node").alias("a"), F.col("root").alias("b")))
     named = nodes.select("node", "rep", "copies").join(roots, "node", "left").join(links, "node", "left") \
         .select("node", "rep", "copies", F.coalesce("root", "node").alias("root"), F.coalesce("links", F.lit(0)).alias("links"))
-    lowest = named.groupBy("root").agg(F.min("rep").alias("class_id"))
-    named = named.join(lowest, "root").select("node", "copies", "links", "class_id")
+    lowest = named.groupBy("root").agg(F.min("rep").alias("class_id"), F.min(F.struct(F.col("rep").isNull(), "rep", "node"))["node"].alias("low"))
+    named = named.join(lowest, "root").select("node", "copies", "links", "class_id", F.when(F.col("node") == F.col("low"), F.struct("rep")).alias("keeps"))
+    more = [F.col("node"), (F.col("keeps").isNotNull() & F.col("id").eqNullSafe(F.col("keeps.rep"))).alias("first")] if firsts else []
     linked = sets.where("node IS NOT NULL").select("id", "node", "n").join(named, "node") \
-        .select("id", "class_id", (F.col("links") + F.col("copies") - 1).alias("n_links"), "copies", F.col("n").alias("n_shingles"))
-    alone = sets.where("node IS NULL").select("id", F.col("id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(1).cast("long").alias("copies"), F.lit(0).cast("long").alias("n_shingles"))
+        .select("id", "class_id", (F.col("links") + F.col("copies") - 1).alias("n_links"), "copies", F.col("n").alias("n_shingles"), *more)
+    more = [F.lit(None).cast("string").alias("node"), F.lit(True).alias("first")] if firsts else []
+    alone = sets.where("node IS NULL").select("id", F.col("id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(1).cast("long").alias("copies"), F.lit(0).cast("long").alias("n_shingles"), *more)
     return linked.unionByName(alone).withColumnRenamed("id", id_col)
