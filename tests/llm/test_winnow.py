@@ -1,4 +1,5 @@
 import hashlib
+import random
 
 import xxhash
 from pyspark.sql import functions as F
@@ -75,6 +76,19 @@ def test_match_guarantee(spark):
     assert add_fingerprint(df, "text", "f").select(spelled("f").alias("s")).first().s.count(":") >= 1
 
 
+def test_texts_without_spaces(spark):
+    rng = random.Random(3)
+    han, thai, far, run, kana = ("".join(chr(a + rng.randrange(n)) for _ in range(1200)) for a, n in ((0x4E00, 20000), (0x0E01, 46), (0x20000, 20000), (0x61, 26), (0x3041, 80)))
+    texts = [han, thai, far, run, kana, "été " * 3 + "日本語"]
+    got = fingerprint_and_edit(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    assert all(r.near_edited > 0.2 for r in got[:5])
+    one = spark.createDataFrame([(0, han), (1, han[:600] + "x" + han[601:]), (2, run + "0" + run)], "id long, text string")
+    a, b, c = (set(x >> 32 for x in r.f) for r in add_fingerprint(one, "text", "f").orderBy("id").collect())
+    assert len(a & b) / len(a | b) > 0.9 and len(c) > 1
+    words = spark.createDataFrame([(0, "été 日本 x𠀀y"), (1, "été 日 本 x 𠀀 y")], "id long, text string")
+    assert len({tuple(r.f) for r in add_fingerprint(words, "text", "f").collect()}) == 1
+
+
 def test_plan_is_native(docs):
     plan = fingerprint_and_edit(docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan

@@ -1,6 +1,7 @@
 """Document fingerprints by winnowing, in DataFrame functions only.
 
-Method.  A text's words (split at white space) are hashed, ``gram`` neighbouring word hashes
+Method.  A text's words (split at white space; characters of scripts without spaces, and of runs
+longer than ``LONGEST``, count as words each) are hashed, ``gram`` neighbouring word hashes
 are hashed together, and of each window of ``window`` consecutive grams the smallest
 hash is kept, the rightmost on ties, with its position.  Any run of
 window + gram - 1 words that two texts share therefore gives both the same
@@ -22,17 +23,25 @@ from pyspark.sql import functions as F
 from vela.llm.common import only, partitions_for, text_bytes
 
 _POSITIONS = (1 << 32) - 1
+#: A longer run without white space (code points) is cut into its characters.
+LONGEST = 64
+#: Scripts written without spaces: Thai, Lao, Tibetan, Burmese, Khmer, Tai, Chinese, Japanese, Yi.
+UNSPACED = r"[\u0E00-\u109F\u1780-\u17FF\u1950-\u1AAF\u2E80-\uA4CF\uA9E0-\uA9FF\uAA60-\uAADF\uF900-\uFAFF\uFF66-\uFF9F\x{20000}-\x{3FFFF}]"
 
 
 def add_fingerprint(df: DataFrame, text: str, out: str, gram: int = 5, window: int = 8) -> DataFrame:
     """Adds ``out``: the selected grams as packed longs, in text order.
 
-    A text of fewer than ``gram`` words is one gram; fewer grams than a window are
+    Words are those of the method above.  A text of fewer than ``gram`` words is one gram; fewer grams than a window are
     one window; a null, empty or blank text has no fingerprint (an empty array).
     """
     # every step is a column of its own: an expression inside a lambda would run for each element
     w, h, g = (f"__{out}_{x}" for x in ("words", "hashes", "grams"))
-    df = df.withColumn(w, F.array_remove(F.split(F.coalesce(F.col(text), F.lit("")), r"\s+"), ""))
+    whole = F.coalesce(F.col(text), F.lit(""))
+    cut = F.split(F.regexp_replace(whole, f"({UNSPACED})", " $1 "), r"\s+")
+    cut = F.flatten(F.transform(cut, lambda x: F.when(F.length(x) > LONGEST, F.split(x, "")).otherwise(F.array(x))))
+    has = whole.rlike(rf"{UNSPACED}|\S{{{LONGEST + 1}}}")
+    df = df.withColumn(w, F.array_remove(F.when(has, cut).otherwise(F.split(whole, r"\s+")), ""))
     df = df.withColumn(h, F.transform(w, lambda x: F.xxhash64(x)))
     n = F.size(h)
 
