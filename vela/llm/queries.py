@@ -139,3 +139,71 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     from vela.llm.token_counts import count_tokens
     return count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vela.llm.tree_dedup import exact_dedup
+    found = exact_dedup(read(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+ORACLES["op11_exact_dedup"] = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vela.llm.hard_negatives import hard_negatives
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    found = hard_negatives(read(spark, sf_dir, "embeddings").withColumn("label", label), "id % 100 = 0")
+    return found.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
+ORACLES["op12_hard_negatives"] = """
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+           FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, list_dot_product(a.v, b.v)::BIGINT AS score
+      FROM e a JOIN e b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+n AS (SELECT p.anchor_id, positive_id, s.id AS negative_id, positive_score, s.score AS negative_score,
+             row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.id) AS rank
+      FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.same AND 80 * positive_score <= 100 * s.score AND 100 * s.score <= 100 * positive_score)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
+"""
+
+
+@query
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vela.llm.resample import importance_resample
+    found = importance_resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
+#: CRC-32 byte by byte, over a table made of the reversed polynomial.
+ORACLES["op13_importance_resampling"] = f"""
+WITH RECURSIVE bits AS (SELECT range AS byte, range AS v, 0 AS step FROM range(256)
+  UNION ALL SELECT byte, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, step + 1 FROM bits WHERE step < 8),
+crc AS (SELECT list(v ORDER BY byte) AS t FROM bits WHERE step = 8),
+docs AS (SELECT row_number() OVER () AS r, doc_id, 'd' AS kind, {_WORDS.format('text')} AS w FROM documents
+         UNION ALL SELECT row_number() OVER (), NULL, 'b', {_WORDS.format('text')} FROM benchmark),
+grams AS (SELECT kind, r, array_to_string(list_slice(w, i, i + n - 1), ' ') AS g
+          FROM (SELECT kind, r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM docs, (SELECT unnest([1, 2, 3]) AS n) WHERE len(w) >= n)),
+counted AS (SELECT kind, r, g, count(*) AS c FROM grams GROUP BY ALL),
+named AS (SELECT g, xor(list_reduce(list_transform(range(1, octet_length(encode(g)) * 2, 2), lambda i: ('0x' || substr(hex(encode(g)), i, 2))::BIGINT),
+                                lambda a, b: xor(a >> 8, t[xor(a & 255, b) + 1]), 4294967295::BIGINT), 4294967295) % 10000 AS bucket
+          FROM (SELECT DISTINCT g FROM counted), crc),
+feats AS (SELECT kind, r, bucket, sum(c)::BIGINT AS c FROM counted JOIN named USING (g) GROUP BY ALL),
+tot AS (SELECT coalesce(sum(c) FILTER (kind = 'd'), 0)::DOUBLE AS s, coalesce(sum(c) FILTER (kind = 'b'), 0)::DOUBLE AS t FROM feats),
+per AS (SELECT bucket, coalesce(sum(c) FILTER (kind = 'd'), 0)::DOUBLE AS s, coalesce(sum(c) FILTER (kind = 'b'), 0)::DOUBLE AS t FROM feats GROUP BY bucket),
+gain AS (SELECT bucket, floor(1000 * ln((per.t + 1) * (tot.s + 10000) / ((per.s + 1) * (tot.t + 10000))))::BIGINT AS gain FROM per, tot),
+weighed AS (SELECT r, sum(c)::BIGINT AS n_features, sum(c * gain)::BIGINT AS weight FROM feats JOIN gain USING (bucket) WHERE kind = 'd' GROUP BY r),
+scored AS (SELECT doc_id, len(w) >= 20 AS able, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+                  coalesce(weight, 0)::BIGINT + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+           FROM docs LEFT JOIN weighed USING (r) WHERE kind = 'd'),
+placed AS (SELECT *, row_number() OVER (PARTITION BY able ORDER BY score DESC, doc_id) AS place, 5 * count(*) OVER (PARTITION BY able) // 100 AS drawn FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN able AND place <= drawn THEN place END::BIGINT AS rank FROM placed
+"""
