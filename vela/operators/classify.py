@@ -492,26 +492,18 @@ def fit_svm_poly(df, features, target, levels=None, degree: int = 2, scale: floa
                           name="svmPoly")
 
 
-def fit_tree(df, features, target, levels=None, cp: float = 0.01, max_depth: int = 30,
-             min_instances: int = 7, seed: int = 1) -> MLModel:
-    """CART (gini).  ``cp`` maps to the least information gain of a split
-    (rpart's complexity limit in gini units); minsplit 20 -> min leaf 7."""
-    from pyspark.ml.classification import DecisionTreeClassifier
-    est = DecisionTreeClassifier(impurity="gini", maxDepth=min(max_depth, 30), minInfoGain=cp,
-                                 minInstancesPerNode=min_instances, seed=seed, maxBins=64)
-    return fit_ml(df, features, target, est, levels, name="rpart")
-
-
-def tree_rules(model: MLModel, df: DataFrame, target: str) -> DataFrame:
-    """Leaf table: leaf id, rows, class shares (from the model's leaf
-    column, one grouped aggregate)."""
-    m = model.model.copy()
-    m.setLeafCol("__leaf")
-    out = m.transform(model._vec(df))
-    lv = model.levels
-    return out.groupBy(F.col("__leaf").alias("leaf")).agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.avg((F.col(target).cast("string") == F.lit(x)).cast("double")).alias(f"share_{x}") for x in lv])
+def fit_tree(df, features, target, levels=None, cp: float = 0.01, **params):
+    """Classification tree with cost-complexity pruning (``vela.operators.tree``)."""
+    from vela.operators import tree
+    return tree.fit_tree(df, features, target, levels=levels, cp=cp, **params)
+
+
+def tree_rules(model, df: DataFrame, target: str) -> DataFrame:
+    """Per leaf the rule text and, over the rows of ``df``, their number and class shares."""
+    lv = [str(x) for x in model.levels]
+    seen = df.select(model.leaf_column(feature_array(df, model.features)).cast("long").alias("leaf"), F.col(target).cast("string").alias("__y"))
+    shares = seen.groupBy("leaf").agg(F.count(F.lit(1)).alias("n"), *[F.avg((F.col("__y") == x).cast("double")).alias(f"share_{x}") for x in lv])
+    return model.rules(df.sparkSession).select("leaf", "rule", "predicted").join(shares, "leaf")
 
 
 def fit_forest(df, features, target, levels=None, n_trees: int = 500, mtry: str = "sqrt",

@@ -26,24 +26,36 @@ def _div(a: Column, b: Column) -> Column:
 
 # ------------------------------------------------------------------ V1, V2
 
+#: Classes a confusion table may have (it is a small table of classes squared).
+CLASS_LIMIT = 1000
+
+
 def confusion_matrix(df: DataFrame, pred: str, real: str, levels: list | None = None) -> DataFrame:
     """V1: long (prediction, reference, freq), every level pair, zeros kept.
 
-    Levels are those of ``real`` (sorted) unless given; a prediction outside
-    them is an error."""
-    counts = df.groupBy(F.col(pred).alias("prediction"), F.col(real).alias("reference")) \
+    Levels are those of ``real`` (sorted) unless given.  A null, or a value
+    outside the levels, on either side is an error."""
+    counts = df.groupBy(F.col(pred).cast("string").alias("prediction"), F.col(real).cast("string").alias("reference")) \
         .agg(F.count(F.lit(1)).alias("freq"))
+    seen = bounded_collect(counts, CLASS_LIMIT ** 2)
     if levels is None:
-        rows = bounded_collect(counts.select("reference").distinct(), 10_000)
-        levels = sorted(r[0] for r in rows)
-    stray = counts.filter(~F.col("prediction").isin(levels)).limit(1).collect()
-    if stray:
-        raise ValueError(f"prediction {stray[0]['prediction']!r} is not a level of {real}")
-    spark = df.sparkSession
-    pairs = spark.createDataFrame([(p, r) for p in levels for r in levels],
-                                  "prediction string, reference string")
-    return pairs.join(counts, ["prediction", "reference"], "left") \
-        .select("prediction", "reference", F.coalesce("freq", F.lit(0)).cast("long").alias("freq"))
+        found = None if seen is None else {r["reference"] for r in seen if r["reference"] is not None}
+        if found is None or len(found) > CLASS_LIMIT:
+            raise ValueError(f"{real} has more than {CLASS_LIMIT} levels")
+        levels = found
+    levels = sorted(str(x) for x in levels)
+    if seen is None:
+        raise ValueError(f"{real} and {pred} have more than {CLASS_LIMIT ** 2} value pairs")
+    for side, name in (("prediction", pred), ("reference", real)):
+        values = {r[side] for r in seen}
+        if None in values:
+            raise ValueError(f"{name} holds nulls")
+        stray = sorted(values - set(levels))
+        if stray:
+            raise ValueError(f"{side} {stray[0]!r} is not a level of {real}")
+    freq = {(r["prediction"], r["reference"]): r["freq"] for r in seen}
+    return df.sparkSession.createDataFrame([(p, r, freq.get((p, r), 0)) for p in levels for r in levels],
+                                           "prediction string, reference string, freq long")
 
 
 def _cm_dict(cm: DataFrame):
@@ -436,6 +448,50 @@ def compare_models(preds: DataFrame, model_col: str, real: str, pred: str, prob:
     return out.orderBy(*[F.desc_nulls_last(o) for o in order])
 
 
+def compare_models_multiclass(preds: DataFrame, model_col: str, real: str, pred: str, prob_cols: dict,
+                              order=("auc", "accuracy")) -> DataFrame:
+    """V17 above two classes, one row per model: accuracy, kappa, log loss, AUC
+    averaged over all class pairs (each pair's rows only, both directions) and
+    the classes' mean recall, specificity, precision and F1 (undefined ones left
+    out), ordered by ``order`` descending.
+
+    ``prob_cols`` maps each level to its probability column.  The pairs come from
+    counts of distinct (model, level, score, class), not from rows.
+    """
+    levels = [str(c) for c in prob_cols]
+    probs = F.create_map(*[x for c in levels for x in (F.lit(c), F.col(f"`{prob_cols[c]}`").cast("double"))])
+    x = preds.select(F.col(model_col).alias("__m"), F.col(real).cast("string").alias("__r"), F.col(pred).cast("string").alias("__p"), probs.alias("__q"))
+    bad = x.where(F.col("__r").isNull() | F.col("__p").isNull() | ~F.col("__r").isin(levels) | ~F.col("__p").isin(levels)
+                  | F.exists(F.map_values("__q"), lambda v: v.isNull() | F.isnan(v))).limit(1).collect()
+    if bad:
+        raise ValueError("a real or predicted class is null or unknown, or a probability is null")
+    own = F.least(F.greatest(F.col("__q")[F.col("__r")], F.lit(1e-15)), F.lit(1 - 1e-15))
+    counts = x.groupBy("__m", "__r", "__p").agg(F.count(F.lit(1)).alias("n"), F.sum(-F.log(own)).alias("loss"))
+    n_pred = counts.groupBy("__m", F.col("__p").alias("c")).agg(F.sum("n").alias("called"))
+    n_real = counts.groupBy("__m", F.col("__r").alias("c")).agg(F.sum("n").alias("real"))
+    hit = counts.where("__r = __p").select("__m", F.col("__r").alias("c"), F.col("n").alias("hit"))
+    total = counts.groupBy("__m").agg(F.sum("n").alias("n"), F.sum("loss").alias("loss"))
+    per = n_real.join(n_pred, ["__m", "c"], "full").join(hit, ["__m", "c"], "left").na.fill(0, ["real", "called", "hit"]).join(total, "__m")
+    d = {c: F.col(c).cast("double") for c in ("real", "called", "hit", "n")}
+    recall, precision = _div(d["hit"], d["real"]), _div(d["hit"], d["called"])
+    specificity = _div(d["n"] - d["real"] - d["called"] + d["hit"], d["n"] - d["real"])
+    f1 = _div(2 * d["hit"], d["real"] + d["called"])
+    agree = F.sum(d["hit"]) / F.max(d["n"])
+    chance = F.sum(d["real"] * d["called"]) / (F.max(d["n"]) * F.max(d["n"]))
+    stats = per.groupBy("__m").agg(agree.alias("accuracy"), _div(agree - chance, 1 - chance).alias("kappa"), (F.max("loss") / F.max(d["n"])).alias("log_loss"),
+                                   F.avg(recall).alias("mean_recall"), F.avg(specificity).alias("mean_specificity"), F.avg(precision).alias("mean_precision"), F.avg(f1).alias("mean_f1"))
+    scored = x.select("__m", "__r", F.explode("__q").alias("level", "score")).groupBy("__m", "level", "score", "__r").agg(F.count(F.lit(1)).alias("n"))
+    # every class but the level's own meets it once; the level's own rows go with each of them
+    own_rows = scored.where("__r = level").select("__m", "level", "score", "n", F.explode(F.array_except(F.array(*[F.lit(c) for c in levels]), F.array("level"))).alias("other"), F.lit(1).alias("pos"))
+    others = scored.where("__r <> level").select("__m", "level", "score", "n", F.col("__r").alias("other"), F.lit(0).alias("pos"))
+    pairs = own_rows.unionByName(others).groupBy("__m", "level", "other", "score").agg(F.sum(F.col("n") * F.col("pos")).alias("pos"), F.sum(F.col("n") * (1 - F.col("pos"))).alias("neg"))
+    both = pairs.groupBy("__m", "level", "other").agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).where("P > 0 AND N > 0")
+    cum = cumulative_by_score(join_small(pairs, both.select("__m", "level", "other"), ["__m", "level", "other"], "left_semi"), ["__m", "level", "other"])
+    areas = cum.groupBy("__m", "level", "other").agg((F.sum(F.col("pos") * (F.col("cum_neg") - F.col("neg") * 0.5)) / (F.first("P").cast("double") * F.first("N").cast("double"))).alias("a"))
+    out = stats.join(areas.groupBy("__m").agg(F.avg("a").alias("auc")), "__m", "left").withColumnRenamed("__m", model_col)
+    return out.orderBy(*[F.desc_nulls_last(o) for o in order])
+
+
 def roc_curves(preds: DataFrame, model_col: str, real: str, prob: str, positive) -> DataFrame:
     """V8 for several models at once (model as a group column)."""
     return roc_curve(preds, real, prob, positive, [model_col])

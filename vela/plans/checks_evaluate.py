@@ -289,6 +289,50 @@ TWO_SQL = f"""(SELECT model, event_id, real, score, CASE WHEN score >= 0.5 THEN
   UNION ALL SELECT 'm2', event_id, real, ((event_id % 10) / 10.0 + score) / 2 FROM {BIN_SQL}))"""
 
 
+THREE = ["A", "N", "R"]
+
+
+def three_class(spark, sf):
+    """Two made-up three-class scorers of the return flag: shares of positive weights per class."""
+    li = t(spark, sf, "lineitem")
+    out = []
+    for m, step in (("m1", 7), ("m2", 13)):
+        w = [F.pmod(F.col("l_orderkey") * step + F.col("l_linenumber") * (3 + i), F.lit(11)) + 1 + F.when(F.col("l_returnflag") == c, 2 * i + 3).otherwise(0) for i, c in enumerate(THREE)]
+        x = li.select(F.lit(m).alias("model"), F.col("l_returnflag").alias("real"), *[v.cast("double").alias(f"w{c}") for c, v in zip(THREE, w)])
+        total = F.col("wA") + F.col("wN") + F.col("wR")
+        out.append(x.select("model", "real", *[(F.col(f"w{c}") / total).alias(f"prob_{c}") for c in THREE]))
+    x = out[0].unionByName(out[1])
+    best = F.greatest("prob_A", "prob_N", "prob_R")
+    return x.withColumn("predicted", F.when(F.col("prob_A") == best, "A").when(F.col("prob_N") == best, "N").otherwise("R"))
+
+
+def _three_sql():
+    one = " UNION ALL ".join(f"""SELECT '{m}' AS model, l_returnflag AS real,
+        {", ".join(f"(l_orderkey * {step} + l_linenumber * {3 + i}) % 11 + 1 + CASE WHEN l_returnflag = '{c}' THEN {2 * i + 3} ELSE 0 END::DOUBLE AS w{c}" for i, c in enumerate(THREE))} FROM lineitem""" for m, step in (("m1", 7), ("m2", 13)))
+    pairs = " UNION ALL ".join(f"""SELECT model, '{a}' AS a, '{b}' AS b, sum(pos * (below + neg / 2.0)) / (sum(pos) * sum(neg)) AS area FROM (
+        SELECT model, s, pos, neg, sum(neg) OVER (PARTITION BY model ORDER BY s) - neg AS below FROM (
+          SELECT model, prob_{a} AS s, sum((real = '{a}')::INT)::DOUBLE AS pos, sum((real = '{b}')::INT)::DOUBLE AS neg FROM p WHERE real IN ('{a}', '{b}') GROUP BY ALL)) GROUP BY model"""
+                               for a in THREE for b in THREE if a != b)
+    return f"""
+WITH w AS ({one}),
+q AS (SELECT model, real, {", ".join(f"w{c} / (wA + wN + wR) AS prob_{c}" for c in THREE)} FROM w),
+p AS (SELECT *, CASE WHEN prob_A = greatest(prob_A, prob_N, prob_R) THEN 'A' WHEN prob_N = greatest(prob_A, prob_N, prob_R) THEN 'N' ELSE 'R' END AS predicted FROM q),
+areas AS ({pairs}),
+au AS (SELECT model, avg(area) AS auc FROM areas GROUP BY model),
+tot AS (SELECT model, count(*)::DOUBLE AS n, avg((real = predicted)::INT) AS accuracy, avg(-ln(CASE real WHEN 'A' THEN prob_A WHEN 'N' THEN prob_N ELSE prob_R END)) AS log_loss FROM p GROUP BY model),
+cls AS (SELECT model, c, sum((real = c)::INT)::DOUBLE AS re, sum((predicted = c)::INT)::DOUBLE AS ca, sum((real = c AND predicted = c)::INT)::DOUBLE AS hit FROM p, (SELECT unnest(['A', 'N', 'R']) AS c) GROUP BY ALL),
+st AS (SELECT model, sum(re * ca) / (max(n) * max(n)) AS chance, avg(hit / nullif(re, 0)) AS mr, avg((n - re - ca + hit) / nullif(n - re, 0)) AS ms, avg(hit / nullif(ca, 0)) AS mp, avg(2 * hit / nullif(re + ca, 0)) AS mf
+       FROM cls JOIN tot USING (model) GROUP BY model)
+SELECT model, {R('accuracy')} AS accuracy, {R('(accuracy - chance) / (1 - chance)')} AS kappa, {R('log_loss')} AS log_loss, {R('mr')} AS mean_recall, {R('ms')} AS mean_specificity,
+       {R('mp')} AS mean_precision, {R('mf')} AS mean_f1, {R('auc')} AS auc FROM tot JOIN st USING (model) JOIN au USING (model)
+"""
+
+
+@check("compare_models_multiclass", _three_sql())
+def q_compare_multiclass(spark, sf):
+    return finish(ev.compare_models_multiclass(three_class(spark, sf), "model", "real", "predicted", {c: f"prob_{c}" for c in THREE}))
+
+
 @check("compare_models", f"""
 WITH m AS ({_bin_metrics_sql(TWO_SQL, 'model')}),
 k AS (SELECT model, {R('''((TP+TN)/(TP+TN+FP+FN) - ((TP+FP)*(TP+FN) + (TN+FN)*(TN+FP)) / ((TP+TN+FP+FN)^2))

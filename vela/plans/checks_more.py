@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from vela.operators import classify, clean, cluster, evaluate, manifold, neighbors, nets, reduce, split, tune
+from vela.operators import classify, clean, cluster, evaluate, manifold, neighbors, nets, reduce, split, tree, tune
 from vela.plans import jobs
 from vela.plans.checks import R, check, finish
 from vela.plans.fixtures import scored_events, sparse_orders, t
@@ -237,11 +237,71 @@ def q_svm_poly(spark, sf):
     return classify.fit_svm_poly(o, OF, "status", degree=2).predict(o, keep=["o_orderkey", "status"])
 
 
+TREE_FEATURES = ["l_quantity", "l_discount", "months", "l_linenumber"]
+
+
+def _li_tree(spark, sf):
+    li = t(spark, sf, "lineitem")
+    months = F.year("l_shipdate") * 12 + F.month("l_shipdate")
+    return li.select("l_returnflag", "l_quantity", "l_discount", months.alias("months"), "l_linenumber")
+
+
+def _tree_sql(depth: int) -> str:
+    """Growth of a Gini tree to ``depth`` (1 or 2), every split of every node compared, then weakest-link cp."""
+    def best(d):
+        return f"""
+h{d} AS (SELECT node, feature, v, sum((y = 'A')::INT)::DOUBLE a, sum((y = 'N')::INT)::DOUBLE n, sum((y = 'R')::INT)::DOUBLE r
+       FROM (SELECT node, y, unnest([1, 2, 3, 4]) AS feature, unnest([x1, x2, x3, x4]) AS v FROM g{d}) GROUP BY ALL),
+w{d} AS (SELECT *, sum(a) OVER up la, sum(n) OVER up ln, sum(r) OVER up lr, sum(a) OVER al ta, sum(n) OVER al tn, sum(r) OVER al tr, lead(v) OVER (PARTITION BY node, feature ORDER BY v) nv
+       FROM h{d} WINDOW up AS (PARTITION BY node, feature ORDER BY v), al AS (PARTITION BY node, feature)),
+s{d} AS (SELECT node, feature, (v + nv) / 2 AS cut, round((la*la + ln*ln + lr*lr) / (la + ln + lr) + ((ta-la)*(ta-la) + (tn-ln)*(tn-ln) + (tr-lr)*(tr-lr)) / (ta+tn+tr-la-ln-lr)
+              - (ta*ta + tn*tn + tr*tr) / (ta + tn + tr), 8) AS gain
+       FROM w{d} WHERE nv IS NOT NULL AND la + ln + lr >= 7 AND ta+tn+tr-la-ln-lr >= 7),
+c{d} AS (SELECT node, count(*) AS n, sum((y = 'A')::INT) AS n_A, sum((y = 'N')::INT) AS n_N, sum((y = 'R')::INT) AS n_R FROM g{d} GROUP BY node),
+k{d} AS (SELECT *, n - greatest(n_A, n_N, n_R) AS risk FROM c{d}),
+b{d} AS (SELECT s.* FROM s{d} s JOIN k{d} USING (node) WHERE gain > 0 AND n >= 20 AND risk > 0 QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, feature, cut) = 1)"""
+    def child(d):
+        return f"""
+g{d + 1} AS (SELECT g.* REPLACE (CASE WHEN [x1, x2, x3, x4][feature] < cut THEN 2 * node ELSE 2 * node + 1 END AS node) FROM g{d} g JOIN b{d} USING (node))"""
+    parts = [f"""g0 AS (SELECT 1::BIGINT AS node, l_returnflag AS y, l_quantity::DOUBLE AS x1, l_discount::DOUBLE AS x2, (year(l_shipdate) * 12 + month(l_shipdate))::DOUBLE AS x3, l_linenumber::DOUBLE AS x4 FROM lineitem)"""]
+    for d in range(depth):
+        parts += [best(d), child(d)]
+    last = depth
+    parts.append(f"""
+c{last} AS (SELECT node, count(*) AS n, sum((y = 'A')::INT) AS n_A, sum((y = 'N')::INT) AS n_N, sum((y = 'R')::INT) AS n_R FROM g{last} GROUP BY node),
+k{last} AS (SELECT *, n - greatest(n_A, n_N, n_R) AS risk FROM c{last})""")
+    every = " UNION ALL ".join(f"SELECT k.*, {d} AS depth, feature, cut, gain FROM k{d} k LEFT JOIN " + (f"b{d}" if d < depth else "(SELECT NULL::BIGINT AS node, NULL::INT AS feature, NULL::DOUBLE AS cut, NULL::DOUBLE AS gain)") + " USING (node)" for d in range(depth + 1))
+    return "WITH " + ",".join(parts) + f""",
+every AS ({every})
+SELECT node, nullif(node // 2, 0) AS parent, depth::BIGINT AS depth, ['l_quantity', 'l_discount', 'months', 'l_linenumber'][feature] AS variable, {R('cut')} AS cut, n::BIGINT AS n,
+       risk::BIGINT AS risk, {R('coalesce(gain, 0)')} AS gain, CASE WHEN n_A = n - risk THEN 'A' WHEN n_N = n - risk THEN 'N' ELSE 'R' END AS predicted,
+       feature IS NULL AS leaf, n_A::BIGINT AS n_A, n_N::BIGINT AS n_N, n_R::BIGINT AS n_R FROM every"""
+
+
+@check("tree_nodes", _tree_sql(2))
+def q_tree_nodes(spark, sf):
+    m = tree.fit_tree(_li_tree(spark, sf), TREE_FEATURES, "l_returnflag", ["A", "N", "R"], cp=-1.0, max_depth=2)
+    return finish(m.node_table(spark).drop("cp"))
+
+
 @check("tree_rules")
 def q_tree_rules(spark, sf):
-    o = _orders_bin(spark, sf)
-    m = classify.fit_tree(o, OF, "status", cp=0.0, max_depth=5)
-    return classify.tree_rules(m, o, "status")
+    li = _li_tree(spark, sf)
+    m = classify.fit_tree(li, TREE_FEATURES, "l_returnflag", cp=0.001)
+    return classify.tree_rules(m, li, "l_returnflag")
+
+
+@check("tree_cp_table")
+def q_tree_cp(spark, sf):
+    return tree.fit_tree(_li_tree(spark, sf), TREE_FEATURES, "l_returnflag", cp=0.0005).cp_table(spark)
+
+
+@check("tune_tree")
+def q_tune_tree(spark, sf):
+    o = t(spark, sf, "orders").select("o_orderkey", "o_totalprice", (F.year("o_orderdate") * 12 + F.month("o_orderdate")).alias("months"), "o_orderpriority",
+                                      F.when(F.col("o_orderstatus") == "F", "F").otherwise("notF").alias("status"))
+    folds = split.stratified_folds(o, "status", "o_orderkey", 5, 3, seed=5)
+    return tune.tune(o, "rpart", ["o_totalprice", "months"], "status", "o_orderkey", None, folds, ["F", "notF"]).results
 
 
 @check("bagging")
@@ -333,6 +393,13 @@ def q_clean_mds(spark, sf):
 
 @check("leak_safe_report")
 def q_leak_safe(spark, sf):
+    s = sparse_orders(spark, sf).withColumn("status", F.when(F.col("o_orderstatus") == "F", "F").otherwise("notF"))
+    out = jobs.leak_safe_report(s, "o_orderkey", "status", ["o_totalprice", "x_cust", "x_price7", "x_mod"])
+    return out["comparison"]
+
+
+@check("leak_safe_multiclass")
+def q_leak_safe_multiclass(spark, sf):
     s = sparse_orders(spark, sf)
-    out = jobs.leak_safe_report(s, "o_orderkey", "o_orderstatus", ["o_totalprice", "x_cust", "x_price7", "x_mod"])
+    out = jobs.leak_safe_report(s, "o_orderkey", "o_orderstatus", ["o_totalprice", "x_cust", "x_price7", "x_mod"], repeats=1)
     return out["comparison"]

@@ -85,8 +85,7 @@ def supervised_report(df: DataFrame, key: str, target: str, models=("glm", "knn"
             pr = res.model.predict(te, keep=[key, target])
             out["tuning"][name] = res
             out["predictions"][name] = pr
-            preds.append(pr.select(F.lit(name).alias("model"), key, F.col(target).cast("string").alias("real"),
-                                   "predicted", F.col(f"prob_{pos}").alias("prob")))
+            preds.append(_scored(pr, name, key, target, levels, pos))
         except Exception as e:  # noqa: BLE001
             if on_error != "skip":
                 raise
@@ -100,12 +99,20 @@ def supervised_report(df: DataFrame, key: str, target: str, models=("glm", "knn"
             out["comparison"] = evaluate.compare_models(allp, "model", "real", "predicted", "prob", pos)
             out["roc_curves"] = evaluate.roc_curves(allp, "model", "real", "prob", pos)
         else:
-            out["comparison"] = allp.groupBy("model").agg(
-                F.avg((F.col("real") == F.col("predicted")).cast("double")).alias("accuracy")) \
-                .orderBy(F.desc("accuracy"))
+            out["comparison"] = evaluate.compare_models_multiclass(allp, "model", "real", "predicted", _prob_cols(levels))
     return out
 
 
+def _prob_cols(levels) -> dict:
+    return {str(c): f"prob_{c}" for c in levels}
+
+
+def _scored(pred: DataFrame, model: str, key: str, target: str, levels, positive) -> DataFrame:
+    """model, key, real, predicted and every class's probability; ``prob`` is the positive class's with two classes."""
+    own = [F.col(f"`prob_{positive}`").alias("prob")] if len(levels) == 2 else []
+    return pred.select(F.lit(model).alias("model"), key, F.col(target).cast("string").alias("real"), "predicted", *own, *[F.col(f"`{c}`") for c in _prob_cols(levels).values()])
+
+
 def clean_mds_report(df: DataFrame, key: str, features: list[str], group: str | None = None,
                      max_row_null: float = 0.5, k: int = 3, nstart: int = 10, seed: int = 123) -> dict:
     """Drop sparse rows -> median imputation -> zero variance ->
@@ -134,8 +141,8 @@ def leak_safe_report(df: DataFrame, key: str, target: str, features: list[str],
                      models=("lda", "rpart"), k_folds: int = 5, repeats: int = 3, grids=None,
                      parallelism: int = 4) -> dict:
     """Rows -> split -> columns, medians and near-zero variance learned
-    from train only -> LDA and tree over repeated folds -> comparison and
-    filter importance."""
+    from train only -> LDA and tree over repeated folds -> comparison (without
+    ROC above two classes) and filter importance."""
     x = clean.nonfinite_to_null(df, features)
     x, _ = clean.drop_sparse_rows(x, features, max_row_null, key)
     x = clean.drop_null_target(x, target)
@@ -154,8 +161,7 @@ def leak_safe_report(df: DataFrame, key: str, target: str, features: list[str],
                         tgt.positive, parallelism=parallelism)
         tuned[name] = res
         pr = res.model.predict(test, keep=[key, target])
-        preds.append(pr.select(F.lit(name).alias("model"), key, F.col(target).alias("real"), "predicted",
-                               F.col(f"prob_{tgt.positive}").alias("prob")))
+        preds.append(_scored(pr, name, key, target, tgt.levels, tgt.positive))
     allp = preds[0]
     for q in preds[1:]:
         allp = allp.unionByName(q)
@@ -164,8 +170,8 @@ def leak_safe_report(df: DataFrame, key: str, target: str, features: list[str],
             "resamples": tune.resample_summary(
                 reduce_frames([tuned[m].results for m in models]), "model",
                 [c for c in ("ROC", "Sens", "Spec", "Accuracy") if c in tuned[models[0]].results.columns]),
-            "comparison": evaluate.compare_models(allp, "model", "real", "predicted", "prob", tgt.positive,
-                                                  order=("auc", "accuracy")),
+            "comparison": evaluate.compare_models(allp, "model", "real", "predicted", "prob", tgt.positive, order=("auc", "accuracy"))
+            if len(tgt.levels) == 2 else evaluate.compare_models_multiclass(allp, "model", "real", "predicted", _prob_cols(tgt.levels)),
             "importance": evaluate.filter_importance(train, feats, target, tgt.levels)}
 
 
