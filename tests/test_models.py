@@ -1,7 +1,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from vela.operators import classify, cluster, neighbors
+from vela.operators import classify, cluster, hierarchy, neighbors
 
 FEATS = ["x1", "x2", "x3"]
 
@@ -54,21 +54,11 @@ def test_dbscan_separates_rings(spark, rings):
 def test_single_linkage_and_hierarchical(spark, rings):
     sl = cluster.single_linkage_cut(rings, "key", ["x1", "x2"], 0.6).toPandas().merge(rings.toPandas(), on="key")
     assert sl.cluster.nunique() == 2 and sl.groupby("ring").cluster.nunique().max() == 1
-    asg, table = cluster.hierarchical(rings, "key", ["x1", "x2"], 2, "single")
+    asg, table = hierarchy.hierarchical(rings, "key", ["x1", "x2"], 2, "single")
     h = asg.toPandas().merge(rings.toPandas(), on="key")
     assert h.groupby("ring").cluster.nunique().max() == 1
 
 
-def test_kmedoids_and_divisive(spark, blobs):
-    asg, med, cost = cluster.kmedoids(blobs, "key", FEATS, 3, samples=2)
-    keys = set(r[0] for r in blobs.select("key").collect())
-    assert set(med) <= keys and asg.select("cluster").distinct().count() == 3
-    d2 = cluster.divisive(blobs, FEATS, 2, seed=1).select("key", F.col("cluster").alias("c2"))
-    d4 = cluster.divisive(blobs, FEATS, 4, seed=1).select("key", F.col("cluster").alias("c4"))
-    nested = d2.join(d4, "key").groupBy("c4").agg(F.countDistinct("c2").alias("n")).agg(F.max("n")).collect()[0][0]
-    assert nested == 1
-
-
 def test_logistic_meets_score_equations(spark, blobs):
     two = blobs.filter(F.col("cluster") != "c3").withColumn("x1", F.col("x1") + F.col("x3") * 3)
     m = classify.fit_logistic(two, FEATS, "cluster")
@@ -79,9 +69,6 @@ def test_logistic_meets_score_equations(spark, blobs):
     assert np.abs(X.T @ r).max() < 1e-2
 
 
-def test_tree_rules_and_forest(spark, blobs):
-    t = classify.fit_tree(blobs, FEATS, "cluster", cp=0.0)
-    rules = t and classify.tree_rules(t, blobs, "cluster").toPandas()
-    assert rules.n.sum() == 300
+def test_forest_importances(spark, blobs):
     rf = classify.fit_forest(blobs, FEATS, "cluster", n_trees=20)
     assert abs(sum(rf.importances()) - 1) < 1e-9

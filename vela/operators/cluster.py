@@ -1,7 +1,8 @@
 """Clustering and cluster quality.
 
 k-means runs on ``pyspark.ml.clustering.KMeans`` (several seeds, best
-training cost kept).  The silhouette is the *Euclidean* one (not ml's
+training cost kept).  Merge trees, divisive trees and medoids are in
+``vela.operators.hierarchy``.  The silhouette is the *Euclidean* one (not ml's
 squared-distance evaluator): rows are packed into blocks, block pairs are
 joined by equality, and each pair returns only per-row, per-cluster distance
 sums, so the shuffle is O(n * clusters) while the compute is O(n^2 d).
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vela.functions.columns import feature_array
-from vela.operators.patterns import block_arrays, block_count, block_pairs, pack_blocks, sq_dists
+from vela.operators.patterns import block_arrays, block_count, map_block_pairs, pack_blocks, sq_dists
 
 
 @dataclass
@@ -147,7 +148,6 @@ def _silhouette(df, key, features, label_col, block_rows, squared):
     vec = feature_array(df, features)
     d = df.select(F.size(vec).alias("d")).head(1)[0]["d"]
     blocks = pack_blocks(df, key, vec, nb, F.col(label_col))
-    pairs = block_pairs(blocks, nb)
 
     def sums(it):
         import pandas as pd
@@ -175,7 +175,7 @@ def _silhouette(df, key, features, label_col, block_rows, squared):
                 yield pd.DataFrame({"k": np.concatenate(out_k), "c": np.concatenate(out_c),
                                     "s": np.concatenate(out_s), "n": np.concatenate(out_n)})
 
-    part = pairs.mapInPandas(sums, "k long, c long, s double, n long")
+    part = map_block_pairs(blocks, nb, 8 * n * d, sums, "k long, c long, s double, n long")
     per = part.groupBy("k", "c").agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
     own = df.select(F.col(key).cast("long").alias("k"), F.col(label_col).cast("long").alias("own"))
     j = per.join(own, "k")
@@ -225,20 +225,6 @@ def clusters_on_plane(assign: DataFrame, scores: DataFrame, labels: DataFrame |
 
 # ---------------------------------------------------------------- K7 - K10
 
-def divisive(df: DataFrame, features, k: int, seed: int = 1, key: str | None = None) -> DataFrame:
-    """K9: top-down bisecting clustering (ml ``BisectingKMeans``); the
-    clusters for smaller k are unions of those for larger k (same seed).
-    Returns the rows with ``cluster`` 1..k and the distance to its centre."""
-    from pyspark.ml.clustering import BisectingKMeans
-    x = spread(df.withColumn("__f", array_to_vector(feature_array(df, features)))).cache()
-    try:
-        m = BisectingKMeans(k=k, seed=seed, featuresCol="__f").fit(x)
-    finally:
-        x.unpersist()
-    out = m.transform(df.withColumn("__f", array_to_vector(feature_array(df, features))))
-    return out.drop("__f").withColumn("cluster", (F.col("prediction") + 1).cast("int")).drop("prediction")
-
-
 def dbscan(df: DataFrame, key: str, features, eps: float, min_pts: int,
            block_rows: int | None = None) -> DataFrame:
     """Density clusters.  A row is core when at least ``min_pts`` rows
@@ -295,131 +281,6 @@ def _single_linkage(df, key, features, height):
     return comp.select(F.col("v").alias(key), F.col("comp").alias("cluster"))
 
 
-def _lance_williams(X: np.ndarray, w: np.ndarray, linkage: str):
-    """Agglomerative merge table on m weighted points (m small, on the driver).
-    Returns merges (a, b, height, size) in scipy-like form over ids 0..2m-2."""
-    m = len(X)
-    D = np.sqrt(((X[:, None, :] - X[None, :, :]) ** 2).sum(-1))
-    if linkage == "ward.D2":
-        D = D ** 2
-    np.fill_diagonal(D, np.inf)
-    size = w.astype(float).copy()
-    active = list(range(m))
-    ids = list(range(m))
-    merges = []
-    next_id = m
-    for _ in range(m - 1):
-        sub = D[np.ix_(active, active)]
-        i, j = np.unravel_index(np.argmin(sub), sub.shape)
-        a, b = active[i], active[j]
-        h = D[a, b]
-        na, nb = size[a], size[b]
-        for c in active:
-            if c in (a, b):
-                continue
-            if linkage == "single":
-                d = min(D[a, c], D[b, c])
-            elif linkage == "complete":
-                d = max(D[a, c], D[b, c])
-            elif linkage == "average":
-                d = (na * D[a, c] + nb * D[b, c]) / (na + nb)
-            elif linkage == "ward.D2":
-                nc = size[c]
-                d = ((na + nc) * D[a, c] + (nb + nc) * D[b, c] - nc * h) / (na + nb + nc)
-            else:
-                raise ValueError(f"unknown linkage {linkage!r}")
-            D[a, c] = D[c, a] = d
-        D[b, :] = D[:, b] = np.inf
-        size[a] = na + nb
-        merges.append((ids[a], ids[b], float(np.sqrt(h) if linkage == "ward.D2" else h), na + nb))
-        ids[a] = next_id
-        next_id += 1
-        active.remove(b)
-    return merges
-
-
-def _cut(merges, m: int, k: int) -> np.ndarray:
-    parent = list(range(2 * m - 1))
-
-    def find(x):
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-    for t, (a, b, _h, _s) in enumerate(merges[:m - k]):
-        new = m + t
-        parent[find(a)] = new
-        parent[find(b)] = new
-    roots = [find(i) for i in range(m)]
-    order = {r: i + 1 for i, r in enumerate(dict.fromkeys(roots))}
-    return np.array([order[r] for r in roots])
-
-
-def hierarchical(df: DataFrame, key: str, features, k: int, linkage: str = "ward.D2",
-                 max_points: int = 2000, seed: int = 123):
-    """K8: agglomerative clustering cut at ``k`` (single, complete, average,
-    ward.D2).  Up to ``max_points`` rows the merge table is exact on the
-    rows themselves; above, rows are first compressed into ``max_points``
-    weighted k-means micro-clusters (a bounded summary) and the cut is
-    broadcast back by micro-cluster.  Returns (assignments, merge table)."""
-    spark = df.sparkSession
-    n = df.count()
-    arr = feature_array(df, features)
-    if n <= max_points:
-        rows = df.select(F.col(key).alias("k"), arr.alias("v")).collect()
-        keys = [r["k"] for r in rows]
-        X = np.array([r["v"] for r in rows], dtype=float)
-        order = np.argsort(np.array(keys))
-        X = X[order]
-        keys = [keys[i] for i in order]
-        merges = _lance_williams(X, np.ones(len(X)), linkage)
-        lab = _cut(merges, len(X), k)
-        assign = spark.createDataFrame([(kk, int(c)) for kk, c in zip(keys, lab)],
-                                       f"{key} {df.schema[key].dataType.simpleString()}, cluster int")
-    else:
-        km = kmeans(df, features, max_points, nstart=1, seed=seed)
-        micro = km.assign(df, features, "__mc", keep=[key])
-        w = micro.groupBy("__mc").count().collect()
-        wt = np.zeros(max_points)
-        for r in w:
-            wt[r["__mc"] - 1] = r["count"]
-        C = km.centers()
-        keep = wt > 0
-        idx = np.nonzero(keep)[0]
-        merges = _lance_williams(C[keep], wt[keep], linkage)
-        lab = _cut(merges, len(idx), k)
-        cut = spark.createDataFrame([(int(i + 1), int(c)) for i, c in zip(idx, lab)], "__mc int, cluster int")
-        assign = micro.join(F.broadcast(cut), "__mc").select(key, "cluster")
-    table = spark.createDataFrame([(int(a), int(b), float(h), float(s)) for a, b, h, s in merges],
-                                  "a long, b long, height double, size double")
-    return assign, table
-
-
-def kmedoids(df: DataFrame, key: str, features, k: int, samples: int = 5, sample_size: int | None = None,
-             seed: int = 1):
-    """K7: CLARA.  PAM (build + swap) on several seeded samples of bounded
-    size on the driver; every candidate medoid set is scored on *all* rows
-    (one aggregate: sum of distances to the nearest medoid); the best set
-    wins.  Returns (assignments with distance, medoid keys, cost)."""
-    from vela.functions.columns import order_hash
-    sample_size = sample_size or min(40 + 2 * k, 400)
-    arr = feature_array(df, features)
-    cands = []
-    for s in range(samples):
-        sm = df.select(F.col(key).alias("k"), arr.alias("v")) \
-            .orderBy(order_hash("k", seed + s, "xxhash64"), "k").limit(sample_size).collect()
-        X = np.array([r["v"] for r in sm], dtype=float)
-        ks = [r["k"] for r in sm]
-        med = _pam(X, k)
-        cands.append(([ks[i] for i in med], X[med]))
-    costs = _medoid_costs(df, arr, [c for _, c in cands])
-    best = int(np.argmin(costs))
-    mkeys, centers = cands[best]
-    assign = _nearest(df.select(F.col(key).alias("__k"), arr.alias("__v")), centers) \
-        .withColumnRenamed("__k", key)
-    return assign, mkeys, float(costs[best])
-
-
 def _nearest(x: DataFrame, centers: np.ndarray) -> DataFrame:
     """(key, cluster 1.., dist) to the nearest of ``centers`` (numpy per batch)."""
     C = np.asarray(centers, dtype=float)
@@ -437,59 +298,3 @@ def _nearest(x: DataFrame, centers: np.ndarray) -> DataFrame:
 
     kt = x.schema["__k"].dataType.simpleString()
     return x.mapInPandas(run, f"__k {kt}, cluster int, dist double")
-
-
-def _medoid_costs(df: DataFrame, arr, center_sets: list) -> np.ndarray:
-    """Sum of distances to the nearest medoid, for every candidate set, in
-    one pass over all rows (per-batch numpy partials summed by Spark)."""
-    sets = [np.asarray(c, dtype=float) for c in center_sets]
-
-    def run(it):
-        import pandas as pd
-        acc = np.zeros(len(sets))
-        for pdf in it:
-            if len(pdf) == 0:
-                continue
-            V = np.stack(pdf["v"].to_numpy()).astype(float)
-            for i, C in enumerate(sets):
-                acc[i] += np.sqrt(sq_dists(V, C)).min(1).sum()
-        yield pd.DataFrame({"i": np.arange(len(sets)), "c": acc})
-
-    rows = df.select(arr.alias("v")).mapInPandas(run, "i long, c double").groupBy("i") \
-        .agg(F.sum("c").alias("c")).collect()
-    out = np.zeros(len(sets))
-    for r in rows:
-        out[r["i"]] = r["c"]
-    return out
-
-
-def reduce_sum(cols):
-    e = cols[0]
-    for c in cols[1:]:
-        e = e + c
-    return e
-
-
-def _pam(X: np.ndarray, k: int, max_iter: int = 100) -> list:
-    D = np.sqrt(((X[:, None, :] - X[None, :, :]) ** 2).sum(-1))
-    n = len(X)
-    med = [int(np.argmin(D.sum(1)))]
-    while len(med) < k:
-        cur = D[:, med].min(1)
-        gain = np.array([np.maximum(cur - D[:, c], 0).sum() if c not in med else -1 for c in range(n)])
-        med.append(int(np.argmax(gain)))
-    cost = D[:, med].min(1).sum()
-    for _ in range(max_iter):
-        improved = False
-        for mi in range(k):
-            for c in range(n):
-                if c in med:
-                    continue
-                trial = med.copy()
-                trial[mi] = c
-                tc = D[:, trial].min(1).sum()
-                if tc < cost - 1e-12:
-                    med, cost, improved = trial, tc, True
-        if not improved:
-            break
-    return med

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vela.functions.columns import feature_array
-from vela.operators.patterns import (block_arrays, block_count, block_pairs, column_stats,
+from vela.operators.patterns import (block_arrays, block_count, column_stats, map_block_pairs,
                                      pack_blocks, sq_dists, via_long_key)
 from vela.session import cut_lineage
 
@@ -44,7 +44,6 @@ def _pairwise(df, key, features, block_rows, force):
     n, nb, d, blocks = _setup(df, key, features, block_rows)
     if n > PAIRWISE_ROW_LIMIT and not force:
         raise ValueError(f"{n} rows make {n * (n - 1) // 2} pairs; pass force=True")
-    pairs = block_pairs(blocks, nb)
 
     def emit(it):
         import pandas as pd
@@ -61,7 +60,7 @@ def _pairwise(df, key, features, block_rows, force):
                 lo, hi = np.minimum(a, b)[keep], np.maximum(a, b)[keep]
                 yield pd.DataFrame({"i": lo, "j": hi, "dist": D.ravel()[keep]})
 
-    out = pairs.mapInPandas(emit, "i long, j long, dist double")
+    out = map_block_pairs(blocks, nb, 8 * n * d, emit, "i long, j long, dist double")
     return out.select(F.col("i").alias(f"{key}_i"), F.col("j").alias(f"{key}_j"), "dist")
 
 
@@ -85,12 +84,12 @@ def knn(df: DataFrame, key: str, features, k: int, reference: DataFrame | None =
 def _knn(df, key, features, k, reference, block_rows, exclude_self):
     if reference is None:
         n, nb, d, blocks = _setup(df, key, features, block_rows)
-        pairs = block_pairs(blocks, nb)
+        other = ()
         same = True
     else:
         n, nb, d, blocks = _setup(df, key, features, block_rows)
         m, mb, _, rblocks = _setup(reference, key, features, block_rows)
-        pairs = block_pairs(blocks, nb, rblocks, mb)
+        other = (rblocks, mb, 8 * m * d)
         same = False
 
     def top(it):
@@ -123,7 +122,7 @@ def _knn(df, key, features, k, reference, block_rows, exclude_self):
             if outs:
                 yield pd.concat(outs, ignore_index=True)
 
-    cand = pairs.mapInPandas(top, "q long, nb long, d2 double")
+    cand = map_block_pairs(blocks, nb, 8 * n * d, top, "q long, nb long, d2 double", *other)
     w = Window.partitionBy("q").orderBy("d2", "nb")
     return (cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
             .select(F.col("q").alias(key), F.col("nb").alias("neighbor"),
@@ -153,7 +152,6 @@ def within_eps(df: DataFrame, key: str, features, eps: float, block_rows: int |
 
 def _within_eps(df, key, features, eps, block_rows):
     n, nb, d, blocks = _setup(df, key, features, block_rows)
-    pairs = block_pairs(blocks, nb)
     e2 = eps * eps
 
     def emit(it):
@@ -170,4 +168,4 @@ def _within_eps(df, key, features, eps, block_rows):
                 keep = a < b if row["a"] == row["b"] else a != b
                 yield pd.DataFrame({"i": np.minimum(a, b)[keep], "j": np.maximum(a, b)[keep]})
 
-    return pairs.mapInPandas(emit, "i long, j long")
+    return map_block_pairs(blocks, nb, 8 * n * d, emit, "i long, j long")

@@ -7,9 +7,9 @@ P1  ``bucket_rank`` / ``top_m_flag``: exact row numbers inside groups without a
 Q   ``exact_quantiles``: exact type-7 quantiles by histogram rounds (each
     round is one scan with map-side partial counts); only a bounded number of
     candidate values is ever collected.
-P2  ``block_pairs``: rows packed into blocks of bounded size; the upper
-    triangle of block pairs is generated on executors and joined by equality;
-    numpy works on one block pair per call and returns only reduced results.
+P2  ``map_block_pairs``: rows packed into blocks of bounded size, blocks dealt to
+    a square grid of tasks that each read two strips; numpy works on one block
+    pair per call and returns only reduced results.
 P5  ``grouped_moments``: (n, sum x, sum x x^T) per group from numpy partials,
     summed by Spark, collected at size groups x d x d.
 """
@@ -414,34 +414,58 @@ def pack_blocks(df: DataFrame, key: str, vec: Column, n_blocks: int,
                     F.transform("rows", lambda r: r["t"]).alias("tags")))
 
 
-def block_pairs(blocks: DataFrame, n_blocks: int, other: DataFrame | None = None,
-                n_other: int | None = None) -> DataFrame:
-    """Join packed blocks into pairs by equality on generated pair ids.
+#: Bytes of vectors one strip of the grid holds; a task keeps one strip and a block of the other.
+STRIP_BYTES = 64 << 20
 
-    Without ``other``: the upper triangle (a <= b) of ``blocks`` x ``blocks``.
-    With ``other``: every (a, b) with a from ``blocks`` and b from ``other``.
-    Pair ids come from ``spark.range`` on executors; no cross join.
+
+def grid_side(n_blocks: int, total_bytes: int, cores: int) -> int:
+    """Strips per side: as few as keep every core busy and a strip within ``STRIP_BYTES``."""
+    return max(1, min(n_blocks, max(math.ceil(total_bytes / STRIP_BYTES), math.ceil(math.sqrt(2 * cores)))))
+
+
+def map_block_pairs(blocks: DataFrame, n_blocks: int, total_bytes: int, fn, schema: str,
+                    other: DataFrame | None = None, n_other: int | None = None, other_bytes: int = 0) -> DataFrame:
+    """``fn`` over every pair of blocks, on a square grid of tasks.
+
+    Blocks are dealt to strips; the task of cell (i, j) reads strip i and strip j
+    and meets all their block pairs.  A block therefore travels once per strip of
+    the other side (about the square root of the tasks), not once per pair.
+    Without ``other`` only cells i <= j exist and every unordered pair of blocks is
+    met once.  A task holds strip i and streams strip j block by block; ``fn``
+    takes and yields frames (one row: a, b, ka, va, ta, kb, vb, tb) and its output
+    is passed on pair by pair.
     """
-    spark = blocks.sparkSession
-    if other is None:
-        n_pairs = n_blocks * (n_blocks + 1) // 2
-        t = F.col("id")
-        i = F.floor((F.sqrt(F.lit(8.0) * t + F.lit(1.0)) - F.lit(1.0)) / F.lit(2.0)).cast("long")
-        pairs = spark.range(n_pairs).select(i.alias("bi"), t.alias("t")) \
-            .select((F.col("t") - F.col("bi") * (F.col("bi") + 1) / 2).cast("long").alias("a"),
-                    F.col("bi").alias("b"))
-        right = blocks
-    else:
-        n_pairs = n_blocks * n_other
-        pairs = spark.range(n_pairs).select((F.col("id") / n_other).cast("long").alias("a"),
-                                            F.pmod(F.col("id"), F.lit(n_other)).alias("b"))
-        right = other
-    left = blocks.select(F.col("blk").alias("a"), F.col("keys").alias("ka"),
-                         F.col("vecs").alias("va"), F.col("tags").alias("ta"))
-    right = right.select(F.col("blk").alias("b"), F.col("keys").alias("kb"),
-                         F.col("vecs").alias("vb"), F.col("tags").alias("tb"))
-    parts = max(1, min(n_pairs, spark.sparkContext.defaultParallelism * 4))
-    return pairs.repartition(parts).join(left, "a").join(right, "b")
+    cores = max(1, blocks.sparkSession.sparkContext.defaultParallelism)
+    own = other is None
+    g = grid_side(n_blocks, total_bytes, cores)
+    h = g if own else grid_side(n_other, other_bytes, cores)
+    cols = ["blk", "keys", "vecs", "tags"]
+    strip = lambda k: F.pmod("blk", F.lit(k)).cast("int")
+    every = lambda lo, hi: F.explode(F.sequence(lo, hi))
+    # the cells of the upper triangle (or the rectangle) in one row of numbers, each a partition of its own
+    number = (lambda i, j: (j * (j + 1) / 2 + i).cast("int")) if own else (lambda i, j: (i * h + j).cast("int"))
+    cells = g * (g + 1) // 2 if own else g * h
+    left = blocks.select(*cols, strip(g).alias("i")).withColumn("j", every(F.col("i") if own else F.lit(0), F.lit(h - 1)))
+    right = (blocks if own else other).select(*cols, strip(h).alias("j")).withColumn("i", every(F.lit(0), F.col("j") if own else F.lit(g - 1)))
+    sent = left.withColumn("side", F.lit(0)).unionByName(right.withColumn("side", F.lit(1)))
+    sent = sent.select(number(F.col("i"), F.col("j")).alias("cell"), (F.col("i") == F.col("j")).alias("diagonal"), "side", *cols)
+
+    def meet(frames):
+        import pandas as pd
+        cell, held = None, []
+        for frame in frames:
+            for r in frame.itertuples(index=False):
+                if r.cell != cell:
+                    cell, held = r.cell, []
+                if r.side == 0:
+                    held.append(r)
+                    continue
+                for x in held:
+                    if not own or not r.diagonal or x.blk <= r.blk:
+                        yield from fn(iter([pd.DataFrame({"a": [x.blk], "b": [r.blk if own else -1 - r.blk], "ka": [x.keys], "va": [x.vecs], "ta": [x.tags],
+                                                          "kb": [r.keys], "vb": [r.vecs], "tb": [r.tags]})]))
+
+    return sent.repartitionById(cells, "cell").sortWithinPartitions("cell", "side", "blk").mapInPandas(meet, schema)
 
 
 def block_arrays(row, side: str, d: int):

@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from vela.operators import classify, clean, cluster, evaluate, manifold, neighbors, nets, reduce, split, tree, tune
+from vela.operators import classify, clean, cluster, evaluate, hierarchy, manifold, neighbors, nets, reduce, split, tree, tune
 from vela.plans import jobs
 from vela.plans.checks import R, check, finish
 from vela.plans.fixtures import scored_events, sparse_orders, t
@@ -116,23 +116,48 @@ def q_single_linkage(spark, sf):
     return finish(cluster.single_linkage_cut(emb(spark, sf), "vec_id", "embedding", EPS))
 
 
+@check("single_linkage_tree", f"""
+WITH RECURSIVE {PR_SQL},
+cc(v, l) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT pr.j, cc.l FROM cc JOIN pr ON pr.i = cc.v)
+SELECT v AS vec_id, min(l)::BIGINT AS cluster FROM cc GROUP BY v
+""")
+def q_single_linkage_tree(spark, sf):
+    return finish(hierarchy.linkage_cut_at(emb(spark, sf), "vec_id", "embedding", EPS, "single"))
+
+
 @check("ward_cut")
 def q_ward(spark, sf):
-    asg, _ = cluster.hierarchical(emb(spark, sf), "vec_id", "embedding", 10, "ward.D2")
+    asg, _ = hierarchy.hierarchical(emb(spark, sf), "vec_id", "embedding", 10, "ward.D2")
     return asg
 
 
+@check("average_tree")
+def q_average_tree(spark, sf):
+    return hierarchy.hierarchical(emb(spark, sf), "vec_id", "embedding", 10, "average")[1]
+
+
 @check("divisive")
 def q_divisive(spark, sf):
-    return cluster.divisive(emb(spark, sf), "embedding", 4, seed=1, key="vec_id").select("vec_id", "cluster")
+    asg, _, dc = hierarchy.divisive(emb(spark, sf), "vec_id", "embedding", 4)
+    return asg.withColumn("coefficient", F.lit(dc))
 
 
+#: The first medoid is the row of least total distance; no swap lowers the total at the end.
 @check("kmedoids")
 def q_kmedoids(spark, sf):
-    asg, _, _ = cluster.kmedoids(emb(spark, sf), "vec_id", "embedding", 10)
+    asg, _, _ = hierarchy.kmedoids(emb(spark, sf), "vec_id", "embedding", 10)
     return asg
 
 
+@check("medoid", f"""
+WITH s AS (SELECT a.vec_id, sum(list_distance(a.v, b.v)) AS total FROM {EMB_SQL} a, {EMB_SQL} b GROUP BY a.vec_id)
+SELECT vec_id, 1::BIGINT AS cluster FROM s ORDER BY total, vec_id LIMIT 1
+""")
+def q_medoid(spark, sf):
+    asg, med, _ = hierarchy.kmedoids(emb(spark, sf), "vec_id", "embedding", 1)
+    return finish(asg.where(F.col("vec_id") == med[0]).select("vec_id", "cluster"))
+
+
 def _emb_pca(spark, sf):
     e = emb(spark, sf)
     return reduce.pca_fit(e, "embedding").scores(e, 3, keep=["vec_id", "label"])
