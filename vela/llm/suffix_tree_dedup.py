@@ -167,7 +167,35 @@ def _resolve(width: int):
     return run
 
 
-def _remove(window: int, gram: int, symbol: int, buckets: int, levels_bc):
+def kept_words(text: str, removed: np.ndarray | None) -> str:
+    """The words that stay, joined by one space."""
+    tokens = text.encode().split()
+    if removed is not None:
+        tokens = [w for w, r in zip(tokens, removed.tolist()) if not r]
+    return b" ".join(tokens).decode()
+
+
+def without_words(text: str, removed: np.ndarray | None) -> str:
+    """The text with each run of removed words cut out, along with the white space before it; every other byte as it was.
+
+    Where words on both sides stay, the white space after the run keeps them apart.
+    """
+    if removed is None:
+        return text
+    raw = text.encode()
+    data = np.frombuffer(raw, dtype=np.uint8)
+    starts, ends, _ = tb.word_spans(data, np.array([0, len(data)]), tb.NONSPACE)
+    edges = np.diff(np.r_[0, removed.astype(np.int8), 0])
+    first, last = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1) - 1
+    out, at = [], 0
+    for a, b in zip(first.tolist(), last.tolist()):
+        out.append(raw[at:ends[a - 1] if a else 0])
+        at = ends[b] if a else starts[b + 1] if b + 1 < len(starts) else len(raw)  # nothing before the run: what follows it begins the text
+    out.append(raw[at:])
+    return b"".join(out).decode()
+
+
+def _remove(window: int, gram: int, symbol: int, buckets: int, levels_bc, layout: bool):
     def run(docs, answers):
         if not docs.num_rows:
             return pa.table({"id": docs.column("id"), "n_words": pa.array([], pa.int64()), "n_removed": pa.array([], pa.int64()), "kept": pa.array([], pa.string()), "rest": docs.column("rest")})
@@ -193,19 +221,20 @@ def _remove(window: int, gram: int, symbol: int, buckets: int, levels_bc):
         n_removed = total[o[1:]] - total[o[:-1]]
         kept = []
         for i, text in enumerate(words.table.column("text").to_pylist()):
-            tokens = (text or "").encode().split()
-            if n_removed[i]:
-                tokens = [w for w, r in zip(tokens, removed[o[i]:o[i + 1]].tolist()) if not r]
-            kept.append(b" ".join(tokens).decode())
+            gone_here = removed[o[i]:o[i + 1]] if n_removed[i] else None
+            kept.append(without_words(text or "", gone_here) if layout else kept_words(text or "", gone_here))
         return pa.table({"id": words.table.column("id"), "n_words": pa.array(np.diff(o), pa.int64()), "n_removed": pa.array(n_removed, pa.int64()),
                          "kept": pa.array(kept, pa.string()), "rest": words.table.column("rest")})
     return run
 
 
 def dedup_substrings(docs: DataFrame, window: int = 20, gram: int = 5, symbol: int = 4, part_bytes: int = 6 << 20, group_suffixes: int = 1_000_000,
-                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                     id_col: str = "doc_id", text_col: str = "text", layout: bool = False) -> DataFrame:
     """id, n_words, n_removed, kept (the kept words joined by one space) and rest (the other columns).
 
+    With ``layout`` kept is the text with the removed passages cut out by offset: line
+    breaks, tabs and blank lines of the rest stay, and a text that loses nothing is unchanged.
+
     Words are runs of anything but ASCII white space.  A word goes if a window of
     ``window`` words covers it whose words also start earlier: in a smaller integer
     id, or earlier in the same document.  Null, empty or short texts lose nothing
@@ -229,5 +258,5 @@ def dedup_substrings(docs: DataFrame, window: int = 20, gram: int = 5, symbol: i
     sent = rows.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(_send(window, gram, symbol, parts, levels_bc), "part long, bucket long, symbols binary, docs binary, runs binary")
     flags = sent.groupBy("bucket").applyInArrow(_resolve(window // symbol), an.KEYS)
     out = rows.groupBy("part").cogroup(answers.unionByName(flags).groupBy("part")) \
-        .applyInArrow(_remove(window, gram, symbol, parts, levels_bc), f"id {kind}, n_words long, n_removed long, kept string, rest {rest}")
+        .applyInArrow(_remove(window, gram, symbol, parts, levels_bc, layout), f"id {kind}, n_words long, n_removed long, kept string, rest {rest}")
     return out.withColumnRenamed("id", id_col)
