@@ -56,8 +56,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document stays, without the passages that start earlier elsewhere; n_chars follows the text."""
-    found = dedup_substrings(docs)
+    """Every document stays, without the passages that start earlier elsewhere; the rest of its layout stays too, n_chars follows the text."""
+    found = dedup_substrings(docs, layout=True)
     return _restored(found, docs, text=F.col("kept"), n_chars=F.length("kept").cast("long"))
 
 
