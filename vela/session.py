@@ -75,3 +75,28 @@ def cut_lineage(df, eager: bool = True):
     """Reliable checkpoint into the shared folder (never localCheckpoint)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+class Steps:
+    """Tables of an iteration, written to and read again from the shared checkpoint folder.
+
+    A checkpointed frame keeps the size estimate of its plan, and a join multiplies
+    its sides' estimates: a loop that joins a table with something made of itself
+    squares the estimate each round, until planning handles numbers of millions of
+    digits.  A written table starts from its file size.  Only the last ``keep``
+    tables stay.
+    """
+
+    def __init__(self, spark: SparkSession, keep: int = 4):
+        import uuid
+        self.spark, self.keep, self.paths = spark, keep, []
+        self.root = f"{checkpoint_dir(spark).rstrip('/')}/steps-{uuid.uuid4().hex}"
+
+    def cut(self, df):
+        path = f"{self.root}/{len(self.paths)}"
+        df.write.parquet(path)
+        self.paths.append(path)
+        if len(self.paths) > self.keep:
+            old = self.spark._jvm.org.apache.hadoop.fs.Path(self.paths[-1 - self.keep])
+            old.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(old, True)
+        return self.spark.read.schema(df.schema).parquet(path)
