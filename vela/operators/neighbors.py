@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vela.functions.columns import feature_array
-from vela.operators.patterns import (block_arrays, block_count, column_stats, map_block_pairs,
+from vela.operators.patterns import (block_arrays, block_count, column_stats, join_small, map_block_pairs,
                                      pack_blocks, sq_dists, via_long_key)
 from vela.session import cut_lineage
 
@@ -168,4 +168,61 @@ def _within_eps(df, key, features, eps, block_rows):
                 keep = a < b if row["a"] == row["b"] else a != b
                 yield pd.DataFrame({"i": np.minimum(a, b)[keep], "j": np.maximum(a, b)[keep]})
 
+    cells = EpsCells(df, key, features, eps) if eps > 0 and n > 1 else None
+    if cells is not None and 2 * cells.pairs < n * (n - 1) / 2:
+        return cells.map_pairs(emit, "i long, j long")
     return map_block_pairs(blocks, nb, 8 * n * d, emit, "i long, j long")
+
+
+class EpsCells:
+    """Rows in square cells of width eps on the leading principal axes.
+
+    A projection never lengthens a distance, so two rows within eps lie in the
+    same or in neighbouring cells; only those cells' blocks meet, and exact
+    distances decide inside.  ``pairs`` is the number of row pairs that meet.
+    """
+
+    def __init__(self, df: DataFrame, key: str, features, eps: float, axes: int = 3, block_rows: int = 2048):
+        from vela.operators.reduce import pca_fit
+        vec = feature_array(df, features)
+        model = pca_fit(df, features)
+        axes = min(axes, model.loadings.shape[1])
+        at = []
+        for k in range(axes):
+            w = model.loadings[:, k]
+            place = F.lit(0.0)
+            for i, x in enumerate(w):
+                place = place + vec[i] * F.lit(float(x))
+            at.append(F.floor(place / F.lit(eps * (1 + 1e-9))).cast("long"))
+        rows = df.select(F.col(key).cast("long").alias("k"), vec.alias("v"), F.array(*at).alias("cell"))
+        self.rows, self.axes, self.block_rows = rows, axes, block_rows
+        counts = rows.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
+        self.cells = cut_lineage(counts.withColumn("subs", F.ceil(F.col("n") / block_rows).cast("int")))
+        near = self._near()
+        self.pairs = int(near.agg(F.sum(F.when(F.col("own"), F.col("n") * (F.col("n") - 1) / 2).otherwise(F.col("n") * F.col("m")))).first()[0] or 0)
+
+    def _near(self) -> DataFrame:
+        """(cell, n, subs, to, m, to_subs, own): every cell with itself and each later neighbour."""
+        steps = [[]]
+        for _ in range(self.axes):
+            steps = [[*s, o] for s in steps for o in (-1, 0, 1)]
+        later = [s for s in steps if s >= [0] * self.axes]
+        offset = F.explode(F.array(*[F.array(*[F.lit(o).cast("long") for o in s]) for s in later])).alias("o")
+        left = self.cells.select("cell", "n", "subs", offset).select("cell", "n", "subs", F.zip_with("cell", "o", lambda a, b: a + b).alias("to"))
+        right = self.cells.select(F.col("cell").alias("to"), F.col("n").alias("m"), F.col("subs").alias("to_subs"))
+        return left.join(right, "to").withColumn("own", F.col("cell") == F.col("to"))
+
+    def map_pairs(self, fn, schema: str) -> DataFrame:
+        """``fn`` over the pairs of blocks of neighbouring cells (rows as in ``map_block_pairs``)."""
+        sub = F.pmod(F.xxhash64("k"), F.col("subs")).cast("int")
+        placed = join_small(self.rows, self.cells.select("cell", "subs"), ["cell"]).select("k", "v", "cell", sub.alias("sub"))
+        packed = placed.groupBy("cell", "sub").agg(F.collect_list(F.struct("k", "v")).alias("r"))
+        packed = packed.select("cell", "sub", F.transform("r", lambda r: r["k"]).alias("keys"), F.flatten(F.transform("r", lambda r: r["v"])).alias("vecs"))
+        packed = cut_lineage(packed)
+        upto = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+        pairs = self._near().withColumn("sub", upto("subs")).withColumn("to_sub", upto("to_subs")).where("NOT own OR sub <= to_sub").select("cell", "sub", "to", "to_sub")
+        left = packed.select("cell", "sub", F.col("keys").alias("ka"), F.col("vecs").alias("va"), F.transform("keys", lambda _: F.lit(0).cast("long")).alias("ta"))
+        right = packed.select(F.col("cell").alias("to"), F.col("sub").alias("to_sub"), F.col("keys").alias("kb"), F.col("vecs").alias("vb"), F.transform("keys", lambda _: F.lit(0).cast("long")).alias("tb"))
+        met = pairs.join(left, ["cell", "sub"]).join(right, ["to", "to_sub"])
+        other = ((F.col("cell") != F.col("to")) | (F.col("sub") != F.col("to_sub"))).cast("long")
+        return met.select(F.lit(0).cast("long").alias("a"), other.alias("b"), "ka", "va", "ta", "kb", "vb", "tb").mapInPandas(fn, schema)
