@@ -1,17 +1,19 @@
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from vela.operators.patterns import bucket_rank, exact_quantiles, grouped_moments, quantile_name, top_m_flag
 
 
-def test_exact_quantiles_match_numpy_with_ties_and_a_hot_value(spark):
+@pytest.mark.parametrize("accuracy", [50, 10_000])
+def test_exact_quantiles_match_numpy_with_ties_and_a_hot_value(spark, accuracy):
     rng = np.random.default_rng(1)
     vals = np.concatenate([rng.normal(size=3000), np.full(2000, 0.25), rng.integers(0, 5, 1000)])
     pdf = pd.DataFrame({"g": ["a"] * 3000 + ["b"] * 3000, "v": vals})
     df = spark.createDataFrame(pdf)
     probs = [0.1, 0.25, 0.5, 0.75, 0.9]
-    got = {r["g"]: r for r in exact_quantiles(df, ["g"], "v", probs, n_buckets=16, final_limit=50).collect()}
+    got = {r["g"]: r for r in exact_quantiles(df, ["g"], "v", probs, accuracy=accuracy).collect()}
     for g in "ab":
         want = np.quantile(pdf[pdf.g == g].v.to_numpy(), probs)  # numpy default = type 7
         for p, w in zip(probs, want):

@@ -4,9 +4,8 @@ P1  ``bucket_rank`` / ``top_m_flag``: exact row numbers inside groups without a
     single-task window: bucket the order value, count per (group, bucket),
     turn the small count table into offsets, and number rows only inside
     buckets.
-Q   ``exact_quantiles``: exact type-7 quantiles by histogram rounds (each
-    round is one scan with map-side partial counts); only a bounded number of
-    candidate values is ever collected.
+Q   ``exact_quantiles``: exact type-7 quantiles per group in two passes, from
+    sketch brackets and counts per value inside them.
 P2  ``map_block_pairs``: rows packed into blocks of bounded size, blocks dealt to
     a square grid of tasks that each read two strips; numpy works on one block
     pair per call and returns only reduced results.
@@ -138,149 +137,42 @@ def top_m_flag(df: DataFrame, group_cols: list[str], order_col: str, tie_col: st
 
 
 # ---------------------------------------------------------------------------
-# Exact quantiles by histogram rounds
+# Exact quantiles per group, from sketch brackets
 # ---------------------------------------------------------------------------
 
-@dataclass
-class _Target:
-    tid: int
-    gid: int
-    rank: int          # 1-based order statistic wanted
-    lo: float
-    hi: float
-    below: int         # rows with value < lo
-    value: float | None = None
-
-
-def exact_order_stats(long_df: DataFrame, group_cols: list[str], value_col: str,
-                      ranks_fn, n_buckets: int = 2048,
-                      final_limit: int = 100_000, max_groups: int = 100_000):
-    """Exact order statistics per group.
-
-    ``long_df`` has ``group_cols`` and a non-null double ``value_col``.
-    ``ranks_fn(n) -> list[int]`` gives the wanted 1-based ranks for a group of
-    ``n`` values.  Returns ``(groups, answers)`` where ``groups`` is a list of
-    (group values tuple, n) and ``answers[(gid, rank)] = value``.
-    Each round is one aggregation over the rows still inside a candidate
-    interval; a candidate bucket is collected only when it holds at most
-    ``final_limit`` rows (or a single repeated value).
-    """
-    spark = long_df.sparkSession
-    stats_df = long_df.groupBy(*group_cols).agg(
-        F.count(F.lit(1)).alias("n"), F.min(value_col).alias("mn"), F.max(value_col).alias("mx"))
-    stats = bounded_collect(stats_df, max_groups)
-    if stats is None:
-        raise ValueError("too many groups for exact quantiles")
-    groups = [(tuple(r[c] for c in group_cols), r["n"]) for r in stats]
-    targets: list[_Target] = []
-    seen = set()
-    for gid, r in enumerate(stats):
-        for rank in ranks_fn(r["n"]):
-            if (gid, rank) in seen:
-                continue
-            seen.add((gid, rank))
-            targets.append(_Target(len(targets), gid, rank, float(r["mn"]), float(r["mx"]), 0))
-    gid_schema = T.StructType([T.StructField(c, long_df.schema[c].dataType) for c in group_cols]
-                              + [T.StructField("__gid", T.IntegerType())])
-    gid_df = spark.createDataFrame([(*g, i) for i, (g, _) in enumerate(groups)], gid_schema)
-    rows = join_small(long_df.select(*group_cols, F.col(value_col).cast("double").alias("__v")),
-                      gid_df, on=group_cols).select("__gid", "__v") if group_cols else \
-        long_df.select(F.lit(0).alias("__gid"), F.col(value_col).cast("double").alias("__v"))
-
-    from pyspark import StorageLevel
-    par = spark.sparkContext.defaultParallelism
-    if rows.rdd.getNumPartitions() < par:
-        rows = rows.repartition(par)      # rounds re-read it: spread it first
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        _select_rounds(spark, rows, targets, n_buckets, final_limit)
-    finally:
-        rows.unpersist()
-    answers = {(t.gid, t.rank): t.value for t in targets}
-    return groups, answers
-
-
-def _select_rounds(spark, rows, targets, n_buckets, final_limit):
-    """Histogram rounds narrowing each target's candidate interval."""
-    tschema = "tid int, gid int, lo double, hi double"
-    for t in targets:
-        if t.lo == t.hi:
-            t.value = t.lo
-    for _round in range(64):
-        pending = [t for t in targets if t.value is None]
-        if not pending:
-            break
-        tdf = F.broadcast(spark.createDataFrame(
-            [(t.tid, t.gid, t.lo, t.hi) for t in pending], tschema))
-        cand = rows.join(tdf, rows["__gid"] == tdf["gid"]) \
-            .filter((F.col("__v") >= F.col("lo")) & (F.col("__v") <= F.col("hi")))
-        width = (F.col("hi") - F.col("lo")) / F.lit(float(n_buckets))
-        bkt = F.least(F.floor((F.col("__v") - F.col("lo")) / width).cast("int"),
-                      F.lit(n_buckets - 1))
-        hist = cand.groupBy("tid", bkt.alias("b")).agg(
-            F.count(F.lit(1)).alias("c"), F.min("__v").alias("bmin"),
-            F.max("__v").alias("bmax")).collect()
-        by_t: dict[int, list] = {}
-        for h in hist:
-            by_t.setdefault(h["tid"], []).append(h)
-        fetch = []
-        for t in pending:
-            cum = t.below
-            for h in sorted(by_t.get(t.tid, []), key=lambda r: r["b"]):
-                if cum + h["c"] >= t.rank:
-                    if h["bmin"] == h["bmax"]:
-                        t.value = float(h["bmin"])
-                    elif h["c"] <= final_limit:
-                        t.lo, t.hi, t.below = float(h["bmin"]), float(h["bmax"]), cum
-                        fetch.append(t)
-                    else:
-                        t.lo, t.hi, t.below = float(h["bmin"]), float(h["bmax"]), cum
-                    break
-                cum += h["c"]
-        if fetch:
-            fdf = F.broadcast(spark.createDataFrame(
-                [(t.tid, t.gid, t.lo, t.hi) for t in fetch], tschema))
-            got = rows.join(fdf, rows["__gid"] == fdf["gid"]) \
-                .filter((F.col("__v") >= F.col("lo")) & (F.col("__v") <= F.col("hi"))) \
-                .select("tid", "__v").collect()
-            vals: dict[int, list] = {}
-            for g in got:
-                vals.setdefault(g["tid"], []).append(g["__v"])
-            for t in fetch:
-                v = sorted(vals[t.tid])
-                t.value = float(v[t.rank - t.below - 1])
-
-
-def _type7_ranks(probs):
-    def fn(n):
-        out = []
-        for p in probs:
-            h = (n - 1) * p
-            lo = int(math.floor(h)) + 1
-            out += [lo, min(lo + 1, n)]
-        return out
-    return fn
-
-
-def exact_quantiles(long_df: DataFrame, group_cols: list[str], value_col: str,
-                    probs: list[float], **kw) -> DataFrame:
+def exact_quantiles(long_df: DataFrame, group_cols: list[str], value_col: str, probs: list[float],
+                    accuracy: int = 10_000) -> DataFrame:
     """Exact type-7 quantiles (R default, Spark ``percentile``, DuckDB
-    ``quantile_cont``) per group, as a small DataFrame with one column per
-    probability named ``q_<p>``."""
-    long_df = long_df.filter(F.col(value_col).isNotNull())
-    groups, ans = exact_order_stats(long_df, group_cols, value_col, _type7_ranks(probs), **kw)
-    out = []
-    for gid, (g, n) in enumerate(groups):
-        qs = []
-        for p in probs:
-            h = (n - 1) * p
-            lo = int(math.floor(h)) + 1
-            a, b = ans[(gid, lo)], ans[(gid, min(lo + 1, n))]
-            qs.append(a + (h - math.floor(h)) * (b - a))
-        out.append((*g, *qs))
-    fields = [T.StructField(c, long_df.schema[c].dataType) for c in group_cols] + \
-        [T.StructField(quantile_name(p), T.DoubleType()) for p in probs]
-    return long_df.sparkSession.createDataFrame(out, T.StructType(fields))
+    ``quantile_cont``) per group, one column per probability named ``q_<p>``.
+
+    Two passes, none of them persisted: a mergeable sketch per group brackets
+    the wanted ranks (a small group is its own bracket), then one grouped count
+    says how many rows lie below a bracket and which values inside, as counts
+    per distinct value.  A bracket holds about 4 n / ``accuracy`` rows.
+    """
+    keys = list(group_cols) or ["__all"]
+    x = long_df.select(*(group_cols or [F.lit(0).alias("__all")]), F.col(value_col).cast("double").alias("__v")).filter("__v IS NOT NULL")
+    marks = [min(1.0, max(0.0, p + s * 2 / accuracy)) for p in probs for s in (-1, 1)]
+    sketch = x.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.min("__v").alias("__lo"), F.max("__v").alias("__hi"),
+                                  F.percentile_approx("__v", marks, accuracy).alias("__s"))
+    small = F.col("__n") <= 4 * accuracy
+    sides = [F.struct(F.lit(i).alias("t"), F.when(small, F.col("__lo")).otherwise(F.col("__s")[2 * i]).alias("lo"),
+                      F.when(small, F.col("__hi")).otherwise(F.col("__s")[2 * i + 1]).alias("hi")) for i in range(len(probs))]
+    brackets = sketch.select(*keys, "__n", F.array(*sides).alias("__t"))
+    near = F.explode(F.filter("__t", lambda t: F.col("__v") <= t["hi"])).alias("__b")
+    met = join_small(x, brackets, on=keys).select(*keys, "__n", "__v", near)
+    inside = F.when(F.col("__v") >= F.col("__b.lo"), F.col("__v"))  # null stands for every row below
+    counts = met.groupBy(*keys, "__n", F.col("__b.t").alias("__t"), inside.alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
+    upto = Window.partitionBy(*keys, "__t").orderBy(F.asc_nulls_first("__v")).rowsBetween(Window.unboundedPreceding, 0)
+    p = F.element_at(F.array(*[F.lit(float(v)) for v in probs]), F.col("__t") + 1)
+    h = (F.col("__n") - 1) * p
+    first = F.floor(h) + 1
+    at = lambda rank: F.min(F.when(F.col("__v").isNotNull() & (F.col("__upto") >= rank), F.col("__v")))
+    found = counts.withColumn("__upto", F.sum("__c").over(upto)).withColumn("__f", h - F.floor(h)) \
+        .groupBy(*keys, "__t").agg(at(first).alias("__a"), at(F.least(first + 1, F.col("__n"))).alias("__b"), F.first("__f").alias("__f"))
+    value = F.col("__a") + F.col("__f") * (F.col("__b") - F.col("__a"))
+    out = found.groupBy(*keys).agg(*[F.max(F.when(F.col("__t") == i, value)).alias(quantile_name(q)) for i, q in enumerate(probs)])
+    return out.select(*group_cols, *[quantile_name(q) for q in probs])
 
 
 @dataclass
