@@ -387,109 +387,23 @@ def fit_logistic(df, features, target, levels=None, reg: float = 0.0, max_iter:
                   lv, name="glm")
 
 
-def _platt(model: MLModel, df: DataFrame, target: str, cls: int | None = None) -> tuple:
-    """Logistic calibration of SVM margins (fitted on the given rows); with
-    ``cls`` of that class's one-vs-rest margin."""
-    from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.functions import vector_to_array
-    out = model.model.transform(model._vec(df))
-    y = _index_expr(target, model.levels)
-    if cls is None:
-        m = out.select(vector_to_array("rawPrediction")[1].alias("m"), y.alias("__y"))
-    else:
-        m = out.select(vector_to_array("rawPrediction")[cls].alias("m"), (y == cls).cast("double").alias("__y"))
-    va = VectorAssembler(inputCols=["m"], outputCol="v")
-    lr = LogisticRegression(featuresCol="v", labelCol="__y", regParam=1e-3, standardization=False).fit(va.transform(m))
-    return float(lr.coefficients[0]), float(lr.intercept)
-
-
-def fit_svm_linear(df, features, target, levels=None, C: float = 1.0, max_iter: int = 50,
-                   featurize=None, name: str = "svmLinear") -> MLModel:
-    """H7: linear SVM (hinge loss); probabilities by logistic calibration of
-    the margins.  More than two classes go one-vs-rest."""
-    from pyspark.ml.classification import LinearSVC, OneVsRest
-    lv = _levels(df, target, levels)
-    n = df.count()
-    svc = LinearSVC(regParam=1.0 / (C * n), maxIter=max_iter, standardization=False)
-    est = svc if len(lv) == 2 else OneVsRest(classifier=svc)
-    m = fit_ml(df, features, target, est, lv, featurize, name)
-    if len(lv) == 2:
-        m.calibration = _platt(m, df, target)
-    else:
-        m.class_calibration = [_platt(m, df, target, i) for i in range(len(lv))]
-    return m
-
+def fit_svm_linear(df, features, target, levels=None, C: float = 1.0, **params):
+    """H7: linear SVM (hinge loss) with calibrated probabilities (``vela.operators.svm``)."""
+    from vela.operators import svm
+    return svm.fit_svm(df, features, target, {"kind": "linear"}, levels, C, name="svmLinear", **params)
 
-def estimate_sigma(df: DataFrame, features, n_sample: int = 1000, seed: int = 1) -> float:
-    """RBF width from the data (kernlab ``sigest`` idea): the inverse of the
-    median squared distance between sampled rows.  The sample is a seeded
-    hash choice of ``n_sample`` rows, so its size is bounded."""
-    arr = feature_array(df, features)
-    s = df.select(arr.alias("v"), F.xxhash64(F.to_json(arr), F.lit(seed)).alias("h")) \
-        .orderBy("h").limit(n_sample).collect()
-    X = np.array([r["v"] for r in s], dtype=float)
-    if len(X) < 2:
-        return 1.0
-    rng = np.random.default_rng(seed)
-    i, j = rng.integers(0, len(X), 4 * len(X)), rng.integers(0, len(X), 4 * len(X))
-    d2 = ((X[i] - X[j]) ** 2).sum(1)
-    d2 = d2[d2 > 0]
-    return float(1.0 / np.quantile(d2, 0.5)) if len(d2) else 1.0
-
-
-def fourier_features(d: int, sigma: float, n_features: int = 200, seed: int = 7):
-    """Random Fourier features for exp(-sigma |x - y|^2): z = sqrt(2/D) cos(Wx + b)."""
-    rng = np.random.default_rng(seed)
-    W = rng.normal(0, math.sqrt(2 * sigma), (n_features, d))
-    b = rng.uniform(0, 2 * math.pi, n_features)
-    scale = math.sqrt(2.0 / n_features)
-
-    def featurize(arr: Column) -> Column:
-        return F.array(*[F.lit(scale) * F.cos(_dot(arr, W[j], b[j])) for j in range(n_features)])
-    return featurize
-
-
-def fit_svm_radial(df, features, target, levels=None, C: float = 1.0, sigma: float | None = None,
-                   n_features: int = 200, seed: int = 7) -> MLModel:
-    """H8: radial-kernel SVM approximated by random Fourier features and a
-    linear SVM (linear in n); sigma estimated from the data when not given."""
-    arr = feature_array(df, features)
-    d = df.select(F.size(arr).alias("d")).head(1)[0]["d"]
-    sigma = sigma or estimate_sigma(df, features)
-    return fit_svm_linear(df, features, target, levels, C, featurize=fourier_features(d, sigma, n_features, seed),
-                          name="svmRadial")
 
+def fit_svm_radial(df, features, target, levels=None, C: float = 1.0, sigma: float | None = None, landmarks: int = 200, seed: int = 7, **params):
+    """H8: radial-kernel SVM over a landmark map; ``sigma`` is estimated from the data when not given."""
+    from vela.operators import svm
+    sigma = sigma or svm.estimate_sigma(df, features)
+    return svm.fit_svm(df, features, target, svm.landmark_map(df, features, sigma, landmarks, seed), levels, C, name="svmRadial", **params)
 
-def polynomial_featurizer(d: int, degree: int, scale: float = 1.0):
-    """Explicit map of the kernel (scale x.y + 1)^degree without its constant
-    term: a monomial of order m is weighted by the root of its multinomial
-    coefficient times scale^m."""
-    from collections import Counter
-    from itertools import combinations_with_replacement
 
-    def featurize(arr: Column) -> Column:
-        terms = []
-        for deg in range(1, degree + 1):
-            for combo in combinations_with_replacement(range(d), deg):
-                ways = math.factorial(degree) // math.factorial(degree - deg)
-                for times in Counter(combo).values():
-                    ways //= math.factorial(times)
-                e = F.lit(math.sqrt(ways * scale ** deg))
-                for i in combo:
-                    e = e * arr[i]
-                terms.append(e)
-        return F.array(*terms)
-    return featurize
-
-
-def fit_svm_poly(df, features, target, levels=None, degree: int = 2, scale: float = 1.0,
-                 C: float = 1.0) -> MLModel:
-    """H9: polynomial-kernel SVM as a linear SVM on the explicit expansion."""
-    arr = feature_array(df, features)
-    d = df.select(F.size(arr).alias("d")).head(1)[0]["d"]
-    return fit_svm_linear(df, features, target, levels, C, featurize=polynomial_featurizer(d, degree, scale),
-                          name="svmPoly")
+def fit_svm_poly(df, features, target, levels=None, degree: int = 2, scale: float = 1.0, C: float = 1.0, **params):
+    """H9: polynomial-kernel SVM on its explicit monomials."""
+    from vela.operators import svm
+    return svm.fit_svm(df, features, target, {"kind": "poly", "degree": degree, "scale": scale}, levels, C, name="svmPoly", **params)
 
 
 def fit_tree(df, features, target, levels=None, cp: float = 0.01, **params):

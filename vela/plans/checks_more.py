@@ -253,7 +253,7 @@ def q_svm_linear(spark, sf):
 @check("svm_radial")
 def q_svm_radial(spark, sf):
     o = _orders_bin(spark, sf)
-    return classify.fit_svm_radial(o, OF, "status", n_features=50).predict(o, keep=["o_orderkey", "status"])
+    return classify.fit_svm_radial(o, OF, "status").predict(o, keep=["o_orderkey", "status"])
 
 
 @check("svm_poly")
