@@ -49,10 +49,10 @@ def test_language_stage_without_labels(spark, sf, docs):
 def test_passage_stage_takes_effect(spark, sf, docs):
     passage = " ".join(f"p{i}" for i in range(60))
     lines = "Kept as it is.\n\n- one\n\tcode  block\r\n"
-    rows = [(1, f"first {passage} end", "en", "s", 1), (2, f"second {passage} tail", "fr", "t", 1), (3, lines, "en", "s", 1), (4, f"{lines}{passage}\n\nend\n", "en", "s", 1)]
+    rows = [(1, f"first {passage} end", "en", "s", 1), (2, f"second {passage} tail", "fr", "t", 1), (3, lines, "en", "s", 1), (4, f"{lines}{passage}\n\nfin\n", "en", "s", 1)]
     got = {r.doc_id: r for r in stage("repeated_passages")(spark, spark.createDataFrame(rows, docs.schema), sf).collect()}
     assert got[1].text == f"first {passage} end" and got[2].text == "second tail" and got[2].n_chars == 11 and got[2].lang == "fr"
-    assert got[3].text == lines and got[4].text == "Kept as it is.\n\n- one\n\tcode  block\n\nend\n"
+    assert got[3].text == lines and got[4].text == "Kept as it is.\n\n- one\n\tcode  block\n\nfin\n"
 
 
 def test_leak_stage_drops_contaminated(spark, sf, docs):
