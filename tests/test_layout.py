@@ -69,3 +69,20 @@ def test_dbscan_in_cells(spark, plane):
     out = cluster.dbscan(df, "key", "vec", 0.5, 5).toPandas().set_index("key").sort_index()
     D = np.sqrt(((X[:, None] - X[None]) ** 2).sum(-1)) <= 0.5
     assert (out["core"].to_numpy() == (D.sum(axis=1) >= 5)).all()
+
+
+def test_matrix_product_distances_decide_as_the_direct_ones():
+    """Rows far from the origin, copies and near copies: candidates by product, decisions and ties by direct sums."""
+    from vela.operators.hierarchy import _first_per_row
+    from vela.operators.patterns import near_sq_dists, pair_sq_dists, rough_sq_dists, sq_dists
+    rng = np.random.default_rng(6)
+    a = rng.normal(size=(60, 24)) + 1000
+    b = np.concatenate([a[:20], a[:20] + 1e-6, a[20:30], rng.normal(size=(30, 24)) + 1000])
+    direct = sq_dists(a, b)
+    rough, slack = rough_sq_dists(a, b)
+    assert 0 < slack and np.abs(rough - direct).max() <= slack
+    assert np.allclose(near_sq_dists(a, b), direct, rtol=1e-9, atol=0)
+    own, other = np.arange(60), 100 + np.arange(80)[::-1]
+    exact = _first_per_row(direct, own, other)
+    quick = _first_per_row(rough, own, other, slack, lambda R, C: pair_sq_dists(a[R], b[C]))
+    assert all((x == y).all() for x, y in zip(exact, quick))
