@@ -72,3 +72,21 @@ def test_logistic_meets_score_equations(spark, blobs):
 def test_forest_importances(spark, blobs):
     rf = classify.fit_forest(blobs, FEATS, "cluster", n_trees=20)
     assert abs(sum(rf.importances()) - 1) < 1e-9
+
+
+def test_knn_tuning_finds_neighbours_once_a_fold(spark, blobs, monkeypatch):
+    from vela.operators import neighbors, split, tune
+    folds = split.stratified_folds(blobs, "cluster", "key", 2, 1, seed=4)
+    levels, calls, real = ["c1", "c2", "c3"], [], neighbors.knn
+    monkeypatch.setattr(neighbors, "knn", lambda *a, **k: calls.append(1) or real(*a, **k))
+    got = tune.tune(blobs, "knn", ["x1"], "cluster", "key", [{"k": k} for k in (1, 4, 9)], folds, levels).results.toPandas()
+    assert len(calls) == 2 and len(got) == 6
+    pdf = blobs.join(folds, "key").toPandas()
+    for r in got.itertuples():
+        k = int(r.params.split(":")[1].strip(" }"))
+        tr, te = pdf[pdf.fold != r.fold], pdf[pdf.fold == r.fold]
+        right = 0
+        for x, y in zip(te.x1, te.cluster):
+            near = tr.assign(d=(tr.x1 - x).abs()).sort_values(["d", "key"]).cluster.head(k).tolist()
+            right += max(levels, key=lambda c: near.count(c)) == y
+        assert abs(r.Accuracy - right / len(te)) < 1e-9
