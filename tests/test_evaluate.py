@@ -1,3 +1,4 @@
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -66,3 +67,40 @@ def test_running_sums_survive_crowded_scores(spark):
     pos, neg = p[y == 1], p[y == 0]
     want = ((pos[:, None] > neg[None]).sum() + 0.5 * (pos[:, None] == neg[None]).sum()) / (len(pos) * len(neg))
     assert abs(a - want) < 1e-12
+
+
+def test_class_pairs_are_made_from_counts(spark, monkeypatch):
+    """Rows are counted per (feature, score, class) before the pairs of classes multiply them."""
+    from pyspark.sql import functions as F
+    from vela.operators import evaluate
+    df = spark.range(3000).select((F.col("id") % 7).cast("double").alias("a"), F.when(F.col("id") % 11 > 0, (F.col("id") * 5 % 13).cast("double")).alias("b"),
+                                  F.element_at(F.array(F.lit("x"), F.lit("y"), F.lit("z")), (F.col("id") * 31 % 17 % 3 + 1).cast("int")).alias("c"))
+    given = []
+    explode = F.explode
+    monkeypatch.setattr(evaluate.F, "explode", lambda c: given.append(c) or explode(c))
+    plans = []
+    inner = evaluate.cumulative_by_score
+    monkeypatch.setattr(evaluate, "cumulative_by_score", lambda counts, *a, **k: plans.append(counts._jdf.queryExecution().optimizedPlan().toString()) or inner(counts, *a, **k))
+    got = {r["variable"]: r for r in evaluate.filter_importance(df, ["a", "b"], "c").collect()}
+    assert given and plans[0].index("Generate") < plans[0].rindex("Aggregate")  # an aggregate below the explode
+    p = df.toPandas()
+    auc = {}
+    for v in "ab":
+        for c in "xyz":
+            best = 0
+            for o in "xyz".replace(c, ""):
+                pos, neg = (p.loc[(p["c"] == k) & p[v].notna(), v].to_numpy() for k in (c, o))
+                best = max(best, float((np.sign(pos[:, None] - neg[None, :]) + 1).mean() / 2))
+            auc[v, c] = best
+    for c in "xyz":
+        lo, hi = sorted((auc["a", c], auc["b", c]))
+        for v in "ab":
+            assert abs(got[v][c] - (auc[v, c] - lo) / (hi - lo) * 100) < 1e-6
+
+
+def test_compare_models_multiclass_reads_predictions_once_for_the_areas(spark):
+    """A model that lacks a class keeps the areas of its other pairs."""
+    from vela.operators import evaluate
+    rows = [("m", c, p, *q) for c, p, q in (("a", "a", (.8, .1, .1)), ("b", "b", (.2, .7, .1)), ("b", "a", (.6, .3, .1)), ("a", "b", (.4, .5, .1)))]
+    out = evaluate.compare_models_multiclass(spark.createDataFrame(rows, "model string, real string, pred string, a double, b double, c double"), "model", "real", "pred", {c: c for c in "abc"}).collect()
+    assert len(out) == 1 and abs(out[0]["auc"] - 0.75) < 1e-12

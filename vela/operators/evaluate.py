@@ -388,7 +388,8 @@ def filter_importance(df: DataFrame, features: list[str], real: str, levels: lis
     """Each feature alone as a score.  Two classes: max(AUC, 1 - AUC).
     More classes: per class, the largest AUC against each other class.
     Scaled to 0-100 by min-max over features (per class column).  One
-    unpivot, one grouped count per (feature, pair, score), P1 running sums."""
+    unpivot, one grouped count per (feature, score, class), P1 running sums;
+    the pairs of classes come from the counts, not from rows."""
     if levels is None:
         levels = sorted(r[0] for r in bounded_collect(df.select(real).distinct(), 1000))
     long = df.select(F.col(real).alias("__y"), *[F.col(c).cast("double").alias(c) for c in features]) \
@@ -405,12 +406,13 @@ def filter_importance(df: DataFrame, features: list[str], real: str, levels: lis
         cols = [str(levels[0]), str(levels[1])]
     else:
         pairs = [(c, o) for c in levels for o in levels if c != o]
-        sel = long.select("variable", "value", F.explode(F.array(*[
+        counts = long.groupBy("variable", F.col("value").alias("score"), "__y").agg(F.count(F.lit(1)).alias("n"))
+        sel = counts.select("variable", "score", "n", F.explode(F.array(*[
             F.when((F.col("__y") == F.lit(c)) | (F.col("__y") == F.lit(o)),
-                   F.struct(F.lit(c).alias("cls"), F.lit(o).alias("oth"), (F.col("__y") == F.lit(c)).alias("y")))
+                   F.struct(F.lit(c).alias("cls"), F.lit(o).alias("oth"), (F.col("__y") == F.lit(c)).cast("int").alias("y")))
             for c, o in pairs])).alias("s")).filter(F.col("s").isNotNull())
-        cnt = sel.select("variable", "value", "s.cls", "s.oth", "s.y")
-        cnt = score_counts(cnt.withColumnRenamed("value", "v"), "v", F.col("y"), ["variable", "cls", "oth"])
+        cnt = sel.groupBy("variable", "s.cls", "s.oth", "score").agg(
+            F.sum(F.col("n") * F.col("s.y")).alias("pos"), F.sum(F.col("n") * (1 - F.col("s.y"))).alias("neg"))
         cum = cumulative_by_score(cnt, ["variable", "cls", "oth"])
         a = cum.groupBy("variable", "cls", "oth").agg(
             (F.sum(F.col("pos") * (F.col("cum_neg") - F.col("neg") * 0.5)) /
