@@ -487,8 +487,7 @@ def compare_models_multiclass(preds: DataFrame, model_col: str, real: str, pred:
     own_rows = scored.where("__r = level").select("__m", "level", "score", "n", F.explode(F.array_except(F.array(*[F.lit(c) for c in levels]), F.array("level"))).alias("other"), F.lit(1).alias("pos"))
     others = scored.where("__r <> level").select("__m", "level", "score", "n", F.col("__r").alias("other"), F.lit(0).alias("pos"))
     pairs = own_rows.unionByName(others).groupBy("__m", "level", "other", "score").agg(F.sum(F.col("n") * F.col("pos")).alias("pos"), F.sum(F.col("n") * (1 - F.col("pos"))).alias("neg"))
-    both = pairs.groupBy("__m", "level", "other").agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).where("P > 0 AND N > 0")
-    cum = cumulative_by_score(join_small(pairs, both.select("__m", "level", "other"), ["__m", "level", "other"], "left_semi"), ["__m", "level", "other"])
+    cum = cumulative_by_score(pairs, ["__m", "level", "other"]).where("P > 0 AND N > 0")
     areas = cum.groupBy("__m", "level", "other").agg((F.sum(F.col("pos") * (F.col("cum_neg") - F.col("neg") * 0.5)) / (F.first("P").cast("double") * F.first("N").cast("double"))).alias("a"))
     out = stats.join(areas.groupBy("__m").agg(F.avg("a").alias("auc")), "__m", "left").withColumnRenamed("__m", model_col)
     return out.orderBy(*[F.desc_nulls_last(o) for o in order])
