@@ -1,7 +1,7 @@
 """What a task reads does not grow with the table."""
 import numpy as np
 
-from vela.operators import classify, cluster, neighbors
+from vela.operators import classify, cluster, hierarchy, neighbors, patterns
 
 
 def test_spread_bounds_the_rows_of_a_partition(spark, monkeypatch):
@@ -45,3 +45,24 @@ def test_elbow_makes_its_vectors_once(spark, monkeypatch):
     assert len(made) == 1 and set(out) == {1, 2, 3}
     for k in (2, 3):
         assert out[k] == cluster.kmeans(df, ["a", "b"], k, nstart=2).cost
+
+
+# ---------------------------------------------------------------- what a cell of the grid hands on
+
+
+def _handed_on(monkeypatch, module):
+    """Frames that ``map_block_pairs`` of a module returns."""
+    made, real = [], module.map_block_pairs
+    monkeypatch.setattr(module, "map_block_pairs", lambda *a, **k: made.append(real(*a, **k)) or made[-1])
+    return made
+
+
+def test_one_medoid_takes_one_pass_and_a_row_a_cell(spark, monkeypatch):
+    X = np.random.default_rng(4).normal(size=(400, 5))
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(X)], "key long, vec array<double>")
+    made = _handed_on(monkeypatch, hierarchy)
+    assign, medoids, cost = hierarchy.kmedoids(df, "key", "vec", 1)
+    total = np.sqrt(((X[:, None] - X[None]) ** 2).sum(-1)).sum(axis=1)
+    assert medoids == [int(total.argmin())] and abs(cost - total.min()) < 1e-9 and assign.count() == 400
+    strips = patterns.grid_side(8, 8 * 400 * 5, spark.sparkContext.defaultParallelism)
+    assert len(made) == 1 and made[0].count() <= 400 * (strips + 1)
