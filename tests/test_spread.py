@@ -66,3 +66,21 @@ def test_one_medoid_takes_one_pass_and_a_row_a_cell(spark, monkeypatch):
     assert medoids == [int(total.argmin())] and abs(cost - total.min()) < 1e-9 and assign.count() == 400
     strips = patterns.grid_side(8, 8 * 400 * 5, spark.sparkContext.defaultParallelism)
     assert len(made) == 1 and made[0].count() <= 400 * (strips + 1)
+
+
+def test_dbscan_hands_on_no_pairs(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    X = np.vstack([rng.normal(size=(180, 6)) * 0.1, rng.normal(size=(180, 6)) * 0.1 + 3, rng.normal(size=(20, 6)) * 4 + 9])
+    X[360] = X[:180].mean(axis=0) + [1.05, 0, 0, 0, 0, 0]
+    D, eps, least = np.sqrt(((X[:, None] - X[None]) ** 2).sum(-1)), 0.9, 60
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(X)], "key long, vec array<double>")
+    made = _handed_on(monkeypatch, neighbors)
+    monkeypatch.setattr(neighbors, "cells_help", lambda *a: False)
+    out = cluster.dbscan(df, "key", "vec", eps, least, block_rows=50).toPandas().set_index("key").sort_index()
+    near = D <= eps
+    core = near.sum(axis=1) >= least
+    assert core[:360].all() and not core[360:].any() and near[360, :180].any()
+    want = np.where(np.arange(380) < 180, 1, np.where(np.arange(380) < 360, 2, 0))
+    want[360] = 1  # a border row
+    assert out["core"].tolist() == core.tolist() and out["cluster"].tolist() == want.tolist()
+    assert near.sum() > 60_000 and sum(m.count() for m in made) < 380 * 8 + 2 * 380

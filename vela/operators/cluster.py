@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from vela.functions.columns import feature_array
 from vela.operators.patterns import block_arrays, block_count, map_block_pairs, near_sq_dists, pack_blocks, sq_dists
+from vela.session import cut_lineage
 
 
 @dataclass
@@ -255,27 +256,25 @@ def dbscan(df: DataFrame, key: str, features, eps: float, min_pts: int,
     share a cluster (connected components, P3); a border row joins the
     cluster of its lowest-key core neighbour; the rest is noise (cluster 0).
     Clusters are numbered 1.. by their smallest key.  Neighbourhoods come
-    from block pairs (exact)."""
+    from block pairs (exact) in two passes, which hand on counts and then at most
+    a link a row and cell of the grid, not the pairs within eps."""
     from vela.operators.patterns import via_long_key
     return via_long_key(df, key, lambda x: _dbscan(x, key, features, eps, min_pts, block_rows), [key])
 
 
 def _dbscan(df, key, features, eps, min_pts, block_rows):
-    from vela.operators.neighbors import within_eps
+    from vela.operators.neighbors import cells_help, eps_counts, eps_links
     from vela.operators.patterns import connected_components
-    pairs = within_eps(df, key, features, eps, block_rows).cache()
-    both = pairs.unionByName(pairs.select(F.col("j").alias("i"), F.col("i").alias("j")))
+    in_cells = cells_help(df, key, features, eps)
     keys = df.select(F.col(key).cast("long").alias("v"))
-    deg = both.groupBy(F.col("i").alias("v")).agg(F.count(F.lit(1)).alias("nb"))
-    core = keys.join(deg, "v", "left").select("v", ((F.coalesce("nb", F.lit(0)) + 1) >= min_pts).alias("core"))
-    core = core.cache()
-    cv = core.filter("core").select("v")
-    ce = both.join(cv.withColumnRenamed("v", "i"), "i").join(cv.withColumnRenamed("v", "j"), "j") \
-        .filter(F.col("i") < F.col("j"))
-    comp = connected_components(cv, ce)
+    deg = eps_counts(df, key, features, eps, block_rows, in_cells)
+    core = cut_lineage(keys.join(deg, "v", "left").select("v", ((F.coalesce("nb", F.lit(0)) + 1) >= min_pts).alias("core")))
+    cv = core.filter("core").select("v").distinct()
+    tagged = df.withColumn("__v", F.col(key).cast("long")).join(cv.select(F.col("v").alias("__v"), F.lit(1).alias("__core")), "__v", "left")
+    links = cut_lineage(eps_links(tagged, key, features, eps, block_rows, F.coalesce("__core", F.lit(0)), in_cells))
+    comp = connected_components(cv, links.filter("kind = 0"))
     # border rows: lowest-key core neighbour
-    border = both.join(core.filter(~F.col("core")).select(F.col("v").alias("i")), "i") \
-        .join(comp.select(F.col("v").alias("j"), "comp"), "j") \
+    border = links.filter("kind = 1").join(comp.select(F.col("v").alias("j"), "comp"), "j") \
         .groupBy(F.col("i").alias("v")).agg(F.min(F.struct("j", "comp")).alias("s")) \
         .select("v", F.col("s.comp").alias("comp"))
     lab = comp.unionByName(border)
@@ -296,9 +295,9 @@ def single_linkage_cut(df: DataFrame, key: str, features, height: float) -> Data
 
 
 def _single_linkage(df, key, features, height):
-    from vela.operators.neighbors import within_eps
+    from vela.operators.neighbors import eps_links
     from vela.operators.patterns import connected_components
-    pairs = within_eps(df, key, features, height)
+    pairs = eps_links(df, key, features, height)
     keys = df.select(F.col(key).cast("long").alias("v"))
     comp = connected_components(keys, pairs)
     return comp.select(F.col("v").alias(key), F.col("comp").alias("cluster"))

@@ -182,30 +182,184 @@ def within_eps(df: DataFrame, key: str, features, eps: float, block_rows: int |
 
 
 def _within_eps(df, key, features, eps, block_rows):
-    n, nb, d, blocks = _setup(df, key, features, block_rows)
-    e2 = eps * eps
+    def pairs(row, d):
+        import pandas as pd
+        ka, kb, I, J, _, _ = _near(row, d, eps * eps)
+        a, b = ka[I], kb[J]
+        keep = a < b if row["a"] == row["b"] else a != b
+        return pd.DataFrame({"i": np.minimum(a, b)[keep], "j": np.maximum(a, b)[keep]})
 
-    def emit(it):
+    return _eps_pairs(df, key, features, eps, block_rows, lambda d: lambda: _Each(lambda row: pairs(row, d)), "i long, j long")
+
+
+def cells_help(df: DataFrame, key: str, features, eps: float) -> bool:
+    """Whether ``EpsCells`` leave less than half of the pairs."""
+    n = df.count()
+    return bool(eps > 0 and n > 1 and 2 * EpsCells(df, key, features, eps).pairs < n * (n - 1) / 2)
+
+
+def _eps_pairs(df, key, features, eps, block_rows, fold, schema, tag=None, in_cells=None):
+    """What ``fold(width)`` makes of all block pairs that may hold rows within ``eps``."""
+    n, nb, d, blocks = _setup(df, key, features, block_rows, tag)
+    if cells_help(df, key, features, eps) if in_cells is None else in_cells:
+        make = fold(d)
+
+        def each(frames):
+            for pdf in frames:
+                for _, row in pdf.iterrows():
+                    kept = make()
+                    kept.pair(row)
+                    yield from kept.streamed()
+                    yield from kept.end()
+
+        return EpsCells(df, key, features, eps, tag=tag).map_pairs(each, schema)
+    return map_block_pairs(blocks, nb, 8 * n * d, None, schema, fold=fold(d))
+
+
+def _near(row, d: int, e2: float):
+    """(keys a, keys b, I, J, tags a, tags b): the pairs (I, J) within; a key is not its own neighbour."""
+    ka, va, ta = block_arrays(row, "a", d)
+    kb, vb, tb = block_arrays(row, "b", d)
+    if not len(ka) or not len(kb):
+        none = np.zeros(0, dtype=np.int64)
+        return ka, kb, none, none, ta, tb
+    na, nb = np.einsum("ij,ij->i", va, va), np.einsum("ij,ij->i", vb, vb)
+    slack = 8 * (d + 4) * np.finfo(float).eps * float(na.max() + nb.max())
+    if d >= 16 and np.isfinite(slack):  # as rough_sq_dists, with -D / 2 from the one product
+        G = np.column_stack((va, -na / 2, np.ones(len(va)))) @ np.column_stack((vb, np.ones(len(vb)), -nb / 2)).T
+        I, J = np.nonzero(G >= -(e2 + slack) / 2)
+        unsure = np.flatnonzero(G[I, J] <= -(e2 - slack) / 2)
+        far = pair_sq_dists(va[I[unsure]], vb[J[unsure]]) > e2
+        I, J = np.delete(I, unsure[far]), np.delete(J, unsure[far])
+    else:
+        I, J = np.nonzero(sq_dists(va, vb) <= e2)
+    if np.isin(ka, kb).any():
+        other = ka[I] != kb[J]
+        I, J = I[other], J[other]
+    return ka, kb, I, J, ta, tb
+
+
+class _Each:
+    """A fold without memory: what ``make`` yields for a pair of blocks goes on with its block."""
+
+    def __init__(self, make):
+        self.make, self.found = make, []
+
+    def pair(self, row) -> None:
+        self.found.append(self.make(row))
+
+    def streamed(self):
+        yield from self.found
+        self.found = []
+
+    def end(self):
+        return iter(())
+
+
+class _Counts:
+    """Neighbours of every row among those that a cell has met."""
+
+    def __init__(self, d: int, e2: float):
+        self.d, self.e2, self.held, self.stream = d, e2, {}, {}
+
+    def pair(self, row) -> None:
+        ka, kb, I, J, _, _ = _near(row, self.d, self.e2)
+        self._add(self.held, row["a"], ka, np.bincount(I, minlength=len(ka)))
+        if row["a"] != row["b"]:
+            self._add(self.stream, row["b"], kb, np.bincount(J, minlength=len(kb)))
+
+    @staticmethod
+    def _add(kept, block, keys, found) -> None:
+        if block in kept:
+            kept[block][1][:] += found
+        else:
+            kept[block] = (keys, found.astype(np.int64))
+
+    def _frames(self, kept):
         import pandas as pd
-        for pdf in it:
-            for _, row in pdf.iterrows():
-                ka, va, _ = block_arrays(row, "a", d)
-                kb, vb, _ = block_arrays(row, "b", d)
-                if not len(ka) or not len(kb):
-                    continue
-                D, slack = rough_sq_dists(va, vb)
-                I, J = np.nonzero(D <= e2 + slack)
-                if slack:
-                    inside = pair_sq_dists(va[I], vb[J]) <= e2
-                    I, J = I[inside], J[inside]
-                a, b = ka[I], kb[J]
-                keep = a < b if row["a"] == row["b"] else a != b
-                yield pd.DataFrame({"i": np.minimum(a, b)[keep], "j": np.maximum(a, b)[keep]})
+        for keys, found in kept.values():
+            yield pd.DataFrame({"v": keys[found > 0], "nb": found[found > 0]})
+        kept.clear()
+
+    def streamed(self):
+        return self._frames(self.stream)
+
+    def end(self):
+        return self._frames(self.held)
+
+
+class _Links:
+    """Links that join what the pairs within eps join, at most one a row of the cell.
+
+    Rows with tag 1 (all, or the core rows) are put in components by their pairs, and a
+    component leaves as links of its rows to one of them (kind 0).  A row with tag 0
+    leaves each of its pairs with a row of tag 1 (kind 1); such rows have few."""
+
+    def __init__(self, d: int, e2: float):
+        self.d, self.e2, self.at, self.keys, self.up, self.other = d, e2, {}, [], np.zeros(0, dtype=np.int64), []
+
+    def _place(self, block, keys) -> int:
+        if block not in self.at:
+            self.at[block] = len(self.up)
+            self.keys.append(keys)
+            self.up = np.concatenate((self.up, np.arange(len(self.up), len(self.up) + len(keys))))
+        return self.at[block]
+
+    def pair(self, row) -> None:
+        ka, kb, I, J, ta, tb = _near(row, self.d, self.e2)
+        a, b = self._place(row["a"], ka), self._place(row["b"], kb)
+        if not (ta.all() and tb.all()):
+            x, y = ta[I] != 0, tb[J] != 0
+            for one, i, j in ((~x & y, ka[I], kb[J]), (x & ~y, kb[J], ka[I])):
+                if one.any():
+                    self.other.append((i[one], j[one]))
+            I, J = I[x & y], J[x & y]
+        self._join(a + I, b + J)
+
+    def _join(self, p, q) -> None:
+        up = self.up
+        while True:
+            x, y = up[p], up[q]
+            apart = x != y
+            if not apart.any():
+                return
+            p, q, x, y = p[apart], q[apart], x[apart], y[apart]
+            np.minimum.at(up, np.maximum(x, y), np.minimum(x, y))
+            while True:
+                above = up[up]
+                if (above == up).all():
+                    break
+                up[:] = above
+
+    def streamed(self):
+        import pandas as pd
+        for i, j in self.other:
+            yield pd.DataFrame({"i": i, "j": j, "kind": 1})
+        self.other = []
+
+    def end(self):
+        import pandas as pd
+        if self.keys:
+            keys = np.concatenate(self.keys)
+            i, j = keys, keys[self.up]
+            yield pd.DataFrame({"i": i[i != j], "j": j[i != j], "kind": 0})
+
+
+def eps_counts(df: DataFrame, key: str, features, eps: float, block_rows: int | None = None, in_cells: bool | None = None) -> DataFrame:
+    """(v, nb): how many other rows lie within ``eps``, of rows that have any (integer keys).
+
+    Counts are summed in the cells of the grid, so no pair leaves a task."""
+    found = _eps_pairs(df, key, features, eps, block_rows, lambda d: lambda: _Counts(d, eps * eps), "v long, nb long", None, in_cells)
+    return found.groupBy("v").agg(F.sum("nb").alias("nb"))
+
+
+def eps_links(df: DataFrame, key: str, features, eps: float, block_rows: int | None = None, tag=None, in_cells: bool | None = None) -> DataFrame:
+    """(i, j, kind): links with the components of the pairs within ``eps`` (integer keys).
 
-    cells = EpsCells(df, key, features, eps) if eps > 0 and n > 1 else None
-    if cells is not None and 2 * cells.pairs < n * (n - 1) / 2:
-        return cells.map_pairs(emit, "i long, j long")
-    return map_block_pairs(blocks, nb, 8 * n * d, emit, "i long, j long")
+    Without ``tag`` (1 or 0) all rows link.  Else kind 0 joins rows of tag 1, and kind 1
+    are all pairs of a row i of tag 0 with a row j of tag 1."""
+    tag = F.lit(1) if tag is None else tag
+    return _eps_pairs(df, key, features, eps, block_rows, lambda d: lambda: _Links(d, eps * eps), "i long, j long, kind int", tag, in_cells)
 
 
 class EpsCells:
@@ -216,7 +370,7 @@ class EpsCells:
     distances decide inside.  ``pairs`` is the number of row pairs that meet.
     """
 
-    def __init__(self, df: DataFrame, key: str, features, eps: float, axes: int = 3, block_rows: int = 2048):
+    def __init__(self, df: DataFrame, key: str, features, eps: float, axes: int = 3, block_rows: int = 2048, tag=None):
         from vela.operators.reduce import pca_fit
         vec = feature_array(df, features)
         model = pca_fit(df, features)
@@ -228,7 +382,7 @@ class EpsCells:
             for i, x in enumerate(w):
                 place = place + vec[i] * F.lit(float(x))
             at.append(F.floor(place / F.lit(eps * (1 + 1e-9))).cast("long"))
-        rows = df.select(F.col(key).cast("long").alias("k"), vec.alias("v"), F.array(*at).alias("cell"))
+        rows = df.select(F.col(key).cast("long").alias("k"), vec.alias("v"), (F.lit(0) if tag is None else tag).cast("long").alias("t"), F.array(*at).alias("cell"))
         self.rows, self.axes, self.block_rows = rows, axes, block_rows
         counts = rows.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
         self.cells = cut_lineage(counts.withColumn("subs", F.ceil(F.col("n") / block_rows).cast("int")))
@@ -249,14 +403,14 @@ class EpsCells:
     def map_pairs(self, fn, schema: str) -> DataFrame:
         """``fn`` over the pairs of blocks of neighbouring cells (rows as in ``map_block_pairs``)."""
         sub = F.pmod(F.xxhash64("k"), F.col("subs")).cast("int")
-        placed = join_small(self.rows, self.cells.select("cell", "subs"), ["cell"]).select("k", "v", "cell", sub.alias("sub"))
-        packed = placed.groupBy("cell", "sub").agg(F.collect_list(F.struct("k", "v")).alias("r"))
-        packed = packed.select("cell", "sub", F.transform("r", lambda r: r["k"]).alias("keys"), F.flatten(F.transform("r", lambda r: r["v"])).alias("vecs"))
+        placed = join_small(self.rows, self.cells.select("cell", "subs"), ["cell"]).select("k", "v", "t", "cell", sub.alias("sub"))
+        packed = placed.groupBy("cell", "sub").agg(F.collect_list(F.struct("k", "v", "t")).alias("r"))
+        packed = packed.select("cell", "sub", F.transform("r", lambda r: r["k"]).alias("keys"), F.flatten(F.transform("r", lambda r: r["v"])).alias("vecs"), F.transform("r", lambda r: r["t"]).alias("tags"))
         packed = cut_lineage(packed)
         upto = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
         pairs = self._near().withColumn("sub", upto("subs")).withColumn("to_sub", upto("to_subs")).where("NOT own OR sub <= to_sub").select("cell", "sub", "to", "to_sub")
-        left = packed.select("cell", "sub", F.col("keys").alias("ka"), F.col("vecs").alias("va"), F.transform("keys", lambda _: F.lit(0).cast("long")).alias("ta"))
-        right = packed.select(F.col("cell").alias("to"), F.col("sub").alias("to_sub"), F.col("keys").alias("kb"), F.col("vecs").alias("vb"), F.transform("keys", lambda _: F.lit(0).cast("long")).alias("tb"))
+        left = packed.select("cell", "sub", F.col("keys").alias("ka"), F.col("vecs").alias("va"), F.col("tags").alias("ta"))
+        right = packed.select(F.col("cell").alias("to"), F.col("sub").alias("to_sub"), F.col("keys").alias("kb"), F.col("vecs").alias("vb"), F.col("tags").alias("tb"))
         met = pairs.join(left, ["cell", "sub"]).join(right, ["to", "to_sub"])
         other = ((F.col("cell") != F.col("to")) | (F.col("sub") != F.col("to_sub"))).cast("long")
         return met.select(F.lit(0).cast("long").alias("a"), other.alias("b"), "ka", "va", "ta", "kb", "vb", "tb").mapInPandas(fn, schema)
