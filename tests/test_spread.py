@@ -47,6 +47,30 @@ def test_elbow_makes_its_vectors_once(spark, monkeypatch):
         assert out[k] == cluster.kmeans(df, ["a", "b"], k, nstart=2).cost
 
 
+def test_starts_let_ml_hold_its_rows(spark, monkeypatch):
+    """ml prepares the rows of a start once, not once a pass; few large starts run at once."""
+    seen, inner = [], cluster.KMeans.fit
+    monkeypatch.setattr(cluster.KMeans, "fit", lambda self, x: seen.append(x) or inner(self, x))
+    X = np.random.default_rng(5).normal(size=(90, 2))
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in X], "a double, b double")
+    many = cluster.kmeans(df, ["a", "b"], 3, nstart=3)
+    assert len(seen) == 3 and not any(x.storageLevel.useMemory for x in seen)
+    monkeypatch.setattr(cluster, "HELD_ROWS", 100)
+    one = cluster.kmeans(df, ["a", "b"], 3, nstart=3)
+    assert one.seed == many.seed and np.allclose(one.centers(), many.centers())
+
+
+def test_clean_mds_report_looks_for_flat_columns_once(spark, monkeypatch):
+    from vela.operators import clean
+    from vela.plans import jobs
+    seen, inner = [], clean.zero_variance_columns
+    monkeypatch.setattr(clean, "zero_variance_columns", lambda *a: seen.append(1) or inner(*a))
+    X = np.random.default_rng(6).normal(size=(60, 2))
+    df = spark.createDataFrame([(i, float(a), float(b), 1.0, "xy"[i % 2]) for i, (a, b) in enumerate(X)], "key long, a double, b double, c double, g string")
+    out = jobs.clean_mds_report(df, "key", ["a", "b", "c"], "g", nstart=2)
+    assert len(seen) == 1 and sum(r["x"] + r["y"] for r in out["by_group"].collect()) == 60
+
+
 # ---------------------------------------------------------------- what a cell of the grid hands on
 
 

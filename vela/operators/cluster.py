@@ -61,19 +61,26 @@ def _vectors(df: DataFrame, features) -> DataFrame:
 
 
 def _best_start(x: DataFrame, k: int, nstart: int, max_iter: int = 10, seed: int = 123, tol: float = 1e-4, parallelism: int = 4) -> KMeansResult:
-    """The fit of least cost on the vectors of ``_vectors``."""
+    """The fit of least cost on the vectors of ``_vectors``.
+
+    ml keeps the rows it prepares (vector, norm, weight) for all passes of a fit only
+    if it sees an input that is not cached itself; else every pass prepares them anew."""
     from concurrent.futures import ThreadPoolExecutor
+    at_once = max(1, min(parallelism, nstart, HELD_ROWS // max(1, x.count())))
+    x = x.where(F.lit(True))
 
     def fit(s):
         km = KMeans(k=k, seed=seed + s, maxIter=max_iter, tol=tol, featuresCol="__f", initMode="k-means||")
         m = km.fit(x)
         return KMeansResult(m, m.summary.trainingCost, k, seed + s)
 
-    with ThreadPoolExecutor(max(1, min(parallelism, nstart))) as ex:
+    with ThreadPoolExecutor(at_once) as ex:
         fits = list(ex.map(fit, range(nstart)))
     return min(fits, key=lambda r: (r.cost, r.seed))
 
 
+#: Rows that concurrent starts may hold prepared, all together (about 150 bytes each).
+HELD_ROWS = 30_000_000
 #: Rows of a partition that ``spread`` deals out, at most about.
 SPREAD_ROWS = 250_000
 

@@ -121,7 +121,8 @@ def clean_mds_report(df: DataFrame, key: str, features: list[str], group: str |
     x = clean.nonfinite_to_null(df, features)
     kept, report = clean.drop_sparse_rows(x, features, max_row_null, key)
     imp, med = clean.impute_median(kept, features)
-    feats = [c for c in features if c not in clean.zero_variance_columns(imp, features)]
+    flat = clean.zero_variance_columns(imp, features)
+    feats = [c for c in features if c not in flat]
     z = clean.standardize(imp, feats).cache()
     mds = reduce.mds_euclidean(z, feats)
     coords = mds.coordinates(z, 3, keep=[key])
