@@ -60,3 +60,29 @@ def test_landmarks_are_distinct_rows(spark):
 def test_unfinished_fit_is_an_error(moons):
     with pytest.raises(RuntimeError, match="duality gap"):
         classify.fit_svm_linear(moons[0], ["x1", "x2"], "y", max_passes=2)
+
+
+def test_large_tables_begin_at_a_share(spark, monkeypatch):
+    """The weights of a share only save passes over all rows: the gap of all rows is as small as without."""
+    rng = np.random.default_rng(9)
+    X = rng.normal(size=(6000, 2))
+    y = np.where(X[:, 0] + rng.normal(size=6000) > 0, "out", "in")
+    df = spark.createDataFrame([(float(a), float(b), str(c)) for (a, b), c in zip(X, y)], "x1 double, x2 double, y string").repartition(3)
+    cold = classify.fit_svm_linear(df, ["x1", "x2"], "y")
+    monkeypatch.setattr(svm, "WARM_ROWS", 3000, raising=False)
+    monkeypatch.setattr(svm, "_SHARE", 3, raising=False)
+    counts, inner = [], svm._sums
+    monkeypatch.setattr(svm, "_sums", lambda rows, *a: counts.append(rows.count()) or inner(rows, *a))
+    warm = classify.fit_svm_linear(df, ["x1", "x2"], "y")
+    assert warm.gap <= 1e-3 and counts.count(6000) == warm.passes < cold.passes and 1500 < counts[0] < 2500
+    Z, s, R = np.hstack([X, np.ones((6000, 1))]), np.where(y == "out", 1.0, -1.0), np.r_[np.ones(2), svm._BIAS]
+    value = lambda w: 0.5 * (R * w * w).sum() + np.maximum(0, 1 - s * (Z @ w)).sum()
+    assert abs(value(np.array(warm.weights[0])) / value(np.array(cold.weights[0])) - 1) <= 1e-3
+
+
+def test_margins_are_made_once(moons, monkeypatch):
+    df, made = moons[0], []
+    inner = svm._logistic
+    monkeypatch.setattr(svm, "_logistic", lambda held, *a: made.append((held.columns, held.count())) or inner(held, *a), raising=False)
+    classify.fit_svm_linear(df, ["x1", "x2"], "y")
+    assert made == [(["cls", "m"], 400)]
