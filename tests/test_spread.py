@@ -66,8 +66,8 @@ def test_clean_mds_report_looks_for_flat_columns_once(spark, monkeypatch):
     seen, inner = [], clean.zero_variance_columns
     monkeypatch.setattr(clean, "zero_variance_columns", lambda *a: seen.append(1) or inner(*a))
     X = np.random.default_rng(6).normal(size=(60, 2))
-    df = spark.createDataFrame([(i, float(a), float(b), 1.0, "xy"[i % 2]) for i, (a, b) in enumerate(X)], "key long, a double, b double, c double, g string")
-    out = jobs.clean_mds_report(df, "key", ["a", "b", "c"], "g", nstart=2)
+    df = spark.createDataFrame([(i, float(a), float(b), float(a * b), 1.0, "xy"[i % 2]) for i, (a, b) in enumerate(X)], "key long, a double, b double, c double, d double, g string")
+    out = jobs.clean_mds_report(df, "key", ["a", "b", "c", "d"], "g", nstart=2)
     assert len(seen) == 1 and sum(r["x"] + r["y"] for r in out["by_group"].collect()) == 60
 
 
@@ -108,3 +108,22 @@ def test_dbscan_hands_on_no_pairs(spark, monkeypatch):
     want[360] = 1  # a border row
     assert out["core"].tolist() == core.tolist() and out["cluster"].tolist() == want.tolist()
     assert near.sum() > 60_000 and sum(m.count() for m in made) < 380 * 8 + 2 * 380
+
+
+def test_average_and_complete_hold_no_row_a_pair(spark, monkeypatch):
+    """Until few clusters are left, nearest ones come from the rows; the tree is that of the table of pairs."""
+    import pytest
+    rng = np.random.default_rng(11)
+    X = np.vstack([rng.normal(size=(50, 20)), rng.normal(size=(50, 20)) * 0.05 + 2])
+    X[40:45] = X[:5]  # copies
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(X)], "key long, vec array<double>")
+    trees = {}
+    for linkage in ("average", "complete"):
+        trees[linkage] = hierarchy.hierarchical(df, "key", "vec", 4, linkage)[1].toPandas().sort_values(["height", "a", "b"])
+    monkeypatch.setattr(hierarchy, "PAIR_CLUSTERS", 50, raising=False)
+    monkeypatch.setattr(hierarchy, "PIECE_ROWS", 3, raising=False)
+    monkeypatch.setattr(hierarchy, "pairwise_distance", lambda *a, **k: pytest.fail("a row a pair"))
+    for linkage, want in trees.items():
+        got = hierarchy.hierarchical(df, "key", "vec", 4, linkage)[1].toPandas().sort_values(["height", "a", "b"])
+        assert np.allclose(np.sort(got["height"]), np.sort(want["height"]))
+        assert set(zip(got["a"], got["b"], got["size"])) == set(zip(want["a"], want["b"], want["size"]))
