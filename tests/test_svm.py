@@ -86,3 +86,21 @@ def test_margins_are_made_once(moons, monkeypatch):
     monkeypatch.setattr(svm, "_logistic", lambda held, *a: made.append((held.columns, held.count())) or inner(held, *a), raising=False)
     classify.fit_svm_linear(df, ["x1", "x2"], "y")
     assert made == [(["cls", "m"], 400)]
+
+
+def test_width_stays_while_only_the_gradient_is_left(monkeypatch):
+    """Classes that the features do not tell apart: all rows of one lie on the hinge's kink, where ever smaller widths never ended."""
+    rng = np.random.default_rng(3)
+    X, cls, fold = rng.normal(size=(400, 2)), (rng.random(400) < 0.67).astype(int), rng.integers(0, 3, 400)
+
+    def sums(rows, base, move, mus, kernel, targets, left_out):
+        Z, out = svm.mapped(X, kernel), []
+        for p in range(len(base)):
+            own, y = fold != left_out[p], np.where(cls == targets[p], 1.0, -1.0)
+            y, Zp = y[own], Z[own]
+            out.append(svm._losses(Zp, y, y * (Zp @ base[p]), y * (Zp @ move[p]), mus[p]))
+        return np.array(out)
+
+    monkeypatch.setattr(svm, "_sums", sums)
+    found, mus, _, gaps, done, passes = svm._steps(None, 400, 0, 6, {"kind": "poly", "degree": 2, "scale": 1.0}, np.ones(4), np.array([-1, 0, 1, 2]), 100.0, 1e-3, 200)
+    assert done and gaps.max() <= 1e-3 and passes < 100 and mus.min() > 1e-6
