@@ -127,3 +127,43 @@ def test_average_and_complete_hold_no_row_a_pair(spark, monkeypatch):
         got = hierarchy.hierarchical(df, "key", "vec", 4, linkage)[1].toPandas().sort_values(["height", "a", "b"])
         assert np.allclose(np.sort(got["height"]), np.sort(want["height"]))
         assert set(zip(got["a"], got["b"], got["size"])) == set(zip(want["a"], want["b"], want["size"]))
+
+
+# ---------------------------------------------------------------- registered queries do their whole job
+
+
+def test_registered_elbow_tries_every_k_of_the_reference(spark, monkeypatch, tmp_path):
+    from types import SimpleNamespace
+
+    from vela.plans.checks import QUERIES
+    spark.createDataFrame([(float(i % 7), i % 5 / 10) for i in range(60)], "l_quantity double, l_discount double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    monkeypatch.setattr(cluster, "DRAWN_ROWS", 10, raising=False)
+    tried, inner = [], cluster._lloyd_costs
+    monkeypatch.setattr(cluster, "_lloyd_costs", lambda x, starts, *a: tried.append(([len(c) for c in starts], *a)) or inner(x, starts, 3, 1e-4))
+    out = {r["k"]: r["wss"] for r in QUERIES["elbow"](spark, str(tmp_path)).collect()}
+    assert tried == [([k for k in range(2, 11) for _ in range(20)], 100, 1e-4)]
+    assert sorted(out) == list(range(1, 11)) and all(out[k] > out[k + 1] for k in range(1, 10))
+
+
+def test_drawn_starts_are_rows_far_apart(spark):
+    """k-means++: centres are distinct rows, of well parted groups mostly one each; fewer if there are fewer."""
+    X = np.random.default_rng(13).normal(size=(90, 2)) * 0.01 + np.repeat([[0, 0], [9, 0], [0, 9]], 30, axis=0)
+    x = spark.createDataFrame([(v.tolist(),) for v in X], "a array<double>").repartition(3)
+    starts = cluster._drawn_starts(x, [(3, s) for s in range(30)] + [(2, 0)], 5)
+    held = {tuple(v) for v in X}
+    assert [len(c) for c in starts] == [3] * 30 + [2] and all(tuple(v) in held for c in starts for v in c)
+    assert sum(len({tuple(np.round(v / 9)) for v in c}) == 3 for c in starts[:30]) >= 28 and len({tuple(c[0]) for c in starts}) > 15
+    two = spark.createDataFrame([([float(i % 2)],) for i in range(20)], "a array<double>")
+    assert [len(c) for c in cluster._drawn_starts(two, [(5, 0), (1, 0)], 5)] == [2, 1]
+
+
+def test_elbow_takes_the_steps_of_all_starts_together(spark, monkeypatch):
+    """One pass over the rows a step, whatever the starts; costs are those of ml's own steps."""
+    passes, inner = [], cluster._lloyd_sums
+    monkeypatch.setattr(cluster, "_lloyd_sums", lambda x, centers: passes.append(len(centers)) or inner(x, centers))
+    X = np.random.default_rng(12).normal(size=(80, 3)) + 50
+    df = spark.createDataFrame([tuple(x.tolist()) for x in X], "a double, b double, c double")
+    out = {r["k"]: r["wss"] for r in cluster.elbow(df, ["a", "b", "c"], [4, 2], nstart=3, max_iter=30).collect()}
+    assert passes[0] == 6 and len(passes) <= 30
+    for k in (2, 4):
+        assert np.isclose(out[k], cluster.kmeans(df, ["a", "b", "c"], k, nstart=3, max_iter=30).cost, rtol=1e-10)
