@@ -90,3 +90,15 @@ def test_knn_tuning_finds_neighbours_once_a_fold(spark, blobs, monkeypatch):
             near = tr.assign(d=(tr.x1 - x).abs()).sort_values(["d", "key"]).cluster.head(k).tolist()
             right += max(levels, key=lambda c: near.count(c)) == y
         assert abs(r.Accuracy - right / len(te)) < 1e-9
+
+
+def test_registered_forest_grows_all_its_trees(spark, monkeypatch, tmp_path):
+    from types import SimpleNamespace
+
+    from vela.plans.checks import QUERIES
+    rows = [(i, float(i * 37 % 101), i % 13, "FO"[i % 2]) for i in range(60)]
+    spark.createDataFrame(rows, "o_orderkey long, o_totalprice double, o_custkey long, o_orderstatus string").write.parquet(f"{tmp_path}/orders.parquet")
+    grown = []
+    monkeypatch.setattr(classify, "fit_ml", lambda df, f, y, est, *a, **b: grown.append((est.getNumTrees(), est.getMaxDepth(), df.count())) or SimpleNamespace(importances=lambda: [0.5, 0.5]))
+    QUERIES["random_forest"](spark, str(tmp_path)).collect()
+    assert grown == [(500, 12, 60)]
