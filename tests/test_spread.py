@@ -129,6 +129,24 @@ def test_average_and_complete_hold_no_row_a_pair(spark, monkeypatch):
         assert set(zip(got["a"], got["b"], got["size"])) == set(zip(want["a"], want["b"], want["size"]))
 
 
+def test_nearest_clusters_of_some(spark, monkeypatch):
+    """Later rounds of average and complete linkage look only from the clusters that lost their nearest one."""
+    from vela.session import Steps
+    rng = np.random.default_rng(14)
+    X, c = rng.normal(size=(40, 18)), np.repeat([0, 8, 16, 20, 22, 23, 24, 30], [8, 8, 4, 2, 1, 1, 6, 10])
+    size = {k: int((c == k).sum()) for k in set(c.tolist())}
+    state = spark.createDataFrame([(i, x.tolist(), int(k), size[int(k)]) for i, (x, k) in enumerate(zip(X, c))], "id long, vec array<double>, c long, n long")
+    D = np.sqrt(((X[:, None] - X[None]) ** 2).sum(-1))
+    for linkage, over, piece in (("average", np.mean, 3), ("complete", np.max, 512)):
+        monkeypatch.setattr(hierarchy, "PIECE_ROWS", piece)
+        some = state.where("c IN (8, 22, 30)")
+        got = {r["c"]: r["best"] for r in hierarchy._nearest_clusters(state, 40, linkage, Steps(spark), some, 19).collect()}
+        assert set(got) == {8, 22, 30}
+        for k, best in got.items():
+            v, other = min((over(D[np.ix_(c == k, c == j)]), j) for j in size if j != k)
+            assert np.isclose(best["v"], v) and (best["lo"], best["hi"]) == (min(k, other), max(k, other))
+
+
 # ---------------------------------------------------------------- registered queries do their whole job
 
 
